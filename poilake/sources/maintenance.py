@@ -1,0 +1,68 @@
+"""Compaction and retention of partitioned Parquet tables."""
+
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from poilake.operators.quality import content_hash
+from poilake.session import scratch_path
+from poilake.sources.files import delete_folder, list_files, partition_value
+from poilake.sources.tables import write_partitions
+
+
+def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """Files and bytes per partition, from the listing only."""
+    return (
+        list_files(spark, path, "*.parquet")
+        .groupBy(partition_value(F.col("path"), by).alias(by))
+        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    )
+
+
+def compact(spark: SparkSession, path: str, by: str = "snapshot_date", target_mb: float = 128) -> DataFrame:
+    """Rewrite partitions that hold more files than their size needs.
+
+    Only those partitions are read and written. The new files are written beside the
+    table first and compared with the old rows by count and content hash before they
+    replace them, so a failure at any point leaves every row in one of both places.
+    Returns one row per partition with the file counts before and after.
+    """
+    target = int(target_mb * 1024 * 1024)
+    # One row per partition: the listing is taken now, because the files change below.
+    before = partition_files(spark, path, by).collect()
+    crowded = [r[by] for r in before if r["files"] > max(1, -(-r["bytes"] // target))]
+    if crowded:
+        table = spark.read.parquet(path)
+        old = table.where(F.col(by).cast("string").isin(crowded))
+        copy = scratch_path(spark, "compact")
+        advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        earlier = spark.conf.get(advised)
+        spark.conf.set(advised, str(target))
+        try:
+            write_partitions(old, copy, by)
+            new = spark.read.schema(table.schema).parquet(copy)
+            if content_hash(old).collect() != content_hash(new).collect():
+                raise RuntimeError(f"compacted copy {copy} differs from {path}")
+            write_partitions(new, path, by)
+        finally:
+            spark.conf.set(advised, earlier)
+        spark.catalog.refreshByPath(path)
+    after = partition_files(spark, path, by).select(by, F.col("files").alias("files_after"))
+    listed = spark.createDataFrame(
+        [(r[by], r["files"], r["bytes"]) for r in before], f"{by} string, files_before bigint, bytes_before bigint"
+    )
+    return listed.join(after, by)
+
+
+def expire(spark: SparkSession, path: str, keep_days: int, as_of: date, by: str = "snapshot_date") -> DataFrame:
+    """Drop date partitions older than ``keep_days`` before ``as_of``; returns what stays."""
+    oldest = as_of - timedelta(days=keep_days)
+    days = partition_files(spark, path, by).select(by).collect()
+    for row in days:
+        if row[by] is not None and date.fromisoformat(row[by]) < oldest:
+            delete_folder(spark, f"{path}/{by}={row[by]}")
+    spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path)
