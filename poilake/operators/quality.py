@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,17 +15,17 @@ from poilake.sources.files import list_files
 
 @dataclass(frozen=True)
 class Rule:
-    """One rule: ``violation`` is true for a failing row; ``keys`` is set for uniqueness."""
+    """One rule: ``violation`` builds a column that is true for a failing row; ``keys`` marks uniqueness."""
 
     name: str
     columns: tuple[str, ...]
-    violation: Column | None = None
+    violation: Callable[[], Column] | None = None
     keys: bool = False
 
 
 def not_null(column: str) -> Rule:
     """The column has a value."""
-    return Rule("not_null", (column,), F.col(column).isNull())
+    return Rule("not_null", (column,), lambda: F.col(column).isNull())
 
 
 def unique(*columns: str) -> Rule:
@@ -35,14 +35,18 @@ def unique(*columns: str) -> Rule:
 
 def accepted_values(column: str, values: Sequence) -> Rule:
     """The column is null or one of the values."""
-    return Rule("accepted_values", (column,), ~F.col(column).isin(*values))
+    return Rule("accepted_values", (column,), lambda: ~F.col(column).isin(*values))
 
 
 def accepted_range(column: str, low: float | None = None, high: float | None = None) -> Rule:
     """The column is null or within the range, edges included."""
-    below = F.col(column) < low if low is not None else F.lit(False)
-    above = F.col(column) > high if high is not None else F.lit(False)
-    return Rule("accepted_range", (column,), below | above)
+
+    def outside() -> Column:
+        below = F.col(column) < low if low is not None else F.lit(False)
+        above = F.col(column) > high if high is not None else F.lit(False)
+        return below | above
+
+    return Rule("accepted_range", (column,), outside)
 
 
 def gold_rules(id_column: str = "osm_id") -> list[Rule]:
@@ -72,7 +76,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     if rows:
         counts = df.agg(
             F.count("*").alias("total"),
-            *[F.count_if(r.violation).alias(f"failed_{i}") for i, r in enumerate(rows)],
+            *[F.count_if(r.violation()).alias(f"failed_{i}") for i, r in enumerate(rows)],
         )
         results = [
             F.struct(
@@ -130,7 +134,7 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     reasons = F.array_compact(
         F.array(
             *[
-                F.when(F.coalesce(r.violation, F.lit(False)), F.lit(f"{r.name}:{r.columns[0]}"))
+                F.when(F.coalesce(r.violation(), F.lit(False)), F.lit(f"{r.name}:{r.columns[0]}"))
                 for r in rules
                 if not r.keys
             ]

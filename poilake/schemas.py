@@ -1,6 +1,4 @@
-"""Explicit input schemas; a field missing from the JSON reads as null."""
-
-from pyspark.sql.types import StructType
+"""Explicit input schemas as DDL; a field missing from the JSON reads as null."""
 
 TAGS = "map<string,string>"
 
@@ -8,13 +6,11 @@ ELEMENT = f"""struct<type:string, id:bigint, lat:double, lon:double,
     center:struct<lat:double,lon:double>, tags:{TAGS}>"""
 
 # One area group per row, as an Overpass response holds it.
-OVERPASS = StructType.fromDDL(f"elements array<{ELEMENT}>")
+OVERPASS = f"elements array<{ELEMENT}>"
 
 # A "places" search response.
-PLACES_SEARCH = StructType.fromDDL(
-    """places array<struct<displayName:struct<text:string>,
+PLACES_SEARCH = """places array<struct<displayName:struct<text:string>,
     location:struct<latitude:double,longitude:double>, rating:double, types:array<string>>>"""
-)
 
 DETAILS = """struct<name:string, formatted_address:string,
     geometry:struct<location:struct<lat:double,lng:double>>, rating:double,
@@ -25,11 +21,9 @@ DETAILS = """struct<name:string, formatted_address:string,
     photos:array<struct<photo_reference:string,height:int,width:int>>>"""
 
 # One enriched record per row, with the partition columns of the landing path.
-ENRICHED = StructType.fromDDL(
-    f"""osm_data struct<osm_id:bigint, osm_type:string, name:string, tags:{TAGS}, lat:double, lon:double>,
+ENRICHED = f"""osm_data struct<osm_id:bigint, osm_type:string, name:string, tags:{TAGS}, lat:double, lon:double>,
     google_data {DETAILS},
     ingested_at string, source string, snapshot_date date, run_id string"""
-)
 
 LOCAL_ITEM = """struct<title:string, place_id:string, data_id:string, rating:double, reviews:bigint,
     types:array<string>, type:string, address:string,
@@ -40,15 +34,11 @@ LOCAL_OBJECT = f"struct<places:array<{LOCAL_ITEM}>, results:array<{LOCAL_ITEM}>>
 
 REVIEW_ITEM = """struct<title:string, place_id:string, rating:double, reviews:bigint, num_reviews:bigint,
     location_string:string, link:string, thumbnail:string, description:string>"""
-REVIEW_SITE = StructType.fromDDL(f"places array<{REVIEW_ITEM}>, results array<{REVIEW_ITEM}>")
+REVIEW_SITE = f"places array<{REVIEW_ITEM}>, results array<{REVIEW_ITEM}>"
 
 # Rows of the entity-resolution input.
-PLACES = StructType.fromDDL(
-    "source string, source_id string, name string, lat double, lon double, rating double, category string"
-)
+PLACES = "source string, source_id string, name string, lat double, lon double, rating double, category string"
 
-SILVER = StructType.fromDDL(
-    """osm_id bigint, name string, address string, latitude double, longitude double, rating double,
+SILVER = """osm_id bigint, name string, address string, latitude double, longitude double, rating double,
     review_count bigint, website string, phone string, poi_types array<string>, run_id string,
     snapshot_date date, source_ingested_at timestamp, silver_processed_at timestamp, business_key string"""
-)

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from poilake.sources.files import list_files, partition_value, path_exists
 
 
-def read_bronze(spark: SparkSession, root: str, source: str, schema: StructType) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, source: str, schema: StructType | str) -> DataFrame:
     """All runs of a source as rows of ``schema``; empty when nothing has landed.
 
     The schema is explicit, so no inference job runs and absent fields read as null. The
@@ -24,7 +24,7 @@ def read_bronze(spark: SparkSession, root: str, source: str, schema: StructType)
     return spark.read.schema(schema).option("basePath", root).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Uploaded CSV with a header and an explicit schema."""
     return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
 

@@ -16,7 +16,7 @@ from poilake.sources.tables import write_partitions
 
 
 def bronze_stream(
-    spark: SparkSession, root: str, source: str, schema: StructType, files_per_trigger: int | None = None
+    spark: SparkSession, root: str, source: str, schema: StructType | str, files_per_trigger: int | None = None
 ) -> DataFrame:
     """New run files of a source as they land."""
     reader = spark.readStream.schema(schema).option("basePath", root)
