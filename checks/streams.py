@@ -35,7 +35,7 @@ def _sync(spark, root, files=None):
 def _(spark, sf):
     root = scratch_path(spark, "lake")
     _landed(spark, sf, f"{root}/bronze", ("run_1", 0.0), ("run_2", 0.1))
-    _sync(spark, root, files=1)  # one micro-batch per landed file
+    _sync(spark, root, files=4)  # several micro-batches
     return _silver_shown(read_table(spark, f"{root}/silver"), "business_key")
 
 

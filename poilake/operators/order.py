@@ -20,8 +20,7 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx"
     partition sizes and the rows come from the same data. ``order`` must have no ties
     between many rows, or those rows meet in one range.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
@@ -30,17 +29,12 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx"
     placed = materialize(placed, "index").withColumns(
         {"_part": F.shiftright("_at", _OFFSET_BITS), "_at": F.col("_at").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1))}
     )
-    sizes = placed.groupBy("_part").count().collect()  # one row per range partition
-    starts, total = [], 0
-    for row in sorted(sizes, key=lambda r: r["_part"]):
-        starts.append((row["_part"], total))
-        total += row["count"]
-    offsets = spark.createDataFrame(starts, "_part bigint, _start bigint")
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_start") + F.col("_at"))
-        .drop("_part", "_start", "_at")
-    )
+    sizes = {row["_part"]: row["count"] for row in placed.groupBy("_part").count().collect()}
+    starts = [0]  # one entry per range partition
+    for part in range(parts):
+        starts.append(starts[-1] + sizes.get(part, 0))
+    start = F.get(F.array(*[F.lit(n).cast("long") for n in starts]), F.col("_part").cast("int"))
+    return placed.withColumn(name, start + F.col("_at")).drop("_part", "_at")
 
 
 def daily_batch(

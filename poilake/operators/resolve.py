@@ -43,8 +43,8 @@ class MatchRule:
     fold: str = "drop_latin1"
 
 
-def _matches(probes: DataFrame, nodes: DataFrame, rule: MatchRule, earlier: Column | None = None) -> DataFrame:
-    """Matching pairs of a probe (columns ``p_*``) and a node, with distance and similarity.
+def _reached(probes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of a probe (columns ``p_*``) and another node in the cells around it, with their distance.
 
     The probes are copied to the cells around them; the nodes are not.
     """
@@ -53,100 +53,105 @@ def _matches(probes: DataFrame, nodes: DataFrame, rule: MatchRule, earlier: Colu
         F.col("lat").alias("p_lat"),
         F.col("lon").alias("p_lon"),
         F.col("name_key").alias("p_key"),
-        F.explode(reach_cells(F.col("lat"), F.col("lon"), rule.far)).alias("reach"),
+        F.explode("around").alias("reach"),
     )
+    pairs = spread.join(nodes.select("idx", *_SPOT, "reach"), "reach").where(F.col("p_idx") != F.col("idx"))
     distance = distance_m(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))
-    alike = may_exceed(F.col("p_key"), F.col("name_key"), rule.min_sim)
-    close = (distance < rule.near) | ((distance < rule.far) & alike)
-    on = (F.col("p_idx") != F.col("idx")) & close
-    if earlier is not None:
-        on = on & earlier
-    pairs = spread.join(nodes, "reach").where(on).withColumn("distance_m", distance)
+    return pairs.withColumn("distance_m", distance)
+
+
+def _matches(probes: DataFrame, nodes: DataFrame, rule: MatchRule) -> DataFrame:
+    """Matching pairs (p_idx, idx) with distance and, between ``near`` and ``far``, similarity."""
     ring = F.col("distance_m") >= rule.near
-    # Names are compared only in the ring between near and far.
-    pairs = pairs.withColumn("similarity", key_similarity(F.col("p_key"), F.col("name_key"), needed=ring))
-    return pairs.where(~ring | (F.col("similarity") > rule.min_sim))
+    alike = may_exceed(F.col("p_key"), F.col("name_key"), rule.min_sim)
+    pairs = _reached(probes, nodes).where(~ring | ((F.col("distance_m") < rule.far) & alike))
+    # Names are compared only in the ring.
+    named = pairs.withColumn("similarity", key_similarity(F.col("p_key"), F.col("name_key"), needed=ring))
+    matched = named.where(~ring | (F.col("similarity") > rule.min_sim))
+    return matched.select("p_idx", "idx", "distance_m", "similarity")
 
 
-def place_nodes(places: DataFrame, order: Sequence[str], rule: MatchRule) -> DataFrame:
-    """One node per spot and name key, numbered by the earliest of its rows."""
-    keyed = places.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
+def place_nodes(places: DataFrame, order: Sequence[str], rule: MatchRule = MatchRule()) -> DataFrame:
+    """One node per spot and name key, numbered by the earliest of its rows.
+
+    Columns: ``idx, lat, lon, name_key`` and the cells of the node.
+    """
+    lat, lon = F.col("lat"), F.col("lon")
+    keyed = places.where(lat.isNotNull() & lon.isNotNull()).select(
         "lat", "lon", token_sort_key(F.col("name"), rule.fold).alias("name_key"), F.struct(*order).alias("_first")
     )
     spots = keyed.groupBy(*_SPOT).agg(F.min("_first").alias("_first"))
-    lat, lon = F.col("lat"), F.col("lon")
-    return global_index(spots, ["_first", *_SPOT]).select(
-        "idx",
-        *_SPOT,
-        reach_cell(lat, lon, rule.far).alias("reach"),
-        tight_cell(lat, lon, rule.near).alias("tight"),
+    celled = spots.withColumns(
+        {
+            "reach": reach_cell(lat, lon, rule.far),
+            "around": reach_cells(lat, lon, rule.far),
+            "tight": tight_cell(lat, lon, rule.near),
+        }
     )
+    return global_index(celled, ["_first", *_SPOT]).drop("_first")
 
 
-def find_seeds(nodes: DataFrame, rule: MatchRule) -> DataFrame:
-    """The seeds among the nodes.
+def _seed_rounds(nodes: DataFrame, rule: MatchRule) -> list[tuple[DataFrame, DataFrame]]:
+    """Seeds and their matches, round by round.
 
     Each round decides every open node that is earlier than all open nodes it matches, and
     removes the nodes those seeds match. The earliest open node always qualifies, so every
     round makes progress and no round limit is needed. State is written to the shared
-    folder after each round, so a lost executor costs one round at most.
+    folder, so a lost executor costs part of one round at most.
     """
-    open_nodes, seeds = nodes, None
+    open_nodes, rounds = nodes, []
+    row = F.struct("idx", *_SPOT, "reach", "around")
     while True:
-        first = open_nodes.groupBy("tight").agg(F.min_by(F.struct("idx", *_SPOT, "reach"), "idx").alias("c"))
-        candidates = materialize(first.select("c.*"), "candidates")
-        beaten = _matches(candidates, candidates, rule, F.col("p_idx") > F.col("idx")).select(F.col("p_idx").alias("idx"))
-        leading = candidates.join(beaten, "idx", "left_anti")
-        pairs = materialize(
-            _matches(leading, open_nodes, rule).select("p_idx", "idx"), "pairs"
-        )
+        first = open_nodes.groupBy("tight").agg(F.min_by(row, "idx").alias("c")).select("c.*")
+        beaten = _reached(first, first).where((F.col("idx") < F.col("p_idx")) & (F.col("distance_m") < rule.near))
+        leading = materialize(first.join(beaten.select(F.col("p_idx").alias("idx")), "idx", "left_anti"), "leading")
+        pairs = materialize(_matches(leading, open_nodes, rule), "pairs")
         late = pairs.where(F.col("idx") < F.col("p_idx")).select(F.col("p_idx").alias("idx"))
-        chosen = materialize(leading.join(late, "idx", "left_anti"), "seeds")
-        seeds = chosen if seeds is None else seeds.unionByName(chosen)
-        covered = pairs.join(chosen.select(F.col("idx").alias("p_idx")), "p_idx", "left_semi").select("idx")
-        done = covered.unionByName(chosen.select("idx"))
+        seeds = materialize(leading.join(late, "idx", "left_anti"), "seeds")
+        matches = pairs.join(seeds.select(F.col("idx").alias("p_idx")), "p_idx", "left_semi")
+        rounds.append((seeds, matches))
+        done = matches.select("idx").unionByName(seeds.select("idx"))
         open_nodes = materialize(open_nodes.join(done, "idx", "left_anti"), "open")
         if open_nodes.isEmpty():
-            return seeds
+            return rounds
+
+
+def _seed_matches(nodes: DataFrame, rounds: list[tuple[DataFrame, DataFrame]], rule: MatchRule) -> DataFrame:
+    """Every (seed_idx, idx) match of a seed with a later node.
+
+    A round lists the matches with the nodes that were open; only the seeds of later
+    rounds can also match nodes that earlier rounds had removed.
+    """
+    found = union_sources(*[matches for _, matches in rounds])
+    if len(rounds) > 1:
+        later = union_sources(*[seeds for seeds, _ in rounds[1:]])
+        again = _matches(later, nodes, rule).where(F.col("p_idx") < F.col("idx"))
+        found = found.unionByName(again).dropDuplicates(["p_idx", "idx"])
+    return found.withColumnRenamed("p_idx", "seed_idx")
 
 
 def match_pairs(places: DataFrame, order: Sequence[str], rule: MatchRule = MatchRule()) -> DataFrame:
-    """Every later spot each seed matches, with distance and name similarity.
+    """Every later node each seed matches, with distance and name similarity.
 
-    Columns: ``seed_idx, idx`` (positions in the order of distinct spots), the
-    coordinates and name keys of both, ``distance_m`` and ``similarity`` (null within
-    ``near``, where names do not matter).
+    Columns: ``seed_idx, idx, distance_m, similarity`` (null below ``near``, where names
+    do not matter); ``place_nodes`` of the same input says what the numbers stand for.
     """
-    nodes = materialize(place_nodes(places, order, rule), "nodes")
-    return _seed_matches(nodes, find_seeds(nodes, rule), rule)
-
-
-def _seed_matches(nodes: DataFrame, seeds: DataFrame, rule: MatchRule) -> DataFrame:
-    return _matches(seeds, nodes, rule, F.col("p_idx") < F.col("idx")).select(
-        F.col("p_idx").alias("seed_idx"),
-        "idx",
-        F.col("p_lat").alias("seed_lat"),
-        F.col("p_lon").alias("seed_lon"),
-        F.col("p_key").alias("seed_key"),
-        *_SPOT,
-        "distance_m",
-        "similarity",
-    )
+    nodes = place_nodes(places, order, rule)
+    return _seed_matches(nodes, _seed_rounds(nodes, rule), rule)
 
 
 def greedy_clusters(places: DataFrame, order: Sequence[str], rule: MatchRule = MatchRule()) -> DataFrame:
     """The places with ``cluster``, the position of their seed.
 
     ``order`` names columns that put the rows in a total order; the first source of
-    choice comes first. Rows without coordinates match nothing and each get a null cluster.
+    choice comes first. Rows without coordinates match nothing and get a null cluster.
     """
-    nodes = materialize(place_nodes(places, order, rule), "nodes")
-    seeds = find_seeds(nodes, rule)
-    own = seeds.select(F.col("idx"), F.col("idx").alias("seed_idx"))
-    joined = _seed_matches(nodes, seeds, rule).select("idx", "seed_idx")
-    # A seed is matched by no earlier seed, so its own row is its minimum.
+    nodes = place_nodes(places, order, rule)
+    rounds = _seed_rounds(nodes, rule)
+    own = union_sources(*[seeds for seeds, _ in rounds]).select("idx", F.col("idx").alias("seed_idx"))
+    joined = _seed_matches(nodes, rounds, rule).select("idx", "seed_idx")
     membership = own.unionByName(joined).groupBy("idx").agg(F.min("seed_idx").alias("cluster"))
-    spots = nodes.join(membership, "idx").select(*_SPOT, "cluster")
+    spots = nodes.select("idx", *_SPOT).join(membership, "idx").select(*_SPOT, "cluster")
     keyed = places.withColumn("name_key", token_sort_key(F.col("name"), rule.fold))
     return keyed.join(spots, _SPOT, "left").drop("name_key").select(*places.columns, "cluster")
 

@@ -18,11 +18,15 @@ from poilake.sources.tables import write_partitions
 def bronze_stream(
     spark: SparkSession, root: str, source: str, schema: StructType | str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """New run files of a source as they land."""
+    """New run files of a source as they land.
+
+    The path is a pattern because a stream takes a plain path as its own base path, which
+    would hide the source column.
+    """
     reader = spark.readStream.schema(schema).option("basePath", root)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(f"{root}/source={source}")
+    return reader.json(f"{root}/source={source}/snapshot_date=*")
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], order_columns: Sequence[str], by: str) -> None:
