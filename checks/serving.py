@@ -85,7 +85,7 @@ def _(spark, sf):
 
 @query(
     "dashboard_summary",
-    W("fact") + """SELECT count(*) AS total_attractions, round(avg(rating), 2) AS avg_rating,
+    W("fact") + """SELECT count(*) AS total_attractions, round(avg(rating) + 1e-9, 2) AS avg_rating,
  CAST(sum(total_ratings) AS BIGINT) AS total_reviews, count(CASE WHEN is_overcrowded THEN 1 END) AS overcrowded_count
  FROM fact WHERE rating IS NOT NULL""",
 )
@@ -95,7 +95,7 @@ def _(spark, sf):
 
 @query(
     "district_summary",
-    W("fact") + """SELECT district, count(*) AS attraction_count, round(avg(rating), 2) AS avg_rating,
+    W("fact") + """SELECT district, count(*) AS attraction_count, round(avg(rating) + 1e-9, 2) AS avg_rating,
  CAST(sum(total_ratings) AS BIGINT) AS total_reviews FROM fact WHERE district IS NOT NULL AND rating IS NOT NULL GROUP BY district""",
 )
 def _(spark, sf):
@@ -104,7 +104,7 @@ def _(spark, sf):
 
 @query(
     "lakehouse_stats",
-    W("fact") + """SELECT count(*) AS total_attractions, count(DISTINCT district) AS total_districts, round(avg(rating), 2) AS avg_rating,
+    W("fact") + """SELECT count(*) AS total_attractions, count(DISTINCT district) AS total_districts, round(avg(rating) + 1e-9, 2) AS avg_rating,
  CAST(sum(total_ratings) AS BIGINT) AS total_reviews, count(CASE WHEN visitor_density_score > CAST(0.8 AS DOUBLE) THEN 1 END) AS overcrowded_count
  FROM fact""",
 )
@@ -123,7 +123,7 @@ def _(spark, sf):
 
 @query(
     "adhoc_sql",
-    W("fact") + """SELECT category, count(*) AS n, round(avg(total_ratings), 6) AS mean_ratings FROM fact
+    W("fact") + """SELECT category, count(*) AS n, round(avg(total_ratings) + 1e-9, 6) AS mean_ratings FROM fact
  GROUP BY category HAVING count(*) > 10""",
 )
 def _(spark, sf):
@@ -131,7 +131,7 @@ def _(spark, sf):
     return serve.adhoc_sql(
         spark,
         "WITH f AS (SELECT * FROM fact_attractions) SELECT category, count(*) AS n, "
-        "round(avg(total_ratings), 6) AS mean_ratings FROM f GROUP BY category HAVING count(*) > 10",
+        "round(avg(total_ratings) + 1e-9, 6) AS mean_ratings FROM f GROUP BY category HAVING count(*) > 10",
         1000,
     )
 
@@ -148,8 +148,8 @@ def _(spark, sf):
 
 @query(
     "weather_corr",
-    W("fact", "weather") + """SELECT w.weather_condition, round(avg(f.rating), 2) AS avg_rating, count(*) AS sample_count,
- round(avg(w.temperature_celsius), 1) AS avg_temp FROM fact f JOIN weather w ON f.weather_snapshot_id = w.snapshot_id
+    W("fact", "weather") + """SELECT w.weather_condition, round(avg(f.rating) + 1e-9, 2) AS avg_rating, count(*) AS sample_count,
+ round(avg(w.temperature_celsius) + 1e-9, 1) AS avg_temp FROM fact f JOIN weather w ON f.weather_snapshot_id = w.snapshot_id
  GROUP BY w.weather_condition""",
 )
 def _(spark, sf):

@@ -69,6 +69,15 @@ def round_to(value: Column, digits: int) -> Column:
     return F.round(value, digits)
 
 
+def round_mean(mean: Column, digits: int) -> Column:
+    """Half-up rounding of a computed mean.
+
+    Rounding to six digits first removes the noise of the summation order, so that a mean
+    halfway between two results rounds up however the rows were partitioned.
+    """
+    return F.round(F.round(mean, 6), digits)
+
+
 def percent(part: Column, total: Column) -> Column:
     """Share of the total in percent; null for an empty total."""
     return F.try_divide(part * F.lit(100.0), total.cast("double"))

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poilake.functions.scores import round_mean
+
 
 def search_attractions(
     fact: DataFrame,
@@ -73,7 +75,7 @@ def dashboard_summary(fact: DataFrame) -> DataFrame:
     """Header cards over the rated attractions."""
     return fact.where(F.col("rating").isNotNull()).agg(
         F.count("*").alias("total_attractions"),
-        F.round(F.avg("rating"), 2).alias("avg_rating"),
+        round_mean(F.avg("rating"), 2).alias("avg_rating"),
         F.sum("total_ratings").alias("total_reviews"),
         F.count_if("is_overcrowded").alias("overcrowded_count"),
     )
@@ -86,7 +88,7 @@ def district_summary(fact: DataFrame) -> DataFrame:
         .groupBy("district")
         .agg(
             F.count("*").alias("attraction_count"),
-            F.round(F.avg("rating"), 2).alias("avg_rating"),
+            round_mean(F.avg("rating"), 2).alias("avg_rating"),
             F.sum("total_ratings").alias("total_reviews"),
         )
         .orderBy(F.desc("attraction_count"), "district")
@@ -100,7 +102,7 @@ def lakehouse_stats(
     return dim.agg(
         F.count("*").alias("total_attractions"),
         F.count_distinct("district").alias("total_districts"),
-        F.round(F.avg(rating), 2).alias("avg_rating"),
+        round_mean(F.avg(rating), 2).alias("avg_rating"),
         F.sum(reviews).alias("total_reviews"),
         F.count_if(F.col(density) > 0.8).alias("overcrowded_count"),
     )
@@ -125,9 +127,9 @@ def weather_summary(fact: DataFrame, weather: DataFrame) -> DataFrame:
     return (
         joined.groupBy("weather_condition")
         .agg(
-            F.round(F.try_divide(F.sum("_rating"), F.sum("_rated")), 2).alias("avg_rating"),
+            round_mean(F.try_divide(F.sum("_rating"), F.sum("_rated")), 2).alias("avg_rating"),
             F.sum("_n").alias("sample_count"),
-            F.round(
+            round_mean(
                 F.try_divide(F.sum(F.col("temperature_celsius") * F.col("_n")), F.sum(F.when(known, F.col("_n")))), 1
             ).alias("avg_temp"),
         )
