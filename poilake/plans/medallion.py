@@ -13,7 +13,7 @@ from poilake.operators.clean import in_bbox
 from poilake.plans import marts
 from poilake.plans.silver import build_silver
 from poilake.sources.bronze import read_bronze
-from poilake.sources.tables import read_table, write_mart, write_silver
+from poilake.sources.tables import write_snapshot
 
 SILVER_RULES = [
     Q.not_null("business_key"),
@@ -70,15 +70,11 @@ def run_medallion(
     silver = build_silver(bronze, processed_at)
     if box:
         silver = in_bbox(silver, "latitude", "longitude", box)
-    write_silver(silver, f"{paths.silver}/attractions_enriched")
-    stored = read_table(spark, f"{paths.silver}/attractions_enriched")
-    stored = stored.where(stored["snapshot_date"] == snapshot_date)
+    stored = write_snapshot(silver, f"{paths.silver}/attractions_enriched", snapshot_date)
     gate(stored, SILVER_RULES, "silver")
 
-    gold_path = f"{paths.gold}/gold_attractions"
-    write_mart(marts.build_attractions(stored, districts, snapshot_date, processed_at), gold_path, "snapshot_date")
-    gold = read_table(spark, gold_path)
-    gold = gold.where(gold["snapshot_date"] == snapshot_date)
+    attractions = marts.build_attractions(stored, districts, snapshot_date, processed_at)
+    gold = write_snapshot(attractions, f"{paths.gold}/gold_attractions", snapshot_date)
     gate(gold, GOLD_RULES, "gold")
 
     builders = {
@@ -90,7 +86,5 @@ def run_medallion(
     }
     tables = {"attractions_enriched": stored, "gold_attractions": gold}
     for name, build in builders.items():
-        write_mart(build(gold), f"{paths.gold}/{name}", "snapshot_date")
-        mart = read_table(spark, f"{paths.gold}/{name}")
-        tables[name] = mart.where(mart["snapshot_date"] == snapshot_date)
+        tables[name] = write_snapshot(build(gold), f"{paths.gold}/{name}", snapshot_date)
     return tables

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,17 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
+def write_snapshot(df: DataFrame, path: str, day: date, by: str = "snapshot_date") -> DataFrame:
+    """Replace one date's partition by ``df``, also by no rows at all, and read it back.
+
+    An empty result must still remove what an earlier run of that date left behind, which
+    overwriting only the partitions present would not.
+    """
+    df.drop(by).hint("rebalance").write.mode("overwrite").parquet(f"{path}/{by}={day}")
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.where(F.col(by) == F.lit(day))
+
+
 def write_silver(df: DataFrame, path: str, by: str = "snapshot_date") -> None:
     """Silver table; history stays, reruns of a date replace it (A10).
 
