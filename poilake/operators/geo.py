@@ -23,14 +23,31 @@ def _small(dim: DataFrame, limit: int) -> list | None:
     return rows if len(rows) <= limit else None
 
 
-def _ranked_centers(rows: list, lat: Column, lon: Column) -> list[Column]:
-    return [
-        F.struct(
-            distance_sq(lat, lon, F.lit(r["center_lat"]), F.lit(r["center_lon"])).alias("distance_sq"),
-            F.lit(r["district_name"]).alias("district_name"),
-        )
-        for r in rows
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _distances(rows: list, lat: str, lon: str) -> list[str]:
+    """Squared distance to each centre as SQL; one parsed text is far quicker to build than columns."""
+    y, x = _name(lat), _name(lon)
+    terms = []
+    for r in rows:
+        up, side = f"({y} - {r['center_lat']!r}D)", f"({x} - {r['center_lon']!r}D)"
+        terms.append(f"{up} * {up} + {side} * {side}")
+    return terms
+
+
+def _ranked_centers(rows: list, lat: str, lon: str) -> Column:
+    """Array of (distance_sq, district_name) of every centre."""
+    structs = [
+        f"named_struct('distance_sq', {d}, 'district_name', {_text(r['district_name'])})"
+        for d, r in zip(_distances(rows, lat, lon), rows)
     ]
+    return F.expr(f"array({', '.join(structs)})")
 
 
 def assign_nearest(
@@ -44,11 +61,19 @@ def assign_nearest(
     rows = _small(centers, limit)
     if rows is None:
         return _nearest_by_grid(poi, centers, key, lat, lon)
-    y, x = F.col(lat), F.col(lon)
     if not rows:
         return poi.withColumn("district_name", F.lit(None).cast("string"))
-    nearest = F.array_min(F.array(*_ranked_centers(rows, y, x)))["district_name"]
-    return poi.withColumn("district_name", F.when(y.isNotNull() & x.isNotNull(), nearest))
+    # In name order the first position of the minimum breaks ties by name.
+    rows = sorted(rows, key=lambda r: r["district_name"])
+    distances = F.expr(f"array({', '.join(_distances(rows, lat, lon))})")
+    names = F.expr(f"array({', '.join(_text(r['district_name']) for r in rows)})")
+    at = F.expr("cast(array_position(_distances, array_min(_distances)) as int) - 1")
+    located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    return (
+        poi.withColumn("_distances", distances)
+        .withColumn("district_name", F.when(located, F.get(names, at)))
+        .drop("_distances")
+    )
 
 
 def _nearest_by_grid(poi: DataFrame, centers: DataFrame, key: Sequence[str], lat: str, lon: str) -> DataFrame:
@@ -110,7 +135,7 @@ def rank_centers(poi: DataFrame, centers: DataFrame, k: int = 1, lat: str = "lat
     """The ``k`` nearest centres of each row with distance and rank, without a window."""
     rows = _bounded(centers)
     y, x = F.col(lat), F.col(lon)
-    ranked = F.slice(F.array_sort(F.array(*_ranked_centers(rows, y, x))), 1, k)
+    ranked = F.slice(F.array_sort(_ranked_centers(rows, lat, lon)), 1, k)
     located = poi.where(y.isNotNull() & x.isNotNull())
     return (
         located.select("*", F.posexplode(ranked).alias("_at", "_center"))
@@ -133,8 +158,7 @@ def cross_distances(poi: DataFrame, centers: DataFrame, lat: str = "lat", lon: s
     bounded; ``assign_nearest`` has no such bound.
     """
     rows = _bounded(centers)
-    pairs = F.inline(F.array(*_ranked_centers(rows, F.col(lat), F.col(lon))))
-    return poi.select("*", pairs)
+    return poi.select("*", F.inline(_ranked_centers(rows, lat, lon)))
 
 
 def _bounded(centers: DataFrame) -> list:
@@ -159,14 +183,15 @@ def assign_bbox(
         return _bbox_by_grid(poi, boxes, key, default, lat, lon)
     if not rows:
         return poi.withColumn("district_name", F.lit(default))
-    y, x = F.col(lat), F.col(lon)
     # Smallest box first, so the first box around the row is the answer.
     rows = sorted(rows, key=lambda r: (_area(r), r["district_name"]))
-    name = F.when(F.lit(False), F.lit(default))
-    for r in rows:
-        inside = y.between(r["lat_min"], r["lat_max"]) & x.between(r["lon_min"], r["lon_max"])
-        name = name.when(inside, F.lit(r["district_name"]))
-    return poi.withColumn("district_name", name.otherwise(F.lit(default)))
+    y, x = _name(lat), _name(lon)
+    cases = [
+        f"WHEN {y} BETWEEN {r['lat_min']!r}D AND {r['lat_max']!r}D AND {x} BETWEEN {r['lon_min']!r}D AND {r['lon_max']!r}D"
+        f" THEN {_text(r['district_name'])}"
+        for r in rows
+    ]
+    return poi.withColumn("district_name", F.expr(f"CASE {' '.join(cases)} ELSE {_text(default)} END"))
 
 
 def _area(r) -> float:

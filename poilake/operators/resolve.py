@@ -28,7 +28,8 @@ from poilake.functions.geodesy import distance_m, reach_cell, reach_cells, tight
 from poilake.functions.text import blank_to_null, key_similarity, may_exceed, token_sort_key
 from poilake.operators.dedup import union_sources
 from poilake.operators.order import global_index
-from poilake.session import materialize
+from poilake.session import materialize, scratch_path, store
+from poilake.sources.files import delete_folder
 
 _SPOT = ["lat", "lon", "name_key"]
 
@@ -99,19 +100,27 @@ def _seed_rounds(nodes: DataFrame, rule: MatchRule) -> list[tuple[DataFrame, Dat
     round makes progress and no round limit is needed. State is written to the shared
     folder, so a lost executor costs part of one round at most.
     """
-    open_nodes, rounds = nodes, []
+    spark, rounds = nodes.sparkSession, []
+    open_nodes, open_path = nodes, None
     row = F.struct("idx", *_SPOT, "reach", "around")
     while True:
         first = open_nodes.groupBy("tight").agg(F.min_by(row, "idx").alias("c")).select("c.*")
         beaten = _reached(first, first).where((F.col("idx") < F.col("p_idx")) & (F.col("distance_m") < rule.near))
-        leading = materialize(first.join(beaten.select(F.col("p_idx").alias("idx")), "idx", "left_anti"), "leading")
+        leading_path = scratch_path(spark, "leading")
+        leading = store(first.join(beaten.select(F.col("p_idx").alias("idx")), "idx", "left_anti"), leading_path)
         pairs = materialize(_matches(leading, open_nodes, rule), "pairs")
         late = pairs.where(F.col("idx") < F.col("p_idx")).select(F.col("p_idx").alias("idx"))
         seeds = materialize(leading.join(late, "idx", "left_anti"), "seeds")
         matches = pairs.join(seeds.select(F.col("idx").alias("p_idx")), "p_idx", "left_semi")
         rounds.append((seeds, matches))
         done = matches.select("idx").unionByName(seeds.select("idx"))
-        open_nodes = materialize(open_nodes.join(done, "idx", "left_anti"), "open")
+        next_path = scratch_path(spark, "open")
+        open_nodes = store(open_nodes.join(done, "idx", "left_anti"), next_path)
+        # The result reads seeds and pairs only; the round's other tables can go.
+        for path in (leading_path, open_path):
+            if path:
+                delete_folder(spark, path)
+        open_path = next_path
         if open_nodes.isEmpty():
             return rounds
 

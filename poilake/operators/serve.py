@@ -59,14 +59,16 @@ def search_text(
 ) -> DataFrame:
     """Rows that contain most distinct words of the query, best ``k``.
 
-    Adds ``matches``. The words of a row are compared inside its task: nothing is
+    Adds ``matches``. One pass over the whole text finds the words inside its task: nothing is
     exploded or shuffled, and only ``k`` rows per task reach the final sort.
     """
-    words = sorted({w for w in re.split(r"[^\w]+", query.lower()) if w})
+    words = sorted({w for w in re.split(r"\W+", query.lower()) if w})
     if not words:
         return df.withColumn("matches", F.lit(0)).where(F.lit(False))
-    tokens = F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+")
-    matches = F.size(F.array_intersect(F.array(*[F.lit(w) for w in words]), tokens))
+    letter = r"[\p{L}\p{N}_]"
+    whole_word = f"(?<!{letter})({'|'.join(words)})(?!{letter})"
+    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(whole_word), F.lit(1))
+    matches = F.coalesce(F.size(F.array_distinct(found)), F.lit(0))
     hits = df.withColumn("matches", matches).where(F.col("matches") > 0)
     return hits.orderBy(F.desc("matches"), *score, *[F.asc_nulls_last(t) for t in tie]).limit(k)
 

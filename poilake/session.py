@@ -44,12 +44,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/poilake/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage of ``df`` by writing it to the shared folder and reading it back.
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back, which cuts its lineage.
 
-    The copy survives the loss of executors, and its file sizes give the optimizer a true
-    size to choose join strategies by.
+    In the shared folder the copy survives the loss of executors, and its file sizes give
+    the optimizer a true size to choose join strategies by.
     """
-    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``store`` below the scratch root."""
+    return store(df, scratch_path(df.sparkSession, label))
