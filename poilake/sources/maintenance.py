@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poilake.operators.quality import content_hash
-from poilake.session import scratch_path
-from poilake.sources.files import delete_folder, list_files, partition_value
-from poilake.sources.tables import write_partitions
+from poilake.sources.files import delete_folder, list_files, partition_value, replace_folder
 
 
 def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
@@ -23,32 +23,36 @@ def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, by: str = "snapshot_date", target_mb: float = 128) -> DataFrame:
-    """Rewrite partitions that hold more files than their size needs.
+    """Rewrite partitions that hold more files than their bytes need.
 
-    Only those partitions are read and written. The new files are written beside the
-    table first and compared with the old rows by count and content hash before they
-    replace them, so a failure at any point leaves every row in one of both places.
-    Returns one row per partition with the file counts before and after.
+    Only those partitions are read and written. Each is dealt evenly to as many files as
+    its size needs, so a large partition is written by many tasks and a second call finds
+    nothing to do. The new files are written beside the table and compared with the old
+    rows by count and content hash before renames put them in place. Returns one row per
+    partition with the file counts before and after.
     """
-    target = int(target_mb * 1024 * 1024)
+    target = target_mb * 1024 * 1024
     # One row per partition: the listing is taken now, because the files change below.
-    before = partition_files(spark, path, by).collect()
-    crowded = [r[by] for r in before if r["files"] > max(1, -(-r["bytes"] // target))]
+    before = partition_files(spark, path, by).where(F.col(by).isNotNull()).collect()
+    needed = {r[by]: max(1, math.ceil(r["bytes"] / target)) for r in before}
+    crowded = {r[by]: needed[r[by]] for r in before if r["files"] > needed[r[by]]}
     if crowded:
         table = spark.read.parquet(path)
-        old = table.where(F.col(by).cast("string").isin(crowded))
-        copy = scratch_path(spark, "compact")
-        advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        earlier = spark.conf.get(advised)
-        spark.conf.set(advised, str(target))
-        try:
-            write_partitions(old, copy, by)
-            new = spark.read.schema(table.schema).parquet(copy)
-            if content_hash(old).collect() != content_hash(new).collect():
-                raise RuntimeError(f"compacted copy {copy} differs from {path}")
-            write_partitions(new, path, by)
-        finally:
-            spark.conf.set(advised, earlier)
+        old = table.where(F.col(by).cast("string").isin(list(crowded)))
+        counts = spark.createDataFrame(list(crowded.items()), "_day string, _files int")
+        dealt = old.join(counts, F.col(by).cast("string") == F.col("_day")).withColumn(
+            "_file", F.pmod(F.monotonically_increasing_id(), F.col("_files"))
+        )
+        copy, aside = (f"{path.rstrip('/')}.{label}-{uuid.uuid4().hex}" for label in ("compact", "replaced"))
+        # Twice as many tasks as files leaves few tasks with more than one.
+        files = dealt.repartition(2 * sum(crowded.values()), by, "_file").select(*table.columns)
+        files.write.partitionBy(by).parquet(copy)
+        if content_hash(old).collect() != content_hash(spark.read.schema(table.schema).parquet(copy)).collect():
+            raise RuntimeError(f"compacted copy {copy} differs from {path}")
+        for day in crowded:
+            replace_folder(spark, f"{copy}/{by}={day}", f"{path}/{by}={day}", f"{aside}/{by}={day}")
+        for folder in (copy, aside):
+            delete_folder(spark, folder)
         spark.catalog.refreshByPath(path)
     after = partition_files(spark, path, by).select(by, F.col("files").alias("files_after"))
     listed = spark.createDataFrame(

@@ -140,6 +140,19 @@ def test_compact_and_expire(spark, folder):
     assert list_files(spark, folder, "*.parquet").count() == 2
 
 
+def test_compact_splits_a_large_partition(spark, folder):
+    # Half of the rows are copies of one row: they must spread over the files too.
+    df = spark.range(40000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.xxhash64("id")).alias("k"), F.lit(DAY).alias("snapshot_date"))
+    df.repartition(12).write.partitionBy("snapshot_date").parquet(folder)
+    size = list_files(spark, folder, "*.parquet").agg(F.sum("length")).first()[0]
+    before = Q.content_hash(spark.read.parquet(folder)).first()
+    first = M.compact(spark, folder, target_mb=size / 4 / 1024 / 1024).first()
+    assert first["files_before"] == 12 and 2 <= first["files_after"] <= 4
+    assert Q.content_hash(spark.read.parquet(folder)).first() == before
+    again = M.compact(spark, folder, target_mb=size / 4 / 1024 / 1024).first()
+    assert again["files_before"] == again["files_after"] == first["files_after"]
+
+
 def test_storage_stats(spark, folder):
     spark.range(100000).repartition(2).write.parquet(f"{folder}/a")
     got = T.storage_stats(spark, {"silver": f"{folder}/a", "gold": f"{folder}/none"}).collect()
