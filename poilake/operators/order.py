@@ -12,6 +12,9 @@ from poilake.session import materialize
 # monotonically_increasing_id keeps the partition number above this many bits.
 _OFFSET_BITS = 33
 
+# A slice of up to this many rows is sent to the tasks instead of shuffling the table.
+_SMALL_BATCH = 100_000
+
 
 def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
     """Adds each row's position (from 0) in a total order, without a single-task window.
@@ -20,9 +23,9 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx"
     partition sizes and the rows come from the same data. ``order`` must have no ties
     between many rows, or those rows meet in one range.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # No fixed number: adaptive execution joins small neighbouring ranges, in order.
     placed = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
@@ -31,7 +34,7 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx"
     )
     sizes = {row["_part"]: row["count"] for row in placed.groupBy("_part").count().collect()}
     starts = [0]  # one entry per range partition
-    for part in range(parts):
+    for part in range(max(sizes, default=-1)):
         starts.append(starts[-1] + sizes.get(part, 0))
     start = F.get(F.array(*[F.lit(n).cast("long") for n in starts]), F.col("_part").cast("int"))
     return placed.withColumn(name, start + F.col("_at")).drop("_part", "_at")
@@ -46,17 +49,19 @@ def daily_batch(
     joined back to the rows. When ``batch`` covers everything, all rows are returned;
     ``strict_reference`` then returns the tail from the start position only.
     """
-    keys = global_index(df.select(*order), order)
-    total = keys.count()
-    if total == 0:
+    total = df.count()
+    if total == 0 or (batch >= total and not strict_reference):
         return df
+    keys = global_index(df.select(*order), order)
     start = day_of_year * batch % total
     if batch >= total:
-        wanted = keys.where(F.col("idx") >= start) if strict_reference else keys
+        wanted = keys.where(F.col("idx") >= start)
     else:
         wanted = keys.where(F.pmod(F.col("idx") - start, F.lit(total)) < batch)
     same = [df[c].eqNullSafe(wanted[c]) for c in order]
     condition = same[0]
     for part in same[1:]:
         condition = condition & part
+    if batch <= _SMALL_BATCH:
+        wanted = F.broadcast(wanted)  # it has at most ``batch`` rows of key columns
     return df.join(wanted, condition, "left_semi")

@@ -135,7 +135,7 @@ _NUMERIC = {"byte", "short", "integer", "long", "float", "double"}
 def profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Per column: rows, non-null, null percent, distinct, and min, max and mean of numbers.
 
-    The exact distinct counts share one pass over (column, value hash) pairs, combined
+    The exact distinct counts share one pass over (column, value) pairs, combined
     before the shuffle; ``approximate`` replaces that pass by sketches.
     """
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
