@@ -52,6 +52,7 @@ def recent_runs(runs: DataFrame, n: int = 20) -> DataFrame:
 
 
 def failed_since(runs: DataFrame, now: datetime, hours: int = 24) -> DataFrame:
-    """Failed runs of the last ``hours`` before ``now``."""
-    since = F.lit(now) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return runs.where((F.col("state") == "failed") & (F.col("execution_date") >= since) & (F.col("execution_date") <= F.lit(now)))
+    """Failed runs of the last ``hours`` before ``now``, a wall-clock time of the session's zone."""
+    moment = F.lit(now.isoformat(" ")).cast(runs.schema["execution_date"].dataType)
+    since = moment - F.expr(f"INTERVAL {int(hours)} HOURS")
+    return runs.where((F.col("state") == "failed") & F.col("execution_date").between(since, moment))
