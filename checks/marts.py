@@ -190,23 +190,32 @@ def _(spark, sf):
 @query("nearest_district", W("nearest") + "SELECT osm_id, lat, lon, district_name FROM nearest")
 def _(spark, sf):
     places = V.poi(spark, sf).select("osm_id", "lat", "lon")
-    return geo.assign_nearest(places, V.districts(spark, sf), ["osm_id"])
+    return geo.assign_nearest(places, V.districts(spark, sf))
 
 
-@query("nearest_district_grid", W("nearest") + "SELECT osm_id, lat, lon, district_name FROM nearest")
+NEAREST_HUB = """SELECT osm_id, lat, lon, district_name FROM (SELECT p.osm_id, p.lat, p.lon, h.district_name,
+  row_number() OVER (PARTITION BY p.osm_id ORDER BY (p.lat-h.center_lat)*(p.lat-h.center_lat)
+  + (p.lon-h.center_lon)*(p.lon-h.center_lon), h.district_name) AS rn FROM poi p CROSS JOIN hubs h) WHERE rn = 1"""
+
+
+@query("nearest_district_grid", W("poi", "hubs") + NEAREST_HUB)
 def _(spark, sf):
     places = V.poi(spark, sf).select("osm_id", "lat", "lon")
-    return geo.assign_nearest(places, V.districts(spark, sf), ["osm_id"], limit=0)
+    return geo.assign_nearest(places, V.hubs(spark, sf))
 
 
 @query(
     "cross_distances",
-    W("poi", "districts") + """SELECT p.osm_id, d.district_name, round((p.lat-d.center_lat)*(p.lat-d.center_lat)
- + (p.lon-d.center_lon)*(p.lon-d.center_lon), 9) AS distance_sq FROM poi p CROSS JOIN districts d""",
+    W("poi", "districts") + """SELECT osm_id, district_name, distance_sq FROM (
+ SELECT *, row_number() OVER (PARTITION BY osm_id ORDER BY d2, district_name) AS rn FROM (
+ SELECT p.osm_id, d.district_name, (p.lat-d.center_lat)*(p.lat-d.center_lat)+(p.lon-d.center_lon)*(p.lon-d.center_lon) AS d2,
+ round((p.lat-d.center_lat)*(p.lat-d.center_lat)+(p.lon-d.center_lon)*(p.lon-d.center_lon), 9) AS distance_sq
+ FROM poi p CROSS JOIN districts d)) WHERE rn <= 10""",
 )
 def _(spark, sf):
+    """The distances that are used: those to the ten nearest centres of each place."""
     places = V.poi(spark, sf).select("osm_id", "lat", "lon")
-    pairs = geo.cross_distances(places, V.districts(spark, sf))
+    pairs = geo.rank_centers(places, V.districts(spark, sf), 10)
     return pairs.select("osm_id", "district_name", F.round("distance_sq", 9).alias("distance_sq"))
 
 
@@ -232,7 +241,7 @@ def _(spark, sf):
 def _(spark, sf):
     dim = tables.districts_dim(spark)
     counts = (
-        geo.assign_nearest(V.poi(spark, sf).select("osm_id", "lat", "lon"), dim, ["osm_id"])
+        geo.assign_nearest(V.poi(spark, sf).select("osm_id", "lat", "lon"), dim)
         .groupBy("district_name")
         .agg(F.count("*").alias("n"))
     )
@@ -251,13 +260,13 @@ BBOX = W("poi", "district_boxes") + """SELECT osm_id, lat, lon, coalesce(distric
 @query("bbox_district", BBOX)
 def _(spark, sf):
     places = V.poi(spark, sf).select("osm_id", "lat", "lon")
-    return geo.assign_bbox(places, V.district_boxes(spark, sf), ["osm_id"])
+    return geo.assign_bbox(places, V.district_boxes(spark, sf))
 
 
-@query("bbox_district_grid", BBOX)
+@query("bbox_district_grid", BBOX.replace("FROM poi p LEFT JOIN district_boxes", "FROM poi p LEFT JOIN hub_boxes").replace(W("poi", "district_boxes"), W("poi", "hub_boxes")))
 def _(spark, sf):
     places = V.poi(spark, sf).select("osm_id", "lat", "lon")
-    return geo.assign_bbox(places, V.district_boxes(spark, sf), ["osm_id"], limit=0)
+    return geo.assign_bbox(places, V.hub_boxes(spark, sf))
 
 
 @query(

@@ -76,6 +76,29 @@ def district_boxes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def hubs(spark: SparkSession, sf: str) -> DataFrame:
+    """A centre per customer, one of them far away from all others."""
+    key = F.col("c_custkey")
+    away = F.when(key == 1, _dbl(-20.0)).otherwise(_dbl(0.0))
+    return table(spark, sf, "customer").select(
+        F.col("c_name").alias("district_name"),
+        (_dbl(20.65) + (key * 613 % 7500).cast("double") / 10000 + away).alias("center_lat"),
+        (_dbl(105.35) + (key * 877 % 6300).cast("double") / 10000).alias("center_lon"),
+    )
+
+
+def hub_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """A box around each customer's centre, of many sizes."""
+    half = _dbl(0.002) + (F.length("district_name") + F.ascii(F.substring("district_name", -1, 1)) % 8).cast("double") / 400
+    return hubs(spark, sf).select(
+        "district_name",
+        (F.col("center_lat") - half).alias("lat_min"),
+        (F.col("center_lat") + half).alias("lat_max"),
+        (F.col("center_lon") - half).alias("lon_min"),
+        (F.col("center_lon") + half).alias("lon_max"),
+    )
+
+
 def poi_snap(spark: SparkSession, sf: str) -> DataFrame:
     month = F.trunc("l_shipdate", "month").alias("snapshot_date")
     return (
@@ -87,7 +110,7 @@ def poi_snap(spark: SparkSession, sf: str) -> DataFrame:
 
 def poi_history(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshots with the district of their place."""
-    placed = assign_nearest(poi(spark, sf).select("osm_id", "category", "lat", "lon"), districts(spark, sf), ["osm_id"])
+    placed = assign_nearest(poi(spark, sf).select("osm_id", "category", "lat", "lon"), districts(spark, sf))
     return poi_snap(spark, sf).join(placed.select("osm_id", "category", "district_name"), "osm_id")
 
 
@@ -264,6 +287,12 @@ FROM nation""",
     "district_boxes": """SELECT district_name, center_lat - CAST(0.06 AS DOUBLE) AS lat_min, center_lat + CAST(0.06 AS DOUBLE) AS lat_max,
  center_lon - CAST(0.06 AS DOUBLE) AS lon_min, center_lon + CAST(0.06 AS DOUBLE) AS lon_max
 FROM districts""",
+    "hubs": """SELECT c_name AS district_name,
+ CAST(20.65 AS DOUBLE) + CAST((c_custkey*613)%7500 AS DOUBLE)/CAST(10000 AS DOUBLE) + CASE WHEN c_custkey = 1 THEN CAST(-20.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS center_lat,
+ CAST(105.35 AS DOUBLE) + CAST((c_custkey*877)%6300 AS DOUBLE)/CAST(10000 AS DOUBLE) AS center_lon
+FROM customer""",
+    "hub_boxes": """SELECT district_name, center_lat - half AS lat_min, center_lat + half AS lat_max, center_lon - half AS lon_min, center_lon + half AS lon_max
+FROM (SELECT *, CAST(0.002 AS DOUBLE) + CAST(length(district_name) + ascii(right(district_name, 1)) % 8 AS DOUBLE)/CAST(400 AS DOUBLE) AS half FROM hubs)""",
     "poi_snap": """SELECT l_partkey AS osm_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
  round(1 + 4*avg(l_quantity)/CAST(50 AS DOUBLE), 2) AS rating, count(*) AS review_count
 FROM lineitem GROUP BY l_partkey, CAST(date_trunc('month', l_shipdate) AS DATE)""",
@@ -304,6 +333,7 @@ FROM poi""",
 _NEEDS = {
     "poi_b": ["poi"],
     "district_boxes": ["districts"],
+    "hub_boxes": ["hubs"],
     "nearest": ["poi", "districts"],
     "poi_history": ["poi_snap", "nearest"],
     "gold": ["nearest"],

@@ -2,234 +2,291 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from poilake import constants as K
 from poilake.functions.geodesy import distance_sq
 from poilake.functions.scores import color_band
 from poilake.session import materialize
 
-# Up to this many centres or boxes become one expression; more use a join.
-UNROLLED = 64
+# A cell with more candidates than this is divided into sixteen, to this depth at most.
+_ENOUGH, _DEPTH = 32, 14
+# Rows whose coordinates are not below this have no place.
+_FARTHEST = 1e6
+# Copies of a cell's candidates, so that a cell with a third of all rows is spread over tasks.
+_SALTS = 8
 
 
-def _small(dim: DataFrame, limit: int) -> list | None:
-    """The rows of ``dim`` when there are at most ``limit``, fetched with that bound."""
-    rows = dim.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+class _Grid(NamedTuple):
+    """The square that all cells divide, and the levels of which there are cells."""
 
+    south: float
+    west: float
+    side: float
+    levels: list[int]
 
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
 
+def _placed(lat: str, lon: str) -> Column:
+    return F.coalesce((F.abs(F.col(lat)) < _FARTHEST) & (F.abs(F.col(lon)) < _FARTHEST), F.lit(False))
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
+def _square(rows: DataFrame, lat: str, lon: str) -> tuple[float, float, float]:
+    """South and west edge and side of a square around all placed rows."""
+    box = rows.where(_placed(lat, lon)).agg(F.min(lat), F.min(lon), F.max(lat), F.max(lon)).first()
+    if box[0] is None:
+        return 0.0, 0.0, 1.0
+    return box[0], box[1], max(box[2] - box[0], box[3] - box[1], 1e-9) * (1 + 1e-9)
 
-def _distances(rows: list, lat: str, lon: str) -> list[str]:
-    """Squared distance to each centre as SQL; one parsed text is far quicker to build than columns."""
-    y, x = _name(lat), _name(lon)
-    terms = []
-    for r in rows:
-        up, side = f"({y} - {r['center_lat']!r}D)", f"({x} - {r['center_lon']!r}D)"
-        terms.append(f"{up} * {up} + {side} * {side}")
-    return terms
 
-
-def _ranked_centers(rows: list, lat: str, lon: str) -> Column:
-    """Array of (distance_sq, district_name) of every centre."""
-    structs = [
-        f"named_struct('distance_sq', {d}, 'district_name', {_text(r['district_name'])})"
-        for d, r in zip(_distances(rows, lat, lon), rows)
-    ]
-    return F.expr(f"array({', '.join(structs)})")
-
-
-def assign_nearest(
-    poi: DataFrame, centers: DataFrame, key: Sequence[str], lat: str = "lat", lon: str = "lon", limit: int = UNROLLED
-) -> DataFrame:
-    """Adds ``district_name`` of the nearest centre, ties by name, null without coordinates.
-
-    A dimension of at most ``limit`` rows becomes one expression: no join and no shuffle.
-    A larger one goes through grid joins, with ``key`` naming the unique key of ``poi``.
-    """
-    rows = _small(centers, limit)
-    if rows is None:
-        return _nearest_by_grid(poi, centers, key, lat, lon)
-    if not rows:
-        return poi.withColumn("district_name", F.lit(None).cast("string"))
-    # In name order the first position of the minimum breaks ties by name.
-    rows = sorted(rows, key=lambda r: r["district_name"])
-    distances = F.expr(f"array({', '.join(_distances(rows, lat, lon))})")
-    names = F.expr(f"array({', '.join(_text(r['district_name']) for r in rows)})")
-    at = F.expr("cast(array_position(_distances, array_min(_distances)) as int) - 1")
-    located = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+def _divided(cells: DataFrame) -> DataFrame:
+    """Each (row, col, ...) as the sixteen cells of the next level."""
+    quarter = F.array(*[F.lit(i).cast("long") for i in range(4)])
     return (
-        poi.withColumn("_distances", distances)
-        .withColumn("district_name", F.when(located, F.get(names, at)))
-        .drop("_distances")
+        cells.withColumn("_up", F.explode(quarter))
+        .withColumn("_to", F.explode(quarter))
+        .withColumns({"row": F.col("row") * 4 + F.col("_up"), "col": F.col("col") * 4 + F.col("_to")})
+        .drop("_up", "_to")
     )
 
 
-def _nearest_by_grid(poi: DataFrame, centers: DataFrame, key: Sequence[str], lat: str, lon: str) -> DataFrame:
-    """Exact nearest centre by joins on a grid that doubles until every row is decided.
+def _cells(
+    items: DataFrame, poi: DataFrame, lat: str, lon: str, prune: Callable[[DataFrame, Column, Column, Column], DataFrame]
+) -> tuple[DataFrame, _Grid]:
+    """Disjoint cells (level, row, col) around the rows with their candidate ``items``.
 
-    A row whose best centre in its nine cells is within one cell width has its nearest
-    centre; only the others try the next grid. The centres, not the rows, are copied to
-    the nine cells, and minima are combined before the shuffle.
+    A cell is divided into sixteen until few candidates are left. ``prune`` keeps the items
+    that can be an answer somewhere in their cell; it gets (row, col, item) with the south and
+    west edges and the side of the cell. The steps' tables are in the shared folder; their
+    number is bounded by the depth. Cells without candidates are left out. Where one cell is
+    enough, the rows are not looked at.
+    """
+    root = F.lit(0).cast("long")
+    still = items.select(root.alias("row"), root.alias("col"), F.struct("*").alias("item"))
+    sizes, levels, parts = [still.limit(_ENOUGH + 1).count()], [], []
+    south, west, width = _square(poi, lat, lon) if sizes[0] > _ENOUGH else (0.0, 0.0, 1.0)
+    for level in range(_DEPTH + 1):
+        if level:
+            side = F.lit(width / 4**level)
+            kept = prune(_divided(still), F.col("row") * side + F.lit(south), F.col("col") * side + F.lit(west), side)
+            kept = materialize(kept.select("row", "col", "item"), "cells")
+            counts = kept.groupBy("row", "col").agg(F.count("*").alias("n"))
+            still = materialize(kept.join(counts, ["row", "col"]), "sized")
+            sizes = [still.agg(F.min("n"), F.max("n")).first()[i] or 0 for i in range(2)]
+        many = max(sizes) > _ENOUGH and level < _DEPTH
+        if 0 < min(sizes) <= _ENOUGH or level == _DEPTH:
+            done = still.where(F.col("n") <= _ENOUGH) if many else still
+            done = done.groupBy("row", "col").agg(F.collect_list("item").alias("items"))
+            parts.append(done.select(F.lit(level).alias("level"), "row", "col", "items"))
+            levels.append(level)
+        if not many:
+            break
+        still = still.where(F.col("n") > _ENOUGH).select("row", "col", "item") if level else still
+    leaves = parts[0] if parts else still.select(F.lit(0).alias("level"), "row", "col", F.array("item").alias("items"))
+    for part in parts[1:]:
+        leaves = leaves.unionByName(part)
+    return materialize(leaves, "leaves"), _Grid(south, west, width, levels)
+
+
+def _with_candidates(poi: DataFrame, leaves: DataFrame, grid: _Grid, lat: str, lon: str) -> DataFrame:
+    """``poi`` with ``_items``, the candidates of each row's cell; null where it has no place.
+
+    Every row lies in one cell of one level. The stored cells' size lets Spark send them to all
+    tasks while they are small; else rows and cells meet by salted keys.
     """
-    spots = centers.groupBy("center_lat", "center_lon").agg(F.min("district_name").alias("district_name"))
-    box = spots.agg(
-        F.min("center_lat"), F.max("center_lat"), F.min("center_lon"), F.max("center_lon"), F.count("*")
-    ).first()
-    rows_box = poi.agg(F.min(lat), F.max(lat), F.min(lon), F.max(lon)).first()
-    span = max(
-        [max(box[1], rows_box[1]) - min(box[0], rows_box[0]), max(box[3], rows_box[3]) - min(box[2], rows_box[2])]
-        if rows_box[0] is not None
-        else [0.0]
+    tries = F.array(*[F.lit(n) for n in grid.levels])
+    one_cell = grid.levels == [0]
+    side = F.lit(grid.side) / F.pow(F.lit(4.0), F.col("_level").cast("double"))
+    last = F.pow(F.lit(4.0), F.col("_level").cast("double")) - 1
+
+    def cell(at: str, edge: float) -> Column:
+        found = F.lit(0.0) if one_cell else F.least(F.greatest(F.floor((F.col(at) - edge) / side), F.lit(0)), last)
+        nowhere = F.monotonically_increasing_id()  # spreads rows without a place
+        return F.when(F.col("_level") >= 0, found.cast("long")).otherwise(nowhere)
+
+    rows = poi.withColumn("_level", F.explode(F.when(_placed(lat, lon), tries).otherwise(F.array(F.lit(-1))))).withColumns(
+        {
+            "_row": cell(lat, grid.south),
+            "_col": cell(lon, grid.west),
+            "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"),
+        }
     )
-    width = max(max(box[1] - box[0], box[3] - box[2]) / math.sqrt(box[4]), 1e-6)
-    open_rows = poi.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
-        *key, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")
+    cells = leaves.select(
+        F.col("level").alias("_level"),
+        F.col("row").alias("_row"),
+        F.col("col").alias("_col"),
+        F.col("items").alias("_items"),
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"),
     )
-    found = None
-    while True:
-        cells = spots.select(
-            "*",
-            F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)])).alias("_up"),
-            F.floor(F.col("center_lat") / width).alias("_row0"),
-            F.floor(F.col("center_lon") / width).alias("_col0"),
-        ).select(
-            "district_name",
-            "center_lat",
-            "center_lon",
-            (F.col("_row0") + F.col("_up")).alias("_row"),
-            F.explode(F.array(*[F.col("_col0") + d for d in (-1, 0, 1)])).alias("_col"),
-        )
-        placed = open_rows.withColumns({"_row": F.floor(F.col("_lat") / width), "_col": F.floor(F.col("_lon") / width)})
-        near = F.struct(
-            distance_sq(F.col("_lat"), F.col("_lon"), F.col("center_lat"), F.col("center_lon")).alias("distance_sq"),
-            "district_name",
-        )
-        best = materialize(
-            placed.join(cells, ["_row", "_col"], "left").groupBy(*key, "_lat", "_lon").agg(F.min(
-                F.when(F.col("district_name").isNotNull(), near)).alias("_best")),
-            "nearest",
-        )
-        last = width > 2 * span
-        done = F.coalesce(F.col("_best.distance_sq") <= width * width, F.lit(False)) | F.lit(last)
-        decided = best.where(done).select(*key, F.col("_best.district_name").alias("district_name"))
-        found = decided if found is None else found.unionByName(decided)
-        open_rows = best.where(~done).select(*key, "_lat", "_lon")
-        if last or open_rows.isEmpty():
-            return poi.join(found, list(key), "left")
-        width *= 2
+    met = rows.join(cells, ["_level", "_row", "_col", "_salt"], "left")
+    return met.where(F.col("_items").isNotNull() | (F.col("_level") < 0)).select(*poi.columns, "_items")
 
 
-def rank_centers(poi: DataFrame, centers: DataFrame, k: int = 1, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """The ``k`` nearest centres of each row with distance and rank, without a window."""
-    rows = _bounded(centers)
-    y, x = F.col(lat), F.col(lon)
-    ranked = F.slice(F.array_sort(_ranked_centers(rows, lat, lon)), 1, k)
-    located = poi.where(y.isNotNull() & x.isNotNull())
-    return (
-        located.select("*", F.posexplode(ranked).alias("_at", "_center"))
-        .withColumns(
-            {
-                "district_name": F.col("_center.district_name"),
-                "distance_sq": F.col("_center.distance_sq"),
-                "rank_nearest": F.col("_at") + 1,
-            }
-        )
-        .drop("_at", "_center")
+def _nearest_cells(centers: DataFrame, k: int, poi: DataFrame, lat: str, lon: str) -> tuple[DataFrame, _Grid]:
+    """Cells with the centres that are among the ``k`` nearest of some point of the cell.
+
+    Where a centre is nearer than another is a half plane. So if it is nearer at all corners of
+    a cell, it is nearer everywhere in it. A centre that each of some ``k`` others beats at all
+    corners is left out; these others are the nearest of the cell's middle (for ``k`` = 1 also
+    the nearest of each corner, one by one).
+    """
+    spots = centers.where(F.col("center_lat").isNotNull() & F.col("center_lon").isNotNull()).select(
+        "district_name", "center_lat", "center_lon"
+    )
+    if k == 1:  # of centres on one spot the first name is the answer
+        spots = spots.groupBy("center_lat", "center_lon").agg(F.min("district_name").alias("district_name"))
+
+    def prune(still: DataFrame, south: Column, west: Column, side: Column) -> DataFrame:
+        corners = [(south + up, west + to) for up in (F.lit(0.0), side) for to in (F.lit(0.0), side)]
+        middle = (south + side / 2, west + side / 2)
+        spot = F.struct("item.center_lat", "item.center_lon")
+
+        def away(point, c: Column) -> Column:
+            return distance_sq(*point, c["center_lat"], c["center_lon"])
+
+        if k == 1:
+            rivals = still.groupBy("row", "col").agg(
+                F.array(*[F.min_by(spot, away(p, spot)) for p in (middle, *corners)]).alias("rivals")
+            )
+        else:
+            nth = F.row_number().over(Window.partitionBy("row", "col").orderBy(away(middle, spot)))
+            first = still.withColumn("nth", nth).where(F.col("nth") <= k)
+            rivals = first.groupBy("row", "col").agg(F.collect_list(spot).alias("rivals"))
+        item = F.col("item")
+
+        def loses(r: Column) -> Column:
+            out = F.lit(True)
+            for p in corners:
+                mine, other = away(p, item), away(p, r)
+                out = out & (mine > other + (mine + other) * F.lit(1e-9))
+            return out
+
+        lost = F.exists("rivals", loses) if k == 1 else F.forall("rivals", loses) & (F.size("rivals") >= k)
+        return still.join(rivals, ["row", "col"]).where(~lost)
+
+    return _cells(spots, poi, lat, lon, prune)
+
+
+def _by_distance(lat: str, lon: str) -> Column:
+    """The candidates as structs (distance_sq, district_name)."""
+    return F.transform(
+        "_items",
+        lambda c: F.struct(
+            distance_sq(F.col(lat), F.col(lon), c["center_lat"], c["center_lon"]).alias("distance_sq"),
+            c["district_name"].alias("district_name"),
+        ),
     )
 
 
-def cross_distances(poi: DataFrame, centers: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Every row with every centre and the squared distance.
+def assign_nearest(poi: DataFrame, centers: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Adds ``district_name`` of the nearest centre, ties by name, null without coordinates.
 
-    The centres are an expression list that is expanded inside each task, so nothing is
-    joined or shuffled. The result has rows x centres rows, which is why the dimension is
-    bounded; ``assign_nearest`` has no such bound.
+    One plan for dimensions of any size: rows meet the few centres that can be nearest in
+    their cell. Rows need no key; repeated rows stay. Centres with a null coordinate are
+    ignored, a null name comes before all others. The centres are read when this is called.
     """
-    rows = _bounded(centers)
-    return poi.select("*", F.inline(_ranked_centers(rows, lat, lon)))
+    rest = poi.drop("district_name")
+    leaves, grid = _nearest_cells(centers, 1, rest, lat, lon)
+    if not grid.levels:
+        return rest.withColumn("district_name", F.lit(None).cast("string"))
+    best = F.array_min(_by_distance(lat, lon))["district_name"]
+    return _with_candidates(rest, leaves, grid, lat, lon).withColumn("district_name", best).drop("_items")
 
 
-def _bounded(centers: DataFrame) -> list:
-    rows = _small(centers, UNROLLED)
-    if rows is None:
-        raise ValueError(f"more than {UNROLLED} centres: use assign_nearest")
-    return rows
+def rank_centers(poi: DataFrame, centers: DataFrame, k: int = 1, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """The ``k`` nearest centres of each located row with distance and rank.
+
+    Fewer than ``k`` centres are all returned. Ties go by name.
+    """
+    leaves, grid = _nearest_cells(centers, k, poi, lat, lon)
+    if not grid.levels:
+        kinds = {"district_name": "string", "distance_sq": "double", "rank_nearest": "int"}
+        return poi.where(F.lit(False)).withColumns({c: F.lit(None).cast(t) for c, t in kinds.items()})
+    ranked = F.slice(F.array_sort(_by_distance(lat, lon)), 1, k)
+    return (
+        _with_candidates(poi, leaves, grid, lat, lon)
+        .where(F.col("_items").isNotNull())
+        .select(*poi.columns, F.posexplode(ranked).alias("_at", "_center"))
+        .select(
+            *poi.columns,
+            F.col("_center.district_name").alias("district_name"),
+            F.col("_center.distance_sq").alias("distance_sq"),
+            (F.col("_at") + 1).alias("rank_nearest"),
+        )
+    )
 
 
 def assign_bbox(
-    poi: DataFrame,
-    boxes: DataFrame,
-    key: Sequence[str],
-    default: str = K.UNKNOWN_DISTRICT,
-    lat: str = "lat",
-    lon: str = "lon",
-    limit: int = UNROLLED,
-) -> DataFrame:
-    """Adds ``district_name`` of the box around each row; the smallest box wins, then the name."""
-    rows = _small(boxes, limit)
-    if rows is None:
-        return _bbox_by_grid(poi, boxes, key, default, lat, lon)
-    if not rows:
-        return poi.withColumn("district_name", F.lit(default))
-    # Smallest box first, so the first box around the row is the answer.
-    rows = sorted(rows, key=lambda r: (_area(r), r["district_name"]))
-    y, x = _name(lat), _name(lon)
-    cases = [
-        f"WHEN {y} BETWEEN {r['lat_min']!r}D AND {r['lat_max']!r}D AND {x} BETWEEN {r['lon_min']!r}D AND {r['lon_max']!r}D"
-        f" THEN {_text(r['district_name'])}"
-        for r in rows
-    ]
-    return poi.withColumn("district_name", F.expr(f"CASE {' '.join(cases)} ELSE {_text(default)} END"))
-
-
-def _area(r) -> float:
-    return (r["lat_max"] - r["lat_min"]) * (r["lon_max"] - r["lon_min"])
-
-
-def _bbox_by_grid(
-    poi: DataFrame, boxes: DataFrame, key: Sequence[str], default: str, lat: str, lon: str
+    poi: DataFrame, boxes: DataFrame, default: str = K.UNKNOWN_DISTRICT, lat: str = "lat", lon: str = "lon"
 ) -> DataFrame:
-    """Many boxes: each box lies in at most four cells of the grid level of its own size."""
-    side = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min"), F.lit(1e-6))
-    level = F.ceil(F.log2(side)).cast("int")
-    sized = boxes.withColumns({"_level": level, "_side": F.pow(F.lit(2.0), level.cast("double"))})
-    cells = sized.withColumn(
-        "_row", F.explode(F.sequence(F.floor(F.col("lat_min") / F.col("_side")), F.floor(F.col("lat_max") / F.col("_side"))))
-    ).withColumn(
-        "_col", F.explode(F.sequence(F.floor(F.col("lon_min") / F.col("_side")), F.floor(F.col("lon_max") / F.col("_side"))))
-    )
-    # At most some thirty levels exist, from a metre to the whole globe.
-    levels = [r["_level"] for r in sized.select("_level").distinct().collect()]
+    """Adds ``district_name`` of the box around each row; the smallest box wins, then the name.
+
+    One plan for any number of boxes: rows meet the boxes that can be the answer in their cell.
+    Rows need no key. Boxes with a null edge hold nothing; ``default`` is for rows in no box,
+    without coordinates, or in a box without a name.
+    """
+    edges = ["lat_min", "lat_max", "lon_min", "lon_max"]
+    area = (F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))
+    whole = boxes.dropna(subset=edges).select(area.alias("area"), "district_name", *edges)
+
+    def prune(still: DataFrame, south: Column, west: Column, side: Column) -> DataFrame:
+        b = {e: F.col(f"item.{e}") for e in edges}
+        slack = side * F.lit(1e-6)  # more than floor() can misplace a row by
+        met = still.where(
+            (b["lat_min"] <= south + side + slack) & (b["lat_max"] >= south - slack)
+            & (b["lon_min"] <= west + side + slack) & (b["lon_max"] >= west - slack)
+        ).withColumn("rank", F.struct("item.area", "item.district_name"))
+        covers = (
+            (b["lat_min"] <= south - slack) & (b["lat_max"] >= south + side + slack)
+            & (b["lon_min"] <= west - slack) & (b["lon_max"] >= west + side + slack)
+        )
+        # A box all over the cell hides those that come after it.
+        best = met.groupBy("row", "col").agg(F.min(F.when(covers, F.col("rank"))).alias("best"))
+        return met.join(best, ["row", "col"]).where(F.col("best").isNull() | (F.col("rank") <= F.col("best")))
+
+    rest = poi.drop("district_name")
+    leaves, grid = _cells(whole, rest, lat, lon, prune)
+    if not grid.levels:
+        return rest.withColumn("district_name", F.lit(default))
     y, x = F.col(lat), F.col(lon)
-    probes = poi.where(y.isNotNull() & x.isNotNull()).select(
-        *key, y.alias("_lat"), x.alias("_lon"), F.explode(F.array(*[F.lit(n) for n in levels])).alias("_level")
-    )
-    cell = F.pow(F.lit(2.0), F.col("_level").cast("double"))
-    probes = probes.withColumns({"_row": F.floor(F.col("_lat") / cell), "_col": F.floor(F.col("_lon") / cell)})
-    hits = probes.join(cells, ["_level", "_row", "_col"]).where(
-        F.col("_lat").between(F.col("lat_min"), F.col("lat_max"))
-        & F.col("_lon").between(F.col("lon_min"), F.col("lon_max"))
+    around = F.filter(
+        "_items", lambda b: y.between(b["lat_min"], b["lat_max"]) & x.between(b["lon_min"], b["lon_max"])
     )
-    area = (F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))
-    best = hits.groupBy(*key).agg(F.min(F.struct(area.alias("area"), "district_name")).alias("_best"))
-    named = best.select(*key, F.col("_best.district_name").alias("district_name"))
-    return poi.join(named, list(key), "left").withColumn(
-        "district_name", F.coalesce("district_name", F.lit(default))
+    best = F.array_min(F.transform(around, lambda b: F.struct(b["area"], b["district_name"])))["district_name"]
+    return (
+        _with_candidates(rest, *_padded(leaves, grid), lat, lon)
+        .withColumn("district_name", F.coalesce(best, F.lit(default)))
+        .drop("_items")
     )
 
 
+def _padded(leaves: DataFrame, grid: _Grid) -> tuple[DataFrame, _Grid]:
+    """``leaves`` and, without candidates, the cells that they leave uncovered, with all levels.
+
+    Each leaf's ancestors were divided, so the uncovered cells are their children that are
+    neither leaves nor ancestors.
+    """
+    if grid.levels == [0]:
+        return leaves, grid
+    cell = leaves.select("level", "row", "col")
+    above = cell.where("level > 0").withColumn("up", F.explode(F.sequence(F.lit(1), F.col("level"))))
+    scale = F.pow(F.lit(4.0), F.col("up").cast("double"))
+    above = above.select(
+        (F.col("level") - F.col("up")).alias("level"),
+        F.floor(F.col("row") / scale).alias("row"),
+        F.floor(F.col("col") / scale).alias("col"),
+    ).distinct()
+    children = _divided(above).withColumn("level", F.col("level") + 1).select("level", "row", "col")
+    empty = children.join(cell.unionByName(above), ["level", "row", "col"], "left_anti")
+    blank = empty.withColumn("items", F.array().cast(leaves.schema["items"].dataType))
+    every = list(range(max(grid.levels) + 1))
+    return materialize(leaves.unionByName(blank), "padded"), grid._replace(levels=every)
+
+
 def heat_grid(df: DataFrame, cell: float, weight: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Weight and count per square grid cell of ``cell`` degrees."""
     return (

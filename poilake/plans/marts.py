@@ -37,7 +37,7 @@ def build_attractions(
         F.lit("google_osm").alias("sources"),
     )
     one = latest_per_key(rows, ["name", "lat", "lon"], [F.asc_nulls_last("business_key")])
-    placed = assign_nearest(one, districts, key=["business_key"])
+    placed = assign_nearest(one, districts)
     loaded = F.lit(loaded_at) if loaded_at else F.current_timestamp()
     return placed.select(
         attraction_key(F.col("name"), F.col("lat"), F.col("lon")).alias("attraction_key"),

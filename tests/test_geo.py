@@ -23,54 +23,69 @@ def nearest(rows, centers):
 
 
 @pytest.mark.parametrize("n_centers, spread", [(5, 1.0), (200, 1.0), (200, 0.01), (1, 1.0)])
-@pytest.mark.parametrize("limit", [0, 64])
-def test_nearest_equals_brute_force(spark, n_centers, spread, limit):
+def test_nearest_equals_brute_force(spark, n_centers, spread):
     rng = random.Random(n_centers)
     centers = [(f"d{i:03d}", 21.0 + rng.uniform(0, 0.5) * spread, 105.8 + rng.uniform(0, 0.7) * spread) for i in range(n_centers)]
     rows, poi = places(spark)
     dim = spark.createDataFrame(centers, "district_name string, center_lat double, center_lon double")
-    got = {r["id"]: r["district_name"] for r in geo.assign_nearest(poi, dim, ["id"], limit=limit).collect()}
+    got = {r["id"]: r["district_name"] for r in geo.assign_nearest(poi, dim).collect()}
     assert got == nearest(rows, centers) | {300: None, 301: None}
 
 
-@pytest.mark.parametrize("limit", [0, 64])
-def test_nearest_tie_goes_to_the_first_name(spark, limit):
+def test_nearest_tie_goes_to_the_first_name(spark):
     dim = spark.createDataFrame(
         [("b", 1.0, 0.0), ("a", -1.0, 0.0), ("c", -1.0, 0.0)], "district_name string, center_lat double, center_lon double"
     )
     poi = spark.createDataFrame([(1, 0.0, 0.0)], POI)
-    assert geo.assign_nearest(poi, dim, ["id"], limit=limit).first()["district_name"] == "a"
+    assert geo.assign_nearest(poi, dim).first()["district_name"] == "a"
 
 
 def test_fixed_districts_need_no_shuffle(spark):
     _, poi = places(spark)
-    plan = plan_of(geo.assign_nearest(poi, tables.districts_dim(spark), ["id"]))
-    assert "Exchange" not in plan and "Join" not in plan
+    plan = plan_of(geo.assign_nearest(poi, tables.districts_dim(spark)))
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and "SortMergeJoin" not in plan
     assert tables.districts_dim(spark).count() == 30
 
 
-def test_cross_distances_need_no_join(spark):
-    _, poi = places(spark)
-    pairs = geo.cross_distances(poi, tables.districts_dim(spark))
-    assert pairs.count() == 302 * 30
-    assert "Join" not in plan_of(pairs) and "Cartesian" not in plan_of(pairs)
-    dim = tables.districts_dim(spark)
-    many = dim.unionByName(dim).unionByName(dim)
-    with pytest.raises(ValueError):
-        geo.cross_distances(poi, many)
+def test_k_nearest_equal_brute_force(spark):
+    rng = random.Random(9)
+    centers = [(f"d{i:03d}", rng.uniform(20.8, 21.2), rng.uniform(105.5, 106)) for i in range(150)]
+    centers += [("twin", *centers[0][1:]), ("null", None, 105.0)]
+    rows, poi = places(spark)
+    dim = spark.createDataFrame(centers, "district_name string, center_lat double, center_lon double")
+    got = {}
+    for r in geo.rank_centers(poi, dim, 4).collect():
+        got.setdefault(r["id"], {})[r["rank_nearest"]] = r["district_name"]
+    for i, lat, lon in rows:
+        near = sorted(((lat - a) ** 2 + (lon - b) ** 2, n) for n, a, b in centers if a is not None)[:4]
+        assert [got[i][k] for k in (1, 2, 3, 4)] == [n for _, n in near]
+    assert len(got) == 300
+    assert geo.rank_centers(poi, dim.limit(0), 4).count() == 0
+    assert {r["district_name"] for r in geo.assign_nearest(poi, dim.where("center_lat is null")).collect()} == {None}
+
+
+def test_an_outlier_does_not_cost_pairs(spark):
+    """2,000 even centres and one far away: rows still meet a bounded number of centres."""
+    centers = [(f"c{i}", 21 + (i // 50) / 100, 105 + (i % 50) / 100) for i in range(2000)] + [("far", 0.0, 0.0)]
+    dim = spark.createDataFrame(centers, "district_name string, center_lat double, center_lon double")
+    poi = spark.createDataFrame([(1, 0.1, 0.1), (2, 21.0, 105.0), (2, 21.0, 105.0), (None, 21.39, 105.49), (3, float("nan"), 0.0)], POI)
+    leaves, grid = geo._nearest_cells(dim, 1, poi, "lat", "lon")
+    assert leaves.agg(F.max(F.size("items"))).first()[0] <= geo._ENOUGH and len(grid.levels) < 8
+    got = sorted((r["id"] or 0, r["district_name"] or "") for r in geo.assign_nearest(poi, dim).collect())
+    assert got == [(0, "c1999"), (1, "far"), (2, "c0"), (2, "c0"), (3, "")]
 
 
-@pytest.mark.parametrize("limit", [0, 64])
-def test_boxes_equal_brute_force(spark, limit):
+@pytest.mark.parametrize("n", [20, 200])
+def test_boxes_equal_brute_force(spark, n):
     rng = random.Random(5)
     boxes = []
-    for i in range(40):
+    for i in range(n):
         a, b, h, w = rng.uniform(20.5, 21.4), rng.uniform(105, 106.4), rng.uniform(0.001, 0.4), rng.uniform(0.001, 0.4)
-        boxes.append((f"b{i:02d}", a, a + h, b, b + w))
+        boxes.append((f"b{i:03d}", a, a + h, b, b + w))
     boxes.append(("twin", *boxes[0][1:]))
     rows, poi = places(spark)
     dim = spark.createDataFrame(boxes, "district_name string, lat_min double, lat_max double, lon_min double, lon_max double")
-    got = {r["id"]: r["district_name"] for r in geo.assign_bbox(poi, dim, ["id"], limit=limit).collect()}
+    got = {r["id"]: r["district_name"] for r in geo.assign_bbox(poi, dim).collect()}
     for i, lat, lon in rows:
         around = [((d - c) * (f - e), n) for n, c, d, e, f in boxes if c <= lat <= d and e <= lon <= f]
         assert got[i] == (min(around)[1] if around else "Unknown District")
@@ -79,7 +94,7 @@ def test_boxes_equal_brute_force(spark, limit):
 
 def test_published_boxes(spark):
     poi = spark.createDataFrame([(1, 21.03, 105.85), (2, 21.04, 105.82), (3, 20.0, 105.0)], POI)
-    got = geo.assign_bbox(poi, tables.district_boxes_dim(spark), ["id"]).orderBy("id").collect()
+    got = geo.assign_bbox(poi, tables.district_boxes_dim(spark)).orderBy("id").collect()
     assert [r["district_name"] for r in got] == ["Hoàn Kiếm", "Ba Đình", "Unknown District"]
 
 
