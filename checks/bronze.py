@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import views as V
 from checks.core import query
+from poilake import constants as K
 from poilake import schemas
 from poilake.operators import clean
 from poilake.operators import quality as Q
@@ -16,7 +17,6 @@ from poilake.plans.medallion import Paths, run_medallion
 from poilake.plans.silver import build_silver
 from poilake.session import scratch_path
 from poilake.sources import bronze as B
-from poilake.sources import maintenance as M
 from poilake.sources import normalize as N
 from poilake.sources import tables as T
 
@@ -43,7 +43,7 @@ def _(spark, sf):
     )
     text = V.poi(spark, sf).select(F.to_json(F.struct(F.array(place).alias("places"))).alias("json"))
     raw = text.select(F.from_json("json", schemas.PLACES_SEARCH).alias("r")).select("r.*")
-    return N.google_places(raw).drop("types")
+    return N.google_places(raw).select("source", "name", "lat", "lon", "rating", "category")
 
 
 @query(
@@ -55,7 +55,7 @@ def _(spark, sf):
 def _(spark, sf):
     text = V.areas(spark, sf).select(F.to_json(F.struct("elements")).alias("json"))
     raw = text.select(F.from_json("json", schemas.OVERPASS).alias("r")).select("r.*")
-    return N.overpass(raw).drop("rating")
+    return N.overpass(raw).select("source", "source_id", "name", "lat", "lon", "category")
 
 
 @query(
@@ -69,7 +69,8 @@ def _(spark, sf):
 
 @query(
     "norm_google_local",
-    W("poi") + """SELECT 'google_local' AS source, name AS title,
+    W("poi") + """SELECT 'google_local' AS source, name AS title, name, category,
+ CASE WHEN osm_id % 5 = 0 THEN concat('d', CAST(osm_id AS VARCHAR)) ELSE CAST(osm_id AS VARCHAR) END AS source_id,
  CASE WHEN osm_id % 5 = 0 THEN concat('d', CAST(osm_id AS VARCHAR)) ELSE CAST(osm_id AS VARCHAR) END AS place_id,
  rating, review_count AS reviews, CASE WHEN osm_id % 2 = 0 THEN concat(category, ',', brand) ELSE category END AS types,
  lat, lon FROM poi""",
@@ -93,7 +94,8 @@ def _(spark, sf):
     )
     flat = N.google_local(V.poi(spark, sf).select(shape.alias("local_results")))
     return flat.select(
-        "source", "title", "place_id", "rating", "reviews", F.concat_ws(",", "types").alias("types"), "lat", "lon"
+        "source", "title", "name", "category", "source_id", "place_id", "rating", "reviews",
+        F.concat_ws(",", "types").alias("types"), "lat", "lon",
     )
 
 
@@ -158,11 +160,15 @@ def _(spark, sf):
 
 @query(
     "tag_select",
-    W("el") + """SELECT id, type FROM el WHERE tourism IS NOT NULL OR historic IS NOT NULL
- OR (type = 'node' AND amenity = 'restaurant') OR leisure = 'park'""",
+    W("el") + """SELECT id, type, 'wide' AS clauses FROM el WHERE tourism IS NOT NULL OR historic IS NOT NULL
+ OR (type = 'node' AND amenity = 'restaurant') OR leisure = 'park'
+ UNION ALL SELECT id, type, 'narrow' FROM el WHERE tourism IN ('attraction', 'museum') OR historic IS NOT NULL""",
 )
 def _(spark, sf):
-    return N.select_by_tags(V.elements(spark, sf)).select("id", "type")
+    """The wide list of clauses, and the narrow one for heritage."""
+    wide = N.select_by_tags(V.elements(spark, sf)).select("id", "type", F.lit("wide").alias("clauses"))
+    narrow = N.select_by_tags(V.elements(spark, sf), tuple(K.HERITAGE_CLAUSES))
+    return wide.unionByName(narrow.select("id", "type", F.lit("narrow").alias("clauses")))
 
 
 @query(
@@ -388,7 +394,7 @@ def _(spark, sf):
     return clean.flatten_enriched(records).select("osm_id", "name", "latitude", "longitude")
 
 
-SILVER_RUN_2 = W("poi") + SILVER.format(shift=" + 0.1", run="'run_2'", key=", CAST(osm_id AS VARCHAR) AS business_key")
+SILVER_RUN_2 = W("poi") + SILVER.format(shift=" + 0.1", run="'run_2'", key=f", {V.TYPED_ID} AS business_key")
 
 
 @query("silver", SILVER_RUN_2)
@@ -411,7 +417,7 @@ def _(spark, sf):
  lambda w: upper(w[1]) || w[2:]), ' ') AS name, CASE WHEN rating IS NOT NULL THEN lower(category) WHEN osm_id % 2 = 0 THEN 'attraction'
  WHEN osm_id % 7 = 0 THEN 'monument' END AS category, lat, lon, rating, CASE WHEN rating IS NOT NULL THEN review_count END AS n FROM poi),
  d AS (SELECT s.*, g.district_name, row_number() OVER (PARTITION BY s.name, s.lat, s.lon ORDER BY
-  (s.lat-g.center_lat)*(s.lat-g.center_lat)+(s.lon-g.center_lon)*(s.lon-g.center_lon), g.district_name, CAST(osm_id AS VARCHAR)) AS rn
+  (s.lat-g.center_lat)*(s.lat-g.center_lat)+(s.lon-g.center_lon)*(s.lon-g.center_lon), g.district_name, """ + V.TYPED_ID + """) AS rn
   FROM s CROSS JOIN districts g)
  SELECT district_name, count(*) AS poi_count, round(avg(rating) + 1e-9, 6) AS district_avg_rating,
  round(sum(rating * log10(n + 1)), 4) AS total_district_popularity, count(DISTINCT category) AS category_diversity,
@@ -428,7 +434,7 @@ def _(spark, sf):
     )
 
 
-# Maintenance
+# Storage
 
 
 def _many_files(spark, sf, files):
@@ -438,38 +444,10 @@ def _many_files(spark, sf, files):
     return path
 
 
-YEARS = """SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS snapshot_date, l_partkey AS osm_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS m,
- count(*) AS review_count FROM lineitem GROUP BY 1, 2, 3"""
-
-
-@query(
-    "compact",
-    f"""SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS n, CAST(sum(review_count) AS BIGINT) AS reviews,
- CAST(1 AS BIGINT) AS files_after, true AS fewer FROM ({YEARS}) GROUP BY snapshot_date""",
-)
-def _(spark, sf):
-    path = _many_files(spark, sf, 6)
-    report = M.compact(spark, path)
-    kept = spark.read.parquet(path).groupBy(F.col("snapshot_date").cast("string").alias("snapshot_date")).agg(
-        F.count("*").alias("n"), F.sum("review_count").alias("reviews")
-    )
-    fewer = (F.col("files_after") < F.col("files_before")).alias("fewer")
-    return kept.join(report.select("snapshot_date", "files_after", fewer), "snapshot_date")
-
-
-@query(
-    "expire",
-    f"SELECT snapshot_date, count(*) AS n FROM ({YEARS}) WHERE snapshot_date >= DATE '1997-01-01' GROUP BY snapshot_date",
-)
-def _(spark, sf):
-    path = _many_files(spark, sf, 1)
-    kept = M.expire(spark, path, keep_days=365, as_of=date(1998, 1, 1))
-    return kept.groupBy("snapshot_date").agg(F.count("*").alias("n"))
-
-
 @query(
     "storage_stats",
-    "SELECT 'silver' AS layer, count(DISTINCT date_trunc('year', l_shipdate)) AS object_count, true AS has_size FROM lineitem",
+    """SELECT 'silver' AS layer, count(DISTINCT date_trunc('year', l_shipdate)) AS object_count, true AS has_size FROM lineitem
+ UNION ALL SELECT 'gold', 0, false""",
 )
 def _(spark, sf):
     path = _many_files(spark, sf, 1)

@@ -350,8 +350,8 @@ _label(
 )
 _label(
     "title_name",
-    "array_to_string(list_transform(string_split(lower(trim(name)), ' '), lambda w: upper(w[1]) || w[2:]), ' ')",
-    lambda: T.title_name(F.col("name")),
+    "array_to_string(list_transform(string_split(lower(trim(name)), ' '), lambda w: upper(w[1]) || w[2:]), '-') || chr(39) || 'S 2Nd'",
+    lambda: T.title_name(F.concat(F.lit(" "), F.replace("name", F.lit(" "), F.lit("-")), F.lit("'s 2nd"))),
 )
 _label(
     "business_key",
@@ -371,11 +371,12 @@ _label("first_category", "category", lambda: S.first_category(F.array("category"
 
 @query(
     "coord_round",
-    W("poi") + "SELECT osm_id, round(lat, 6) AS lat, round(lon, 6) AS lon, round(lat, 2) AS lat2 FROM poi",
+    W("poi") + """SELECT osm_id, round(lat + osm_id % 9 / CAST(8000000 AS DOUBLE), 6) AS lat, round(lon, 6) AS lon,
+ round(lat, 2) AS lat2 FROM poi""",
 )
 def _(spark, sf):
     return V.poi(spark, sf).select(
-        "osm_id", S.round_to(F.col("lat"), 6).alias("lat"), S.round_to(F.col("lon"), 6).alias("lon"),
+        "osm_id", S.round_to(F.col("lat") + F.col("osm_id") % 9 / F.lit(8000000.0), 6).alias("lat"), S.round_to(F.col("lon"), 6).alias("lon"),
         S.round_to(F.col("lat"), 2).alias("lat2"),
     )
 

@@ -15,6 +15,8 @@ from poilake.operators.geo import assign_nearest
 from poilake.plans.marts import build_attractions
 
 SNAPSHOT = date(2024, 6, 1)
+# The key of an enriched record, whose element is a way where the number is a multiple of three.
+TYPED_ID = "concat(CASE WHEN osm_id % 3 = 0 THEN 'way/' ELSE 'node/' END, CAST(osm_id AS VARCHAR))"
 # Review counts of the test tables start at 14, so the tiers are set higher than usual.
 HIGH, MEDIUM = 40, 25
 
@@ -240,7 +242,8 @@ def enriched(spark: SparkSession, sf: str, run_id: str = "run_1", rating_shift:
         ),
         lambda _, v: v.isNotNull(),
     )
-    own = F.struct("osm_id", F.lit("node").alias("osm_type"), "name", tags.alias("tags"), "lat", "lon")
+    kind = F.when(i % 3 == 0, "way").otherwise("node")
+    own = F.struct("osm_id", kind.alias("osm_type"), "name", tags.alias("tags"), "lat", "lon")
     return poi(spark, sf).select(
         own.alias("osm_data"),
         F.when(F.col("rating").isNotNull(), found).alias("google_data"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,40 +60,70 @@ def token_sort_key(name: Column, fold: str = "drop_latin1") -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-def _common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one bit per letter of ``a``."""
-    where: dict[str, int] = {}
-    for i, letter in enumerate(a):
-        where[letter] = where.get(letter, 0) | 1 << i
-    every = (1 << len(a)) - 1
-    open_bits = every
-    for letter in b:
-        hit = open_bits & where.get(letter, 0)
-        open_bits = (open_bits + hit | open_bits - hit) & every
-    return len(a) - open_bits.bit_count()
+def _letters(texts: list[str], width: int, blank: int) -> np.ndarray:
+    """Code points of the texts, a row each, filled up with ``blank``."""
+    out = np.full((len(texts), width), blank, dtype=np.uint32)
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    out[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return out
+
+
+def _common_subsequences(a: list[str], b: list[str]) -> np.ndarray:
+    """Lengths of the longest common subsequences of the pairs, all pairs at once.
+
+    One bit stands for each letter of ``a``, in as many 64-bit words as it needs; the loop goes
+    over the letters of ``b`` and carries sums from word to word.
+    """
+    wide, long = max(map(len, a)), max(map(len, b))
+    words = -(-wide // 64)
+    x, y = _letters(a, 64 * words, 0xFFFFFFFF), _letters(b, long, 0xFFFFFFFE)
+    still = np.full((len(a), words), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for j in range(long):
+        hit = np.packbits(x == y[:, j : j + 1], axis=1, bitorder="little").view("<u8")
+        both = still & hit
+        rest = still & ~hit
+        carry = np.zeros(len(a), dtype=np.uint64)
+        for k in range(words):
+            part = still[:, k] + both[:, k]
+            over = part < both[:, k]
+            total = part + carry
+            carry = (over | (total < part)).astype(np.uint64)
+            still[:, k] = total | rest[:, k]
+    return np.bitwise_count(~still).sum(axis=1, dtype=np.int64)
+
+
+#: Letters of ``a`` times pairs that are compared at once.
+_AT_ONCE = 1 << 21
+
+
+def indel_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Rounded 100 * 2 * LCS / (len(a) + len(b)) of each pair; equal texts give 100, one empty text 0."""
+    out = np.array([100 if x == y else 0 for x, y in zip(a, b)], dtype=np.int32)
+    open_pairs = [i for i, (x, y) in enumerate(zip(a, b)) if x != y and x and y]
+    open_pairs.sort(key=lambda i: (len(a[i]), len(b[i])))  # pairs of like lengths share a block
+    at = 0
+    while at < len(open_pairs):
+        size = max(1, _AT_ONCE // max(64, len(a[open_pairs[min(at + 4095, len(open_pairs) - 1)]])))
+        block = open_pairs[at : at + min(size, 4096)]
+        left, right = [a[i] for i in block], [b[i] for i in block]
+        sizes = np.array([len(p) + len(q) for p, q in zip(left, right)])
+        out[block] = np.rint(200 * _common_subsequences(left, right) / sizes).astype(np.int32)
+        at += len(block)
+    return out
 
 
 def indel_ratio(a: str, b: str) -> int:
-    """Rounded 100 * 2 * LCS / (len(a) + len(b)); equal texts give 100, one empty text 0."""
-    if a == b:
-        return 100
-    if not a or not b:
-        return 0
-    return round(200 * _common_subsequence(a, b) / (len(a) + len(b)))
+    """``indel_ratios`` of one pair."""
+    return int(indel_ratios([a], [b])[0])
 
 
 @F.pandas_udf(IntegerType())
 def _key_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    known: dict[tuple[str, str], int] = {}
-    out = []
-    for pair in zip(a, b):
-        if pair[0] is None or pair[1] is None:
-            out.append(None)
-            continue
-        if pair not in known:
-            known[pair] = indel_ratio(*pair)
-        out.append(known[pair])
-    return pd.Series(out, dtype="Int32")
+    asked = pd.DataFrame({"a": a, "b": b}).dropna()
+    pairs = asked.drop_duplicates().reset_index(drop=True)
+    pairs["ratio"] = indel_ratios(pairs["a"].tolist(), pairs["b"].tolist())
+    found = asked.merge(pairs, on=["a", "b"], how="left").set_index(asked.index)["ratio"]
+    return found.reindex(a.index).astype("Int32")
 
 
 def key_similarity(a: Column, b: Column, needed: Column | None = None) -> Column:
@@ -114,6 +145,13 @@ def token_sort_ratio(a: Column, b: Column, fold: str = "drop_latin1") -> Column:
 
 
 def may_exceed(a: Column, b: Column, minimum: int) -> Column:
-    """False only where the key lengths alone rule out a similarity above ``minimum``."""
+    """False only where the keys' lengths and letters rule out a similarity above ``minimum``.
+
+    A common subsequence has no letter that the other key lacks, and the ratio must be at least
+    half above ``minimum`` to be rounded up from it.
+    """
     la, lb = F.length(a), F.length(b)
-    return F.least(la, lb) * F.lit(200) >= F.lit(float(minimum)) * (la + lb)
+    # Without the other key's letters, what a key has alone is left.
+    shared_a = la - F.length(F.call_function("translate", a, b, F.lit("")))
+    shared_b = lb - F.length(F.call_function("translate", b, a, F.lit("")))
+    return F.least(shared_a, shared_b) * F.lit(200) >= F.lit(minimum + 0.5) * (la + lb)

@@ -12,9 +12,6 @@ from poilake.session import materialize
 # monotonically_increasing_id keeps the partition number above this many bits.
 _OFFSET_BITS = 33
 
-# A slice of up to this many rows is sent to the tasks instead of shuffling the table.
-_SMALL_BATCH = 100_000
-
 
 def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
     """Adds each row's position (from 0) in a total order, without a single-task window.
@@ -58,10 +55,9 @@ def daily_batch(
         wanted = keys.where(F.col("idx") >= start)
     else:
         wanted = keys.where(F.pmod(F.col("idx") - start, F.lit(total)) < batch)
-    same = [df[c].eqNullSafe(wanted[c]) for c in order]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    if batch <= _SMALL_BATCH:
-        wanted = F.broadcast(wanted)  # it has at most ``batch`` rows of key columns
+    # Stored, the keys have a size by which Spark chooses between sending and shuffling them.
+    wanted = materialize(wanted.select(*order), "batch")
+    condition = F.lit(True)
+    for c in order:
+        condition = condition & df[c].eqNullSafe(wanted[c])
     return df.join(wanted, condition, "left_semi")

@@ -135,8 +135,8 @@ _NUMERIC = {"byte", "short", "integer", "long", "float", "double"}
 def profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Per column: rows, non-null, null percent, distinct, and min, max and mean of numbers.
 
-    The exact distinct counts share one pass over (column, value) pairs, combined
-    before the shuffle; ``approximate`` replaces that pass by sketches.
+    The exact distinct counts share one pass, in which the values of each column keep their
+    type and are combined before the shuffle; ``approximate`` replaces it by sketches.
     """
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     columns = list(columns or df.columns)
@@ -149,8 +149,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bo
                 F.max(c).cast("double").alias(f"_hi{i}"),
                 F.avg(c).alias(f"_avg{i}"),
             ]
-        if approximate:
-            aggregates.append(F.approx_count_distinct(c).alias(f"_d{i}"))
+        distinct = F.approx_count_distinct if approximate else F.count_distinct
+        aggregates.append(distinct(c).alias(f"_d{i}"))
 
     def number(name: str, i: int, c: str) -> Column:
         known = F.col(f"_{name}{i}") if types[c] in _NUMERIC else F.lit(None).cast("double")
@@ -162,22 +162,14 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bo
             F.col("_total").alias("rows"),
             F.col(f"_n{i}").alias("present"),
             F.round(percent(F.col("_total") - F.col(f"_n{i}"), F.col("_total")), 6).alias("null_pct"),
-            (F.col(f"_d{i}") if approximate else F.lit(None).cast("long")).alias("distinct_values"),
+            F.col(f"_d{i}").alias("distinct_values"),
             number("lo", i, c).alias("min_value"),
             number("hi", i, c).alias("max_value"),
             number("avg", i, c).alias("mean_value"),
         )
         for i, c in enumerate(columns)
     ]
-    measured = _long_form(df.agg(*aggregates), rows)
-    if approximate:
-        return measured
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    values = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
-    distinct = values.distinct().groupBy("column").agg(F.count("*").alias("_distinct"))
-    # Both sides have one row per profiled column.
-    joined = measured.join(distinct, "column", "left")
-    return joined.withColumn("distinct_values", F.coalesce("_distinct", F.lit(0))).select(*measured.columns)
+    return _long_form(df.agg(*aggregates), rows)
 
 
 def _per_snapshot(df: DataFrame, key: Sequence[str], day: str) -> DataFrame:

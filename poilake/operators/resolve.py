@@ -79,7 +79,8 @@ def place_nodes(places: DataFrame, order: Sequence[str], rule: MatchRule = Match
     """
     lat, lon = F.col("lat"), F.col("lon")
     keyed = places.where(lat.isNotNull() & lon.isNotNull()).select(
-        "lat", "lon", token_sort_key(F.col("name"), rule.fold).alias("name_key"), F.struct(*order).alias("_first")
+        "lat", "lon", token_sort_key(F.col("name"), rule.fold).alias("name_key"),
+        F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_first"),
     )
     spots = keyed.groupBy(*_SPOT).agg(F.min("_first").alias("_first"))
     celled = spots.withColumns(
@@ -152,8 +153,9 @@ def match_pairs(places: DataFrame, order: Sequence[str], rule: MatchRule = Match
 def greedy_clusters(places: DataFrame, order: Sequence[str], rule: MatchRule = MatchRule()) -> DataFrame:
     """The places with ``cluster``, the position of their seed.
 
-    ``order`` names columns that put the rows in a total order; the first source of
-    choice comes first. Rows without coordinates match nothing and get a null cluster.
+    ``order`` names the columns that order the rows; the first source of choice comes first,
+    and rows that tie go by position and name. Rows without coordinates match nothing and get
+    a null cluster.
     """
     nodes = place_nodes(places, order, rule)
     rounds = _seed_rounds(nodes, rule)
@@ -169,11 +171,16 @@ def collapse_clusters(clustered: DataFrame, order: Sequence[str], primary: str =
     """One row per cluster: the primary record's name, spot and category, the mean of the
     known ratings, the sorted sources and the size (D16).
 
-    The primary record is the first of the primary source, else the first of all. Rows
-    without a cluster stay as they are, one cluster each.
+    The primary record is the first of the primary source, else the first of all; where
+    ``order`` ties, the record's own content decides. Rows without a cluster stay as they are,
+    one cluster each.
     """
-    rank = F.struct(F.when(F.col("source") == primary, 0).otherwise(1).alias("_p"), *order)
-    best = F.min_by(F.struct("name", "lat", "lon", "category"), rank)
+    record = ["name", "lat", "lon", "category"]
+    rank = F.struct(
+        F.when(F.col("source") == primary, 0).otherwise(1).alias("_p"),
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate([*order, *record])],
+    )
+    best = F.min_by(F.struct(*record), rank)
     placed = clustered.where(F.col("cluster").isNotNull())
     merged = placed.groupBy("cluster").agg(
         best.alias("_best"),
@@ -194,15 +201,21 @@ def merge_sources(
 ) -> DataFrame:
     """Union the normalised sources, cluster and collapse them.
 
-    Each source has the columns source, source_id, name, lat, lon, rating, category;
-    ``priority`` lists the sources, first choice first.
+    Each source has the columns source, source_id, name, lat, lon, rating, category, and may
+    have its ``position`` in the source's list; ``priority`` lists the sources, first choice
+    first. Places are walked by priority, source, position and id, and where these tie by
+    their content, so the result does not depend on how the rows are partitioned.
     """
-    places = union_sources(*sources)
+    shape = ["source", "source_id", "name", "lat", "lon", "rating", "category"]
+    empty = F.lit(None).cast("long")
+    places = union_sources(
+        *[s.select(*shape, (F.col("position") if "position" in s.columns else empty).alias("position")) for s in sources]
+    )
     rank = F.lit(len(priority))
     for i, source in reversed(list(enumerate(priority))):
         rank = F.when(F.col("source") == source, i).otherwise(rank)
     ranked = places.withColumn("_priority", rank)
-    order = ["_priority", "source", "source_id"]
+    order = ["_priority", "source", "position", "source_id", "name", "lat", "lon", "rating", "category"]
     clustered = greedy_clusters(ranked, order, rule)
     return collapse_clusters(clustered, order, primary=priority[0])
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from poilake import schemas
 from poilake.operators import quality as Q
@@ -51,6 +52,16 @@ def gate(df: DataFrame, rules: list[Q.Rule], layer: str) -> None:
         raise QualityError(f"{layer}: " + "; ".join(failed))
 
 
+def rejected(bronze: DataFrame, corrupt: str) -> DataFrame:
+    """Records that cannot become places, with the reason: malformed, or without coordinates."""
+    own, found = F.col("osm_data"), F.col("google_data.geometry.location")
+    nowhere = F.coalesce(found["lat"], own["lat"]).isNull() | F.coalesce(found["lng"], own["lon"]).isNull()
+    reason = F.when(F.col(corrupt).isNotNull(), "malformed").when(nowhere, "no_coordinates")
+    return bronze.withColumn("reason", reason).where("reason is not null").select(
+        "source", "snapshot_date", "run_id", "reason", F.col(corrupt).alias("record"), "osm_data", "google_data"
+    )
+
+
 def run_medallion(
     spark: SparkSession,
     paths: Paths,
@@ -63,11 +74,15 @@ def run_medallion(
     """Run every step for one snapshot and return the stored tables by name.
 
     Each layer is written, checked as stored, and read back by the next, so a rerun of the
-    same snapshot replaces its own partitions and nothing else.
+    same snapshot replaces its own partitions and nothing else. Records that are malformed or
+    have no coordinates are kept in ``quarantine``, so every record is there or in Silver or
+    was replaced by a later record of its key.
     """
-    bronze = read_bronze(spark, paths.bronze, source, schemas.ENRICHED)
-    bronze = bronze.where(bronze["snapshot_date"] == snapshot_date)
-    silver = build_silver(bronze, processed_at)
+    corrupt = "_corrupt"
+    landed = read_bronze(spark, paths.bronze, source, schemas.ENRICHED, corrupt)
+    landed = landed.where(landed["snapshot_date"] == snapshot_date)
+    quarantine = write_snapshot(rejected(landed, corrupt), f"{paths.silver}/quarantine", snapshot_date)
+    silver = build_silver(landed.where(F.col(corrupt).isNull()).drop(corrupt), processed_at)
     if box:
         silver = in_bbox(silver, "latitude", "longitude", box)
     stored = write_snapshot(silver, f"{paths.silver}/attractions_enriched", snapshot_date)
@@ -84,7 +99,7 @@ def run_medallion(
         "gold_quality_alerts": marts.quality_alerts,
         "gold_tourism_heatmap": marts.heatmap_feed,
     }
-    tables = {"attractions_enriched": stored, "gold_attractions": gold}
+    tables = {"quarantine": quarantine, "attractions_enriched": stored, "gold_attractions": gold}
     for name, build in builders.items():
         tables[name] = write_snapshot(build(gold), f"{paths.gold}/{name}", snapshot_date)
     return tables

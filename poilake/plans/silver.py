@@ -19,13 +19,14 @@ def build_silver(
     processed_at: datetime | None = None,
     scope: Sequence[str] = (),
     keep_null_labels: bool = False,
-    key_by_type: bool = False,
+    key_by_type: bool = True,
 ) -> DataFrame:
     """Flatten, clean names, key and keep the latest record per key.
 
     Latest means: last ingested, then highest run id. ``scope`` adds columns to the key,
-    e.g. ``["snapshot_date"]`` keeps one row per key and snapshot. ``key_by_type`` puts the
-    element type into the key, where the source gives one.
+    e.g. ``["snapshot_date"]`` keeps one row per key and snapshot. The element type is part of
+    the key where the source gives one, as a node and a way may share a number; without
+    ``key_by_type`` they count as one place.
     """
     stamp = F.lit(processed_at) if processed_at else None
     flat = flatten_enriched(bronze, stamp, keep_null_labels)

@@ -10,7 +10,8 @@ OVERPASS = f"elements array<{ELEMENT}>"
 
 # A "places" search response.
 PLACES_SEARCH = """places array<struct<displayName:struct<text:string>,
-    location:struct<latitude:double,longitude:double>, rating:double, types:array<string>>>"""
+    location:struct<latitude:double,longitude:double>, rating:double, types:array<string>,
+    id:string, userRatingCount:bigint>>"""
 
 DETAILS = """struct<name:string, formatted_address:string,
     geometry:struct<location:struct<lat:double,lng:double>>, rating:double,
@@ -37,7 +38,8 @@ REVIEW_ITEM = """struct<title:string, place_id:string, rating:double, reviews:bi
 REVIEW_SITE = f"places array<{REVIEW_ITEM}>, results array<{REVIEW_ITEM}>"
 
 # Rows of the entity-resolution input.
-PLACES = "source string, source_id string, name string, lat double, lon double, rating double, category string"
+PLACES = """source string, source_id string, name string, lat double, lon double, rating double,
+    review_count bigint, category string, position bigint"""
 
 SILVER = """osm_id bigint, name string, address string, latitude double, longitude double, rating double,
     review_count bigint, website string, phone string, poi_types array<string>, run_id string,

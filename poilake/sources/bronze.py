@@ -11,17 +11,27 @@ from pyspark.sql.types import StructType
 from poilake.sources.files import list_files, partition_value, path_exists
 
 
-def read_bronze(spark: SparkSession, root: str, source: str, schema: StructType | str) -> DataFrame:
+def read_bronze(
+    spark: SparkSession, root: str, source: str, schema: StructType | str, corrupt: str | None = None
+) -> DataFrame:
     """All runs of a source as rows of ``schema``; empty when nothing has landed.
 
     The schema is explicit, so no inference job runs and absent fields read as null. The
     base path makes source, snapshot date and run id come out as columns, and a filter on
-    them prunes folders.
+    them prunes folders. ``corrupt`` names a further column that holds the text of records
+    that are not valid JSON of the schema and is null for all others; without it such records
+    read as nulls.
     """
     path = f"{root}/source={source}"
+    if corrupt:
+        more = f"{corrupt} string"
+        schema = f"{schema}, {more}" if isinstance(schema, str) else StructType(schema.fields).add(corrupt, "string")
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).json(path)
+    reader = spark.read.schema(schema).option("basePath", root)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.json(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

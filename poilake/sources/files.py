@@ -18,26 +18,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of intermediate results; stored tables are never passed to it."""
     fs, target = _hadoop_path(spark, path)
     return fs.delete(target, True)
 
 
-def replace_folder(spark: SparkSession, new: str, old: str, aside: str) -> None:
-    """Put ``new`` in the place of ``old`` by renames on one file system.
-
-    ``old`` is kept at ``aside`` until ``new`` is in place, so the rows are always in one
-    of the folders.
-    """
-    fs, target = _hadoop_path(spark, old)
-    _, source = _hadoop_path(spark, new)
-    _, backup = _hadoop_path(spark, aside)
-    fs.mkdirs(backup.getParent())
-    for before, after in ((target, backup), (source, target)):
-        if not fs.rename(before, after):
-            raise OSError(f"could not rename {before} to {after}")
-    fs.delete(backup, True)
-
-
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """One row (path, length) per data file below ``path``; file contents are not read."""
     if not path_exists(spark, path):
@@ -52,6 +37,6 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def partition_value(path, name: str):
-    """Value of ``name=value`` in a path column, null when absent."""
+    """Value of ``name=value`` in a path column, null when absent; only %XX escapes are undone."""
     value = F.regexp_extract(path, f"/{name}=([^/]+)/", 1)
-    return F.when(value != "", F.url_decode(value))
+    return F.when(value != "", F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))

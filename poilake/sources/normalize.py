@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,48 +42,63 @@ def fallback_name(elements: DataFrame) -> DataFrame:
     )
 
 
-def elements_of(areas: DataFrame) -> DataFrame:
-    """One row per element of each area group."""
-    return areas.select(F.explode("elements").alias("element")).select("element.*")
+def elements_of(areas: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per element of each area group, with its ``position`` in the group."""
+    return areas.select(*carry, F.posexplode("elements").alias("position", "element")).select(
+        *carry, F.col("position").cast("long").alias("position"), "element.*"
+    )
+
+
+# The normalisers give one shape, schemas.PLACES, and more columns of their own. ``position`` is
+# the place of a record in its document; ``carry`` names columns of the document to keep, such as
+# the query that found it and the time it was collected.
 
 
-def google_places(df: DataFrame) -> DataFrame:
+def google_places(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Rows of a "places" search response."""
     place = F.col("place")
     kinds = place["types"]
-    return df.select(F.explode("places").alias("place")).select(
+    return df.select(*carry, F.posexplode("places").alias("position", "place")).select(
+        *carry,
         F.lit("google").alias("source"),
+        place["id"].alias("source_id"),
         F.coalesce(place["displayName"]["text"], F.lit("")).alias("name"),
         place["location"]["latitude"].alias("lat"),
         place["location"]["longitude"].alias("lon"),
         place["rating"].alias("rating"),
+        place["userRatingCount"].alias("review_count"),
         F.when(F.size(kinds) > 0, F.get(kinds, 0)).otherwise("attraction").alias("category"),
+        F.col("position").cast("long").alias("position"),
         kinds.alias("types"),
     )
 
 
-def overpass(areas: DataFrame) -> DataFrame:
+def overpass(areas: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Named and located elements as places."""
-    named = fallback_name(fallback_coords(elements_of(areas)))
+    named = fallback_name(fallback_coords(elements_of(areas, carry)))
     located = named.where(
         F.col("name").isNotNull() & nonzero(F.col("lat")).isNotNull() & nonzero(F.col("lon")).isNotNull()
     )
     return located.select(
+        *carry,
         F.lit("osm").alias("source"),
         F.concat_ws("/", "type", F.col("id").cast("string")).alias("source_id"),
         "name",
         "lat",
         "lon",
         F.lit(None).cast("double").alias("rating"),
+        F.lit(None).cast("long").alias("review_count"),
         "category",
+        "position",
     )
 
 
-def overpass_flat(areas: DataFrame) -> DataFrame:
+def overpass_flat(areas: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Tagged nodes and ways with their main tags as columns."""
-    elements = elements_of(areas).where(F.col("type").isin("node", "way") & F.col("tags").isNotNull())
+    elements = elements_of(areas, carry).where(F.col("type").isin("node", "way") & F.col("tags").isNotNull())
     plain = [F.try_element_at(F.col("tags"), F.lit(t)).alias(t) for t in ("name", "amenity", "tourism", "historic")]
     return fallback_coords(elements).select(
+        *carry,
         F.col("id").cast("string").alias("osm_id"),
         F.col("type").alias("osm_type"),
         "lat",
@@ -92,18 +109,42 @@ def overpass_flat(areas: DataFrame) -> DataFrame:
     )
 
 
-def google_local(df: DataFrame, raw: str = "local_results") -> DataFrame:
-    """Rows of a local search, whose result text is a list or an object with a list in it."""
+def _local_items(raw: str) -> Column:
+    """The result list of a local search; null if its text holds none."""
     text = F.col(raw)
     is_list = F.ltrim(text).startswith("[")
     as_list = F.from_json(F.when(is_list, text), schemas.LOCAL_LIST)
     as_object = F.from_json(F.when(~is_list, text), schemas.LOCAL_OBJECT)
     places = F.when(F.size(as_object["places"]) > 0, as_object["places"]).otherwise(as_object["results"])
+    return F.coalesce(as_list, places)
+
+
+def local_rejects(df: DataFrame, raw: str = "local_results") -> DataFrame:
+    """Documents of a local search whose text is not null and holds no result list."""
+    return df.where(F.col(raw).isNotNull() & _local_items(raw).isNull())
+
+
+def _first(items: Column) -> Column:
+    return F.when(F.size(items) > 0, F.get(items, 0))
+
+
+def google_local(df: DataFrame, raw: str = "local_results", carry: Sequence[str] = ()) -> DataFrame:
+    """Rows of a local search, whose result text is a list or an object with a list in it.
+
+    Texts that are neither are in ``local_rejects``.
+    """
     item = F.col("item")
-    return df.select(F.explode(F.coalesce(as_list, places)).alias("item")).select(
+    place_id = F.coalesce(blank_to_null(item["place_id"]), item["data_id"])
+    return df.select(*carry, F.posexplode(_local_items(raw)).alias("position", "item")).select(
+        *carry,
         F.lit("google_local").alias("source"),
+        place_id.alias("source_id"),
+        F.coalesce(item["title"], F.lit("")).alias("name"),
+        item["reviews"].alias("review_count"),
+        F.coalesce(_first(item["types"]), item["type"]).alias("category"),
+        F.col("position").cast("long").alias("position"),
         item["title"].alias("title"),
-        F.coalesce(blank_to_null(item["place_id"]), item["data_id"]).alias("place_id"),
+        place_id.alias("place_id"),
         item["data_id"].alias("data_id"),
         item["rating"].alias("rating"),
         item["reviews"].alias("reviews"),
@@ -119,13 +160,24 @@ def google_local(df: DataFrame, raw: str = "local_results") -> DataFrame:
     )
 
 
-def tripadvisor(df: DataFrame) -> DataFrame:
-    """Rows of a review-site search: ``places`` when it has any, else ``results``."""
+def tripadvisor(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows of a review-site search: ``places`` when it has any, else ``results``.
+
+    The site gives no position on the map, so these places match nothing and stay on their own.
+    """
     found = F.when(F.size("places") > 0, F.col("places")).otherwise(F.col("results"))
     item = F.col("item")
     reviews = F.coalesce(F.when(item["reviews"] != 0, item["reviews"]), item["num_reviews"])
-    return df.select(F.explode(found).alias("item")).select(
+    return df.select(*carry, F.posexplode(found).alias("position", "item")).select(
+        *carry,
         F.lit("tripadvisor").alias("source"),
+        item["place_id"].alias("source_id"),
+        F.coalesce(item["title"], F.lit("")).alias("name"),
+        F.lit(None).cast("double").alias("lat"),
+        F.lit(None).cast("double").alias("lon"),
+        reviews.alias("review_count"),
+        F.lit(None).cast("string").alias("category"),
+        F.col("position").cast("long").alias("position"),
         item["title"].alias("title"),
         item["place_id"].alias("place_id"),
         item["rating"].alias("rating"),

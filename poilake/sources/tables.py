@@ -114,15 +114,12 @@ def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def storage_stats(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
-    """Object count and megabytes per layer, from file names and sizes only."""
-    listings = [
-        list_files(spark, path).select(F.lit(layer).alias("layer"), "length") for layer, path in layers.items()
-    ]
-    files = listings[0]
-    for listing in listings[1:]:
-        files = files.union(listing)
+    """Object count and megabytes per layer, from file names and sizes only; 0 if empty."""
+    every = spark.createDataFrame([(layer,) for layer in layers], "layer string")
+    files = every.select("layer", F.lit(None).cast("long").alias("length"))  # a row that counts nothing
+    for layer, path in layers.items():
+        files = files.unionByName(list_files(spark, path).select(F.lit(layer).alias("layer"), "length"))
     return files.groupBy("layer").agg(
-        F.count("*").alias("object_count"),
-        F.round(F.sum("length") / 1024 / 1024, 2).alias("total_size_mb"),
+        F.count("length").alias("object_count"),
+        F.round(F.coalesce(F.sum("length"), F.lit(0)) / 1024 / 1024, 2).alias("total_size_mb"),
     )
-

@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from poilake.operators.dedup import latest_per_key
-from poilake.session import materialize
-from poilake.sources.files import path_exists
+from poilake.session import scratch_path, store
+from poilake.sources.files import delete_folder, path_exists
 from poilake.sources.tables import write_partitions
 
 
@@ -36,15 +36,22 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], order_columns: Sequ
     written, and a batch that is replayed gives the same table.
     """
     spark = batch.sparkSession
+    paths = [scratch_path(spark, "batch"), scratch_path(spark, "upsert")]
+    batch = store(batch, paths[0])  # computed once
     merged = batch
     if path_exists(spark, path):
+        # The batch's partition values, a few dates, as literals: the scan lists no others.
+        values = [r[by] for r in batch.select(by).distinct().collect()]
         table = spark.read.schema(batch.schema).parquet(path)
-        touched = table.join(batch.select(by).distinct(), by, "left_semi")
+        known = F.col(by).isin([v for v in values if v is not None])
+        touched = table.where(known | F.col(by).isNull() if None in values else known)
         merged = touched.select(*batch.columns).unionByName(batch)
     order = [F.desc_nulls_last(c) for c in order_columns]
     latest = latest_per_key(merged, [*keys, by], order)
     # The merge reads the partitions that it replaces, so it is stored before the swap.
-    write_partitions(materialize(latest, "upsert"), path, by)
+    write_partitions(store(latest, paths[1]), path, by)
+    for done in paths:
+        delete_folder(spark, done)
 
 
 def upsert_stream(

@@ -171,3 +171,55 @@ def test_daily_batch_covers_everything(spark, total, batch):
 def test_daily_batch_tail_only_in_strict_mode(spark):
     df = spark.range(3).select(F.col("id").alias("k"))
     assert [r["k"] for r in daily_batch(df, ["k"], 2, 10, strict_reference=True).collect()] == [2]
+
+
+def test_four_sources_merge_as_the_sequential_pass(spark):
+    """Documents to normalisers to the merge, whatever the partitioning; some records have no id."""
+    import json
+
+    from poilake import schemas
+    from poilake.sources import normalize as N
+
+    rng = random.Random(21)
+
+    def spot():
+        return 21.0 + rng.uniform(0, 700) * METER, 105.8 + rng.uniform(0, 700) * METER
+
+    names = ["Old House", "House Old", "Green Park", "Lake", "Pagoda"]
+    google = [(rng.choice(names), *spot(), rng.choice([None, 3.0, 5.0])) for _ in range(30)]
+    osm = [(rng.choice(names), *spot()) for _ in range(30)]
+    local = [(rng.choice(names), *spot(), 4.0) for _ in range(20)]
+    trip = [(rng.choice(names), 2.0) for _ in range(5)]
+    texts = {
+        "g": (schemas.PLACES_SEARCH, {"places": [{"displayName": {"text": n}, "location": {"latitude": a, "longitude": b}, "rating": r} for n, a, b, r in google]}),
+        "o": (schemas.OVERPASS, {"elements": [{"type": "node", "id": i, "lat": a, "lon": b, "tags": {"name": n}} for i, (n, a, b) in enumerate(osm)]}),
+        "t": (schemas.REVIEW_SITE, {"places": [{"title": n, "place_id": f"t{i}", "rating": r} for i, (n, r) in enumerate(trip)]}),
+    }
+
+    def read(key):
+        kind, value = texts[key]
+        return spark.createDataFrame([(json.dumps(value),)], "j string").select(F.from_json("j", kind).alias("r")).select("r.*")
+
+    items = [{"title": n, "data_id": f"d{i}", "rating": r, "gps_coordinates": {"latitude": a, "longitude": b}} for i, (n, a, b, r) in enumerate(local)]
+    places = spark.createDataFrame([(json.dumps(items),)], "local_results string")
+    sources = [N.google_places(read("g")), N.overpass(read("o")), N.google_local(places), N.tripadvisor(read("t"))]
+    priority = ["google", "osm", "google_local", "tripadvisor"]
+
+    rows = [("google", i, "", n, a, b, r) for i, (n, a, b, r) in enumerate(google)]
+    rows += [("osm", i, f"node/{i}", n, a, b, None) for i, (n, a, b) in enumerate(osm)]
+    rows += [("google_local", i, f"d{i}", n, a, b, r) for i, (n, a, b, r) in enumerate(local)]
+    left, want = rows, [(n, None, None, r, "tripadvisor", 1) for n, r in trip]
+    while left:
+        near = [r for r in left if r is left[0] or matches((0, 0, left[0][3], *left[0][4:6]), (0, 0, r[3], *r[4:6]))]
+        best = next((r for r in near if r[0] == "google"), near[0])
+        known = [r[6] for r in near if r[6] is not None]
+        mean = round(sum(known) / len(known), 6) if known else None
+        want.append((best[3], best[4], best[5], mean, ",".join(sorted({r[0] for r in near})), len(near)))
+        left = [r for r in left if r not in near]
+    for parts in (1, 3, 7):
+        merged = R.merge_sources([s.repartition(parts) for s in sources], priority).collect()
+        got = [
+            (r["name"], r["lat"], r["lon"], None if r["rating"] is None else round(r["rating"], 6), r["sources"], r["cluster_size"])
+            for r in merged
+        ]
+        assert sorted(got, key=str) == sorted(want, key=str)

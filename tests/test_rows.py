@@ -103,8 +103,8 @@ def test_silver(spark):
 def test_silver_key_by_type(spark):
     base = {"snapshot_date": "2024-06-01", "run_id": "r1", "ingested_at": "2024-06-01T00:00:00Z"}
     rows = [base | {"osm_data": {"osm_id": 1, "osm_type": t, "name": t, "lat": 1.0, "lon": 1.0}} for t in ("node", "way")]
-    assert build_silver(bronze(spark, rows)).count() == 1
-    assert build_silver(bronze(spark, rows), key_by_type=True).count() == 2
+    assert build_silver(bronze(spark, rows)).count() == 2
+    assert build_silver(bronze(spark, rows), key_by_type=False).count() == 1
 
 
 def test_mart_keeps_one_row_per_name_and_spot(spark):
@@ -136,9 +136,25 @@ def test_overpass_edges(spark):
 
 
 def test_google_places_edges(spark):
-    df = spark.createDataFrame([([(None, (1.0, 2.0), None, []), (("n",), None, 4.0, ["t", "u"])],), ([],)], schemas.PLACES_SEARCH)
+    df = spark.createDataFrame([([(None, (1.0, 2.0), None, [], "a", 3), (("n",), None, 4.0, ["t", "u"], "b", None)],), ([],)], schemas.PLACES_SEARCH)
     got = N.google_places(df).collect()
     assert [(r["name"], r["category"], r["lat"]) for r in got] == [("", "attraction", 1.0), ("n", "t", None)]
+    assert [(r["source_id"], r["position"], r["review_count"]) for r in got] == [("a", 0, 3), ("b", 1, None)]
+
+
+def test_normalisers_give_one_shape(spark):
+    shape = [f.name for f in spark.createDataFrame([], schemas.PLACES).schema]
+    local = spark.createDataFrame([('[{"title": "x", "data_id": "d"}]', "q"), ("{broken", "q"), (None, "q")], "local_results string, query_used string")
+    made = N.google_local(local, carry=["query_used"])
+    assert {r["query_used"] for r in made.collect()} == {"q"} and made.count() == 1
+    assert [r["local_results"] for r in N.local_rejects(local).collect()] == ["{broken"]
+    frames = [
+        N.google_places(spark.createDataFrame([], schemas.PLACES_SEARCH)), N.overpass(spark.createDataFrame([], schemas.OVERPASS)),
+        made, N.tripadvisor(spark.createDataFrame([], schemas.REVIEW_SITE)),
+    ]
+    for frame in frames:
+        assert set(shape) <= set(frame.columns)
+        assert dict(frame.select(*shape).dtypes) == dict(spark.createDataFrame([], schemas.PLACES).dtypes)
 
 
 def test_search_and_adhoc_guards(spark):

@@ -10,9 +10,7 @@ from poilake.operators import quality as Q
 from poilake.plans.medallion import Paths, QualityError, run_medallion
 from poilake.plans.silver import build_silver
 from poilake.sources import bronze as B
-from poilake.sources import maintenance as M
 from poilake.sources import tables as T
-from poilake.sources.files import list_files
 from poilake.streaming import incremental as I
 from tests.conftest import plan_of
 
@@ -126,37 +124,51 @@ def test_processed_day_partition(spark, folder):
     assert spark.read.parquet(folder).first()["processed_day"] == date(2024, 1, 1)
 
 
-def test_compact_and_expire(spark, folder):
-    days = [date(2024, 1, d) for d in (1, 2, 9)]
-    df = spark.createDataFrame([(i, days[i % 3]) for i in range(300)], "k int, snapshot_date date")
-    df.repartition(5).write.partitionBy("snapshot_date").parquet(folder)
-    before = Q.content_hash(spark.read.parquet(folder)).first()
-    report = {r["snapshot_date"]: (r["files_before"], r["files_after"]) for r in M.compact(spark, folder).collect()}
-    assert report == {str(d): (5, 1) for d in days}
-    assert Q.content_hash(spark.read.parquet(folder)).first() == before
-    assert all(r["files_before"] == r["files_after"] == 1 for r in M.compact(spark, folder).collect())
-    kept = M.expire(spark, folder, 7, date(2024, 1, 9))
-    assert {r["snapshot_date"] for r in kept.select("snapshot_date").distinct().collect()} == {days[1], days[2]}
-    assert list_files(spark, folder, "*.parquet").count() == 2
-
-
-def test_compact_splits_a_large_partition(spark, folder):
-    # Half of the rows are copies of one row: they must spread over the files too.
-    df = spark.range(40000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.xxhash64("id")).alias("k"), F.lit(DAY).alias("snapshot_date"))
-    df.repartition(12).write.partitionBy("snapshot_date").parquet(folder)
-    size = list_files(spark, folder, "*.parquet").agg(F.sum("length")).first()[0]
-    before = Q.content_hash(spark.read.parquet(folder)).first()
-    first = M.compact(spark, folder, target_mb=size / 4 / 1024 / 1024).first()
-    assert first["files_before"] == 12 and 2 <= first["files_after"] <= 4
-    assert Q.content_hash(spark.read.parquet(folder)).first() == before
-    again = M.compact(spark, folder, target_mb=size / 4 / 1024 / 1024).first()
-    assert again["files_before"] == again["files_after"] == first["files_after"]
-
-
 def test_storage_stats(spark, folder):
     spark.range(100000).repartition(2).write.parquet(f"{folder}/a")
     got = T.storage_stats(spark, {"silver": f"{folder}/a", "gold": f"{folder}/none"}).collect()
-    assert [(r["layer"], r["object_count"]) for r in got] == [("silver", 2)] and got[0]["total_size_mb"] > 0
+    sizes = {r["layer"]: (r["object_count"], r["total_size_mb"]) for r in got}
+    assert sizes["silver"][0] == 2 and sizes["silver"][1] > 0 and sizes["gold"] == (0, 0.0)
+
+
+def test_run_ids_are_listed_as_they_are_read(spark, folder):
+    for run in ("scheduled__2024-06-01T00:00:00+00:00", "50% off"):
+        spark.createDataFrame([(1, "s", DAY, run)], "k int, source string, snapshot_date date, run_id string").write.mode(
+            "append"
+        ).partitionBy("source", "snapshot_date", "run_id").json(folder)
+    read = {r["run_id"] for r in B.read_bronze(spark, folder, "s", "k int").collect()}
+    assert {r["run_id"] for r in B.list_partitions(spark, folder).collect()} == read
+    assert read == {"scheduled__2024-06-01T00:00:00+00:00", "50% off"}
+
+
+def test_no_record_is_lost(spark, folder):
+    """Nodes and ways that share numbers, broken lines and places nowhere: all in Silver or in quarantine."""
+    paths = lake(folder)
+    both = [record(i) for i in range(6)]
+    both += [((i, "way", *r[0][2:]), *r[1:]) for i, r in enumerate(both[:3])]
+    nowhere = ((90, "node", "lost", {}, None, None), None, "2024-06-01T00:00:00Z")
+    path = B.land_bronze(records(spark, [*both, nowhere]), paths.bronze, "src", DAY, "r1")
+    spark.createDataFrame([("{broken",), ('{"osm_data": [1',)], "value string").write.mode("append").text(path)
+    made = run_medallion(spark, paths, T.districts_dim(spark), DAY, "src")
+    reasons = {r["reason"]: r["count"] for r in made["quarantine"].groupBy("reason").count().collect()}
+    assert reasons == {"malformed": 2, "no_coordinates": 1}
+    assert made["attractions_enriched"].count() == len(both) == 9
+    assert {r["record"] for r in made["quarantine"].where("reason = 'malformed'").collect()} == {"{broken", '{"osm_data": [1'}
+
+
+def test_upsert_reads_only_the_batchs_dates(spark, folder, monkeypatch):
+    days = [date(2024, 1, d) for d in range(1, 6)]
+    kind = "k int, v string, at int, snapshot_date date"
+    I.upsert(spark.createDataFrame([(i, "old", 1, d) for d in days for i in range(3)], kind), folder, ["k"], ["at"], "snapshot_date")
+    plans = []
+    monkeypatch.setattr(I, "write_partitions", lambda df, *a: plans.append(df) or T.write_partitions(df, *a))
+    kept = I.store
+    monkeypatch.setattr(I, "store", lambda df, path: plans.append(plan_of(df)) or kept(df, path))
+    I.upsert(spark.createDataFrame([(1, "new", 2, days[2]), (9, "new", 2, None)], kind), folder, ["k"], ["at"], "snapshot_date")
+    assert "PartitionFilters: [" in plans[1] and "2024-01-03" in plans[1]
+    assert "dynamicpruning" not in plans[1]
+    rows = {(r["k"], r["snapshot_date"]): r["v"] for r in spark.read.parquet(folder).collect()}
+    assert len(rows) == 16 and rows[1, days[2]] == "new" and rows[1, days[1]] == "old" and rows[9, None] == "new"
 
 
 def lake(folder):

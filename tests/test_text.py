@@ -59,3 +59,17 @@ def test_length_bound_never_hides_a_match(spark):
     pairs = [(a, b) for a in words for b in words if T.indel_ratio(a, b) > 80]
     df = spark.createDataFrame(pairs, "a string, b string")
     assert df.where(~T.may_exceed(F.col("a"), F.col("b"), 80)).count() == 0
+
+
+def test_ratios_of_long_names_and_many_pairs(spark):
+    """More than 64 letters, letters outside the basic plane, nulls and repeated pairs in one batch."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcđ漢𝄞 ", k=n)) for n in (1, 63, 64, 65, 127, 128, 129, 200) for _ in range(4)]
+    pairs = [(a, b) for a in texts for b in texts]
+    expected = [100 if a == b else round(200 * naive_lcs(a, b) / (len(a) + len(b))) for a, b in pairs]
+    left, right = zip(*pairs)
+    assert T.indel_ratios(list(left), list(right)).tolist() == expected
+    rows = [*pairs[:40], *pairs[:3], (None, "a"), ("a", None)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "i int, a string, b string").repartition(3)
+    got = [r["s"] for r in df.select("i", T.key_similarity(F.col("a"), F.col("b")).alias("s")).orderBy("i").collect()]
+    assert got == [*expected[:40], *expected[:3], None, None]
