@@ -76,7 +76,7 @@ def matched(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def _strength(children: DataFrame) -> Column:
+def _strength(children: DataFrame) -> float:
     """Prior strength s of beta-binomial counts (n, k) around their parents' means m, by moments.
 
     With rho = 1 / (s + 1), the expected (k - n m)^2 is n m (1 - m) (1 + (n - 1) rho).
@@ -85,8 +85,8 @@ def _strength(children: DataFrame) -> Column:
     square = F.col("k") - F.col("n") * F.col("m")
     over = F.sum(square * square - F.col("n") * spread)
     rho = over / F.sum(F.col("n") * (F.col("n") - 1) * spread)
-    rho = F.least(F.greatest(F.coalesce(F.round(rho, 9), F.lit(0.0)), F.lit(0.001)), F.lit(0.999))
-    return 1 / rho - 1
+    found = children.agg(F.round(rho, 9)).first()[0]
+    return 1 / min(max(found or 0.0, 0.001), 0.999) - 1
 
 
 def reputation(outcomes: DataFrame, hosts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -107,19 +107,18 @@ def reputation(outcomes: DataFrame, hosts: DataFrame, scratch: Scratch) -> DataF
         .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     )
     tree = scratch.store(tree, "hosts")
-    overall = tree.agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("m"))
-    level = tree.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).crossJoin(F.broadcast(overall))
+    total = tree.agg(F.sum("k"), F.sum("n")).first()
+    overall = ((total[0] or 0) + 1) / ((total[1] or 0) + 2)
+    level = tree.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("m", F.lit(overall))
     for key, below in (("suffix", "domain"), ("domain", "host")):
-        strength = level.agg(_strength(level).alias("s"))  # one row
-        shrunk = level.crossJoin(F.broadcast(strength)).select(
-            key, ((F.col("k") + F.col("s") * F.col("m")) / (F.col("n") + F.col("s"))).alias("m")
-        )
+        s = F.lit(_strength(level))
+        shrunk = level.select(key, ((F.col("k") + s * F.col("m")) / (F.col("n") + s)).alias("m"))
         names = tree.groupBy("suffix", "domain") if below == "domain" else tree.groupBy("domain", "host")
         level = names.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).join(shrunk, key)
-    strength = level.agg(_strength(level).alias("s"))
-    a, b = F.col("k") + F.col("s") * F.col("m"), F.col("n") - F.col("k") + F.col("s") * (1 - F.col("m"))
+    s = F.lit(_strength(level))
+    a, b = F.col("k") + s * F.col("m"), F.col("n") - F.col("k") + s * (1 - F.col("m"))
     mean = a / (a + b)
-    return level.crossJoin(F.broadcast(strength)).select(
+    return level.select(
         "host",
         F.round(mean, 6).alias("mean"),
         F.round(F.greatest(F.lit(0.0), mean - Z * F.sqrt(mean * (1 - mean) / (a + b + 1))), 6).alias("bound"),
