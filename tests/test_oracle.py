@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import core
 from checks.compare import compare, duck
 from tests.conftest import plan_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = core.QUERIES, core.ORACLE
 
 
 @pytest.fixture(scope="module")
