@@ -20,16 +20,16 @@ MAX_LABELLED = 40_000
 PREFIXES = (4, 5)
 #: Weight, in tokens, of the prior that a token's counts are mixed with.
 PRIOR = 1.0
-#: Standard errors by which a token's log-odds must be above zero to count as evidence.
-SIGNIFICANT = 2.0
+#: A token is evidence if its log-odds are at least so far above zero, and so many standard errors.
+LEAST_ODDS, SIGNIFICANT = 1.5, 3.0
 #: Passages with fewer expected by chance in a clean text of the same length are significant.
 E_VALUE = 0.05
 #: Segments that a document's evidence is summed over at most.
 MAX_SEGMENTS = 10
 #: Largest evidence that the calibration tells apart.
 MAX_EVIDENCE = 300.0
-#: Bytes of a letter in the regular expressions of Spark and of Python.
 _WORD = re.compile(r"[^\W\d_]+")
+_BREAK = r"[^\p{L}]+"
 
 
 def tokens(text: str | None) -> list[str]:
@@ -86,14 +86,19 @@ class Model:
         return score or 0.0
 
     def passages(self, found: list[str], memo: dict[str, float]) -> list[tuple[float, int, int]]:
-        """All segments of a tokenised text. memo: scores of tokens seen before."""
-        scores = []
+        """All segments of a tokenised text. memo: scores of tokens seen before.
+
+        The k-th occurrence of a token counts a k-th, as a word's repetitions are no new evidence.
+        """
+        scores: list[tuple[int, float]] = []
+        times: dict[str, int] = {}
         for i, t in enumerate(found):
             s = memo.get(t)
             if s is None:
                 s = memo[t] = self.odds(t)
             if s:
-                scores.append((i, s))
+                times[t] = times.get(t, 0) + 1
+                scores.append((i, s / times[t]))
         return segments(scores, self.drift, len(found)) if scores else []
 
     def evidence(self, parts: list[tuple[float, int, int]], n: int) -> float:
@@ -125,7 +130,7 @@ class Model:
 
 
 #: Tokens whose scores a task remembers.
-_REMEMBER = 500_000
+_REMEMBER = 200_000
 
 
 def judged(model: Model, text: Column) -> Column:
@@ -151,14 +156,20 @@ def labelled(
     """(text, y) of at most about ``max_labelled`` labelled rows, chosen by a hash of their id.
 
     Ids with labels that differ count as toxic. The sample's ids are sent to all tasks; their
-    number is bounded by ``max_labelled``.
+    number is bounded by ``max_labelled``. Of copies, exact or near, one stays in the sample, as
+    the words of one text are no evidence however often it is copied: texts whose pairs of
+    words have the same least hash count as copies.
     """
     known = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")).where("id is not null and y is not null")
     total = known.count()
     span = 1 << 30
     known = known.where(F.pmod(F.xxhash64("id"), F.lit(span)) < int(span * min(1.0, max_labelled / max(total, 1))))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.join(F.broadcast(known), "id").select("text", F.col("y").cast("int").alias("y"))
+    sample = rows.join(F.broadcast(known), "id").select("text", F.col("y").cast("int").alias("y"))
+    words = F.split(F.lower(F.coalesce("text", F.lit(""))), _BREAK)
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.xxhash64(a, b))
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
+    return sample.groupBy("y", F.array_min(pairs).alias("kin")).agg(one).select("one.text", "y")
 
 
 def _root(beta: dict[float, float], drift_mass: float, drift: float) -> float:
@@ -205,7 +216,7 @@ def fit(
     A token's odds of coming from a toxic text, over those of any token, are its document
     counts mixed with a Dirichlet prior: the odds of its beginning, which in turn are mixed
     with those of the shorter one and of all tokens. So unseen words inherit what is known of
-    their beginning. Scores ``SIGNIFICANT`` standard errors above zero are evidence.
+    their beginning. Scores clearly above zero are evidence.
 
     The extreme-value law of the best segment in clean text has lambda from the clean tokens'
     scores and K by maximum likelihood; a logistic curve takes a document's evidence to a
@@ -214,7 +225,7 @@ def fit(
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     sample, path = scratch.store_at(labelled(docs, labels, id_col, text_col, label_col, max_labelled), "labelled")
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"))
+    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), _BREAK))
     seen = sample.select("y", F.explode(words).alias("token")).where("token <> ''")
     counts = seen.groupBy("token").agg(F.sum("y").alias("n1"), F.count("*").alias("n"))
     counts = scratch.store(counts.select("token", "n1", (F.col("n") - F.col("n1")).alias("n0")), "counts")
@@ -255,11 +266,11 @@ def fit(
         if k is not None:
             level = scratch.store(level, f"level{k}")
             before = k
-        parts.append(level.where((F.col("z") > SIGNIFICANT) & (F.col("score") > 0)).select("key", "score", "n1", "n0"))
+        parts.append(level.where((F.col("z") > SIGNIFICANT) & (F.col("score") > LEAST_ODDS)).select("key", "score", "n1", "n0"))
         if k is None:
             # A frequent word that the beginning's evidence would misjudge is set to zero.
             parts.append(
-                level.where((F.col("z") <= SIGNIFICANT) & (F.col("n0") >= 3)).join(
+                level.where(((F.col("z") <= SIGNIFICANT) | (F.col("score") <= LEAST_ODDS)) & (F.col("n0") >= 3)).join(
                     parts[-2].select(F.expr(f"left(key, {before})").alias("p")), F.expr(f"left(key, {before})") == F.col("p"), "left_semi"
                 ).select("key", F.lit(0.0).alias("score"), "n1", "n0")
             )
