@@ -33,7 +33,7 @@ h AS (
   FROM (SELECT DISTINCT host FROM p) LEFT JOIN c USING (host)),
 t AS (
   SELECT host, n, k, regexp_extract(name, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(name, '[^.]*$') AS suffix FROM h),
-g AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS m FROM t),
+g AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(k) + 1) / (sum(n) + 2) ELSE 0 END AS m FROM t),
 a AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(m) AS m FROM t, g GROUP BY suffix),
 a2 AS (SELECT suffix, (k + s * m) / (n + s) AS m FROM a, (
   SELECT 1 / least(greatest(coalesce(round(sum((k - n * m) * (k - n * m) - n * m * (1 - m))

@@ -84,7 +84,7 @@ def _strength(children: DataFrame) -> float:
     spread = F.col("m") * (1 - F.col("m"))
     square = F.col("k") - F.col("n") * F.col("m")
     over = F.sum(square * square - F.col("n") * spread)
-    rho = over / F.sum(F.col("n") * (F.col("n") - 1) * spread)
+    rho = F.try_divide(over, F.sum(F.col("n") * (F.col("n") - 1) * spread))
     found = children.agg(F.round(rho, 9)).first()[0]
     return 1 / min(max(found or 0.0, 0.001), 0.999) - 1
 
@@ -108,7 +108,7 @@ def reputation(outcomes: DataFrame, hosts: DataFrame, scratch: Scratch) -> DataF
     )
     tree = scratch.store(tree, "hosts")
     total = tree.agg(F.sum("k"), F.sum("n")).first()
-    overall = ((total[0] or 0) + 1) / ((total[1] or 0) + 2)
+    overall = (total[0] + 1) / (total[1] + 2) if total[1] else 0.0  # unknown is not bad
     level = tree.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("m", F.lit(overall))
     for key, below in (("suffix", "domain"), ("domain", "host")):
         s = F.lit(_strength(level))
