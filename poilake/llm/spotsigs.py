@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,30 @@ ANCHORS = tuple(
     "con del el los no por se su una y".split()
 )
 #: Ids that share a window when neighbours are paired.
-RUN = 1024
+RUN = 256
+
+
+def _pattern(words: Sequence[str]) -> str:
+    """A regular expression of the words that shares their beginnings, longest match first."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for letter in word:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def of(node: dict) -> str:
+        parts = [re.escape(letter) + of(node[letter]) for letter in sorted(filter(None, node))]
+        if not parts:
+            return ""
+        return f"(?:{'|'.join(parts)})" + ("?" if "" in node else "")
+
+    return of(tree)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def spots(text: Column, anchors: Sequence[str] = ANCHORS) -> Column:
@@ -29,22 +53,25 @@ def spots(text: Column, anchors: Sequence[str] = ANCHORS) -> Column:
     makes a signature with the two content words behind it; at the end of the text there may be
     one or none. Texts that differ only in case and punctuation have the same signatures.
     """
-    names = "|".join(sorted(set(anchors), key=lambda w: (-len(w), w)))
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
     plain = F.concat(F.trim(plain), F.lit(" "))
     # An anchor is glued to the word behind it, so that each token ends in a content word.
-    glued = F.regexp_replace(plain, f"(?<![^ ])({names}) ", "$1_")
-    chain = F.when(glued == " ", F.array().cast("array<string>")).otherwise(
-        F.split(F.concat(F.lit("^_"), F.trim(glued)), " ")
-    )
+    glued = F.regexp_replace(plain, f"(?<![^ ])({_pattern(anchors)}) ", "$1_")
+
+    def chain(g: Column) -> Column:
+        empty = F.array().cast("array<string>")
+        return F.when(g == " ", empty).otherwise(F.split(F.concat(F.lit("^_"), F.trim(g)), " "))
 
     def spot(a: Column, b: Column) -> Column:
         return F.when(
             a.contains("_"), F.xxhash64(a, F.substring_index(F.coalesce(b, F.lit("")), "_", -1))
         )
 
-    found = F.zip_with(chain, F.slice(chain, 2, F.greatest(F.size(chain) - 1, F.lit(0))), spot)
-    return F.array_sort(F.array_distinct(F.filter(found, lambda h: h.isNotNull())))
+    def found(c: Column) -> Column:
+        following = F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
+        return F.filter(F.zip_with(c, following, spot), lambda h: h.isNotNull())
+
+    return F.array_sort(F.array_distinct(_let(_let(glued, chain), found)))
 
 
 def fingerprint(signatures: Column) -> Column:
