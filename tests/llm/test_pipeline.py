@@ -15,7 +15,7 @@ def corpus(spark, folder):
         if toxic:
             text += " idiot scum moron idiot scum"
         elif i % 8 == 1:
-            text = rows[i - 5][1] if i > 5 else text
+            text = rows[i - 5][1].removeprefix("Cookie notice\n") if i > 5 else text
         elif i % 8 == 2:
             text += " " + bench[i % 5][1]
         rows.append((i, f"Cookie notice\n{text}", "en", f"src{i % 2}", 0))
