@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -21,13 +22,14 @@ WINDOW = 2048
 BINS = 256
 #: Pieces of one sequence that a planned combination has at most.
 DEPTH = 3
-#: Words whose ids a task remembers; beyond that it starts anew.
-_REMEMBER = 400_000
-#: Texts that are split into words at once.
-_BATCH = 512
-_BYTES = 32 << 20
+#: Words whose ids a task remembers, about; beyond that it forgets those not in the last texts.
+_REMEMBER = 200_000
+#: New words that are encoded together.
+_TOGETHER = 256
+#: Bytes of texts that are split into words at once.
+_BYTES = 4 << 20
 #: Pieces of one bin that are numbered in one task, about.
-_GROUP = 20_000
+_GROUP = 1_000
 #: A word of its own between words that are encoded together.
 _MARK = "\x01"
 
@@ -43,52 +45,56 @@ class _Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self.known: dict[str, np.ndarray] = {}
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _learn(self, new: list[str]) -> None:
         plain = [w for w in new if _MARK not in w]
-        if plain:
-            ids = self.whole(f" {_MARK} ".join(plain))
-            cuts = np.flatnonzero(ids == self.mark[0])
-            start = 0
-            for w, end in zip(plain, [*cuts.tolist(), len(ids)]):
-                self.known[w] = ids[start:end]
-                start = end + 1
+        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        texts = [f" {_MARK} ".join(g) for g in groups]
+        for group, got in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(got.ids, dtype="<u4")
+            cuts = (4 * np.flatnonzero(ids == self.mark)).tolist()
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(group, [*cuts, len(raw)]):
+                self.known[w] = raw[start:end]
+                start = end + 4
         for w in new:
             if _MARK in w:
-                self.known[w] = self.whole(w)
+                self.known[w] = self.whole(w).tobytes()
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         flat = pc.dictionary_encode(lists.flatten())
         names = flat.dictionary.to_pylist()
-        if len(self.known) > _REMEMBER:
-            self.known.clear()
+        if len(self.known) + len(names) > _REMEMBER:  # the words of these texts are the likeliest to come again
+            self.known = {w: self.known[w] for w in names if w in self.known}
         known = self.known
         new = [w for w in names if w not in known]
         # A full stop or comma after a letter is a piece of its own.
-        stems = {w: w[:-1] for w in new if w[-1] in ".," and len(w) > 1 and w[-2].isalpha()}
+        stems = {w: w[:-1] for w in new if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
         ends = {".", ","} if stems else set()
         self._learn([w for w in {*(w for w in new if w not in stems), *stems.values(), *ends} if w not in known])
         for w, stem in stems.items():
-            known[w] = np.concatenate([known[stem], known[w[-1]]])
-        ids = [known[w] for w in names]
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        pool = np.concatenate(ids) if ids else np.empty(0, dtype="<u4")
+            known[w] = known[stem] + known[w[-1]]
+        raw = [known[w] for w in names]
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
+        pool = np.frombuffer(b"".join(raw), dtype="<u4")
         begin = np.cumsum(size) - size
         bounds = np.asarray(lists.offsets, dtype=np.int64)
-        at = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        bounds = bounds - bounds[0]
+        at = flat.indices.to_numpy(zero_copy_only=False)
         out = []
-        for i in range(len(texts)):
-            words = at[bounds[i] - bounds[0] : bounds[i + 1] - bounds[0]]
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            words = at[first:last]
             n = size[words]
             shift = np.repeat(begin[words] - (np.cumsum(n) - n), n)
-            out.append(pool[shift + np.arange(len(shift))].astype("<u4", copy=False))
+            out.append(pool[shift + np.arange(len(shift))])
         return out
 
 
@@ -103,8 +109,7 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window:
             texts = pc.coalesce(batch.column(1), pa.scalar("", batch.column(1).type))
             special = pc.match_substring(texts, "<|").to_pylist()
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-            # At most _BATCH texts at once, or _BYTES of them, or one.
-            share = np.maximum(np.arange(len(texts)) // _BATCH, np.cumsum(sizes) // _BYTES)
+            share = np.cumsum(sizes) // _BYTES
             cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
             for low, high in zip(cuts, cuts[1:]):
                 part = texts.take(pa.array(range(low, high), pa.int64()))
@@ -125,6 +130,8 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window:
                 kinds = {"start": pa.int64(), "length": pa.int32(), "ids": pa.binary()}
                 columns = [pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()]
                 yield pa.RecordBatch.from_arrays([whose, *columns], names=["doc", *rows])
+        del encoder  # the worker is kept for other tasks
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc {kind.simpleString()}, start long, length int, ids binary, ids_crc32 long, doc_tokens long"
@@ -258,9 +265,9 @@ def pack(
     for row in counts:
         histogram[row["bin"] - 1] = row["count"]
     planned = plan(histogram)
-    groups = int(histogram.max(initial=0) // _GROUP) + 1
     # Number the pieces of a bin: groups by a hash, a window in each, and the groups' starts.
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc", "start", "ids_crc32"), F.lit(groups)).cast("int"))
+    groups = F.get(F.array(*[F.lit(int(n // _GROUP) + 1) for n in histogram]), F.col("bin") - 1)
+    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc", "start", "ids_crc32"), groups).cast("int"))
     by_bin = Window.partitionBy("bin").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("bin", "grp")
