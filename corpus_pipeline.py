@@ -15,8 +15,11 @@ TOXIC = 0.3
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``; labels are only used to learn the model."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    kept = docs.withColumn("_judged", toxicity.judged(model, F.col("text")))
-    return kept.where(F.col("_judged.score") < TOXIC).select(*docs.columns)
+    name = "_judged"
+    while name in docs.columns:
+        name += "_"
+    kept = docs.withColumn(name, toxicity.judged(model, F.col("text")))
+    return kept.where(F.col(name)["score"] < TOXIC).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
