@@ -22,12 +22,16 @@ def build_session(app: str = "poilake", cores: int | str = "*", partitions: int
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="poilake-"))
         .getOrCreate()
     )
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode.
+
+    ``build_session`` sets it; the temporary folder is for local sessions that are made without.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
