@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, local alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages, local alignment scores them."""
 
 from __future__ import annotations
 
@@ -8,15 +8,13 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poilake.llm.scratch import Scratch
 
 #: Words of a seed.
 N = 3
-#: Consecutive n-grams of an item of which the rarest is a seed, so every part of it has one.
-STRIDE = 4
 #: Bits of the filter that tasks hold: 1 MiB, whatever the size of the benchmark. A fuller
 #: filter lets more n-grams through to the join; it never loses one.
 FILTER_BITS = 1 << 23
@@ -26,6 +24,9 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 SALTS = 8
 #: Words around a hit's diagonal that an alignment may drift to by insertions or deletions.
 DRIFT = 16
+#: Words to both sides of a hit that are compared with an item before an alignment, at most;
+#: where items are longer, every hit is aligned.
+REACH = 512
 
 _SPACES = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # any odd number
@@ -48,6 +49,11 @@ def grams(tokens: list[bytes], n: int) -> np.ndarray:
     return out
 
 
+def codes(tokens: list[bytes]) -> np.ndarray:
+    """A 16-bit hash of each word; equal words have equal codes."""
+    return np.fromiter(map(crc32, tokens), dtype=np.uint32, count=len(tokens)).astype(np.uint16)
+
+
 def align(passage: list[bytes], item: list[bytes]) -> tuple[int, int]:
     """(score, end) of the best local alignment (Smith-Waterman) of an item in a passage."""
     code = {w: i for i, w in enumerate(set(item))}
@@ -98,31 +104,82 @@ def _filter(items: DataFrame) -> bytes:
     return whole.tobytes()
 
 
-def _hits(docs: DataFrame, id_col: str, text_col: str, held) -> DataFrame:
-    """(doc, pos, gram) for the n-grams of whole texts that pass the filter."""
+def _vocabulary(benchmark: DataFrame, text_col: str) -> np.ndarray:
+    """Whether a code is that of a word of the benchmark, for each of the 65,536 codes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [codes(words(text)) for text in batch["text"]]
+            yield pd.DataFrame({"code": np.unique(np.concatenate(found)).astype(np.int32) if found else []})
+
+    rows = benchmark.select(F.col(text_col).alias("text")).mapInPandas(run, "code int").distinct().toPandas()
+    known = np.zeros(1 << 16, dtype=bool)
+    known[rows["code"].to_numpy(dtype=np.int64)] = True
+    return known
+
+
+def _hits(docs: DataFrame, id_col: str, text_col: str, held, known: np.ndarray, reach: int) -> DataFrame:
+    """(doc, pos, gram, near) for the n-grams of whole texts that pass the filter.
+
+    ``near`` holds the codes of the benchmark's words within ``reach`` words; null beyond ``REACH``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(np.frombuffer(held.value, dtype=np.uint8)).astype(bool)
         for batch in batches:
-            ids, places, found = [], [], []
+            ids, places, found, near = [], [], [], []
             for doc, text in zip(batch["doc"], batch["text"]):
-                hashes = grams(words(text), N)
+                body = words(text)
+                hashes = grams(body, N)
                 at = np.flatnonzero(bits[hashes % np.uint64(FILTER_BITS)])
                 if len(at):
                     ids.append(pd.Series([doc]).repeat(len(at)))
                     places.append(at)
                     found.append(hashes[at].view(np.int64))
+                    if reach > REACH:
+                        near += [None] * len(at)
+                        continue
+                    code = codes(body)
+                    for p in at:
+                        around = code[max(0, p - reach) : p + reach + 1]
+                        near.append(np.unique(around[known[around]]).tobytes())
             if ids:
                 yield pd.DataFrame(
-                    {"doc": pd.concat(ids).to_numpy(), "pos": np.concatenate(places), "gram": np.concatenate(found)}
+                    {
+                        "doc": pd.concat(ids).to_numpy(),
+                        "pos": np.concatenate(places),
+                        "gram": np.concatenate(found),
+                        "near": near,
+                    }
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc {kind}, pos int, gram long"
+        run, f"doc {kind}, pos int, gram long, near binary"
     )
 
 
+def _may(near: Column, item_text: Column, least: float) -> Column:
+    """Whether so many of an item's words are near a hit that its score can reach ``least``."""
+
+    @F.pandas_udf("boolean")
+    def run(near: pd.Series, item_text: pd.Series) -> pd.Series:
+        memo: dict[str, np.ndarray] = {}
+        out = []
+        for some, text in zip(near, item_text):
+            if some is None:
+                out.append(True)
+                continue
+            if text not in memo:
+                memo[text] = codes(words(text))
+            want = memo[text]
+            shared = np.isin(want, np.frombuffer(some, dtype=np.uint16)).sum()
+            out.append(bool(shared >= least * len(want) - 1e-9))
+        return pd.Series(out, dtype=bool)
+
+    return run(near, item_text)
+
+
 def _score(least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -172,8 +229,8 @@ def leaks(
 
     The score is the best local alignment of the item's words in the document over that of an
     exact copy; ``least`` and above are returned, once per document and item, with the words
-    that end at ``end_word``. Document frequencies of the benchmark's n-grams are counted over
-    all documents; of each ``STRIDE`` consecutive n-grams of an item the rarest is a seed.
+    that end at ``end_word``. Every n-gram of an item is a seed, so an edited copy is aligned if
+    any ``N`` words in a row are left of it; one without such words is not found.
     Null and empty texts, and items of fewer than ``N`` words, match nothing. Rows that repeat
     a document or item are one. A null id is an id like any other. Other columns are not read.
     """
@@ -181,38 +238,37 @@ def leaks(
     scratch = Scratch(spark, "leaks")
     items = scratch.store(_items(benchmark, item_col, item_text_col).distinct(), "items")
     held = spark.sparkContext.broadcast(_filter(items))
-    hits = scratch.store(_hits(docs, id_col, text_col, held), "hits")
-    grams_of = items.select("gram").distinct()
-    df = (
-        hits.groupBy("gram", "doc").agg(F.lit(1).alias("one")).groupBy("gram").agg(F.count("*").alias("df"))
-    ).join(grams_of, "gram", "right")
-    block = F.floor(F.col("place") / STRIDE)
-    seeds = (
-        items.join(df, "gram")
-        .groupBy("item", block.alias("block"))
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram", "place")).alias("s"))
-        .select("item", F.col("s.gram").alias("gram"))
+    longest = (items.agg(F.max("place")).first()[0] or 0) + N
+    # An alignment of ``least`` has no more words between its own than this allows.
+    reach = math.ceil(longest * (1 + 2 * max(0.0, 1 - least))) + 2 * DRIFT
+    known = _vocabulary(benchmark, item_text_col)
+    hits = scratch.store(_hits(docs, id_col, text_col, held, known, reach), "hits")
+    # Every n-gram is a seed: an edit destroys N of them at most, and the others still meet.
+    seeds = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    seeds = scratch.store(seeds, "seeds")
+    item_text = (
+        benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
+        .where("item_text is not null")
         .distinct()
-        .join(items, ["item", "gram"])
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    seeds = scratch.store(seeds, "seeds")
-    found = (
+    met = (
         hits.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
         .join(seeds, ["gram", "salt"])
         # An alignment drifts by some words: nearby diagonals are one start.
-        .select("doc", "item", (F.floor((F.col("pos") - F.col("place")) / DRIFT) * DRIFT).cast("int").alias("start"))
-        .distinct()
+        .select(
+            "doc", "item", (F.floor((F.col("pos") - F.col("place")) / DRIFT) * DRIFT).cast("int").alias("start"), "near"
+        )
+    )
+    met = met.join(item_text, met["item"].eqNullSafe(item_text["item"])).drop(item_text["item"])
+    found = (
+        met.select("doc", "item", "start", _may(F.col("near"), F.col("item_text"), least).alias("may"))
         .groupBy("doc", "item")
-        .agg(F.collect_list("start").alias("starts"))
+        .agg(F.collect_set("start").alias("starts"), F.max("may").alias("may"))
+        .where("may")
+        .drop("may")
     )
     found = scratch.store(found, "found")
     text = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("text is not null")
-    item_text = (
-        benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
-        .where("item_text is not null")
-        .distinct()
-    )
     wanted = found.select("doc").distinct()
     hit_docs = text.join(wanted, text["doc"].eqNullSafe(wanted["doc"]), "left_semi")
     pairs = found.join(item_text, found["item"].eqNullSafe(item_text["item"])).drop(item_text["item"])
@@ -226,8 +282,3 @@ def leaks(
         .agg(F.max(F.struct("score", "end_word", "passage")).alias("b"))
         .select("doc", "item", "b.score", "b.end_word", "b.passage")
     )
-
-
-def seed_count(n_words: int) -> int:
-    """Seeds that an item of so many words has; none below ``N`` words."""
-    return math.ceil(max(0, n_words - N + 1) / STRIDE)

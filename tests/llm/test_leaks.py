@@ -57,3 +57,27 @@ def test_empty_tables(spark):
     some, item = spark.createDataFrame([(1, "a b c d")], docs.schema), spark.createDataFrame([(1, "a b c d")], bench.schema)
     assert d.leaks(docs, item).collect() == [] and d.leaks(some, bench).collect() == []
     assert [r.score for r in d.leaks(some, item).collect()] == [1.0]
+
+
+def test_single_edited_copies_are_found_down_to_the_threshold(spark):
+    rng = random.Random(5)
+    items, docs = [], []
+    for i in range(40):
+        item = [f"i{i}w{j}" for j in range(rng.randint(16, 45))]
+        # One word in eight, so that an edit falls into every four trigrams, or words at random.
+        edits = range(4, len(item), 8) if i < 8 else rng.sample(range(len(item)), rng.randint(1, len(item) * 2 // 5))
+        copy = [f"new{i}n{j}" if j in edits else w for j, w in enumerate(item)]
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join([f"a{i}", f"b{i}"] * 20 + copy + [f"c{i}"] * 30)))
+    got = {
+        (r.doc, r.item): r.score
+        for r in d.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    }
+    want = {}
+    for (i, item), (_, text) in zip(items, docs):
+        w = d.words(item)
+        score = d.align(d.words(text), w)[0] / (d.MATCH * len(w))
+        if score >= 0.5:
+            want[i, i] = score
+    assert got == want and {(i, i) for i in range(8)} <= set(want) and 10 < len(want) < 40
+    assert min(want.values()) < 0.6
