@@ -28,6 +28,8 @@ E_VALUE = 0.05
 MAX_SEGMENTS = 10
 #: Largest evidence that the calibration tells apart.
 MAX_EVIDENCE = 300.0
+#: Least hashes of their pairs of words that near copies share.
+KIN = 4
 _WORD = re.compile(r"[^\W\d_]+")
 _BREAK = r"[^\p{L}]+"
 
@@ -157,8 +159,9 @@ def labelled(
 
     Ids with labels that differ count as toxic. The sample's ids are sent to all tasks; their
     number is bounded by ``max_labelled``. Of copies, exact or near, one stays in the sample, as
-    the words of one text are no evidence however often it is copied: texts whose pairs of
-    words have the same least hash count as copies.
+    the words of one text are no evidence however often it is copied: texts count as copies if
+    the least hashes of their pairs of words agree under ``KIN`` hash functions, which texts
+    that merely share some pairs do not, and texts of fewer than two words if those are equal.
     """
     known = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")).where("id is not null and y is not null")
     total = known.count()
@@ -166,10 +169,18 @@ def labelled(
     known = known.where(F.pmod(F.xxhash64("id"), F.lit(span)) < int(span * min(1.0, max_labelled / max(total, 1))))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = rows.join(F.broadcast(known), "id").select("text", F.col("y").cast("int").alias("y"))
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), _BREAK)
-    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.xxhash64(a, b))
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), _BREAK), lambda w: w != "")
+    sample = sample.withColumn("words", words)
+    following = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0)))
+    # The last word has no pair; xxhash64 skips nulls, so it is filtered.
+    pairs = F.filter(
+        F.zip_with("words", following, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b))), lambda h: h.isNotNull()
+    )
+    sample = sample.withColumn("pairs", pairs)
+    least = [F.array_min(F.transform("pairs", lambda h, k=k: F.xxhash64(F.lit(k), h))) for k in range(KIN)]
+    kin = F.when(F.size("words") > 1, F.array(*least)).otherwise(F.array(F.xxhash64("words")))
     one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
-    return sample.groupBy("y", F.array_min(pairs).alias("kin")).agg(one).select("one.text", "y")
+    return sample.groupBy("y", kin.alias("kin")).agg(one).select("one.text", "y")
 
 
 def _root(beta: dict[float, float], drift_mass: float, drift: float) -> float:

@@ -101,3 +101,16 @@ def test_the_sample_is_bounded(spark, fitted):
     docs, labels, _ = fitted
     n = t.labelled(docs, labels.unionByName(labels), "doc_id", "text", "toxic", 100).count()
     assert 60 <= n <= 140
+
+
+def test_only_copies_leave_the_sample(spark):
+    shared = "all rights reserved"
+    rows = [f"{w}a {w}b {w}c {w}d {w}e {shared}." for w in ("ka", "lo", "mi", "nu", "pe", "ri", "su", "ta")]
+    rows += [f"{w}." for w in ("yes", "no", "so")] + ["", "12", "good day!", "fine day!"]
+    copies = ["good day?", "Good  day", rows[0].upper()]  # equal in all but case and punctuation
+    texts = [*rows, *copies]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(0).alias("toxic"))
+    got = sorted(r.text for r in t.labelled(docs, labels, "doc_id", "text", "toxic", 1000).collect())
+    kept = {tuple(t.tokens(x)) for x in got}
+    assert kept == {tuple(t.tokens(x)) for x in texts} and len(got) == len(kept)
