@@ -43,6 +43,7 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "passages",
         "worst",
+        "spans",
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,8 +25,8 @@ PRIOR = 1.0
 LEAST_ODDS, SIGNIFICANT = 1.5, 3.0
 #: Passages with fewer expected by chance in a clean text of the same length are significant.
 E_VALUE = 0.05
-#: Segments that a document's evidence is summed over at most.
-MAX_SEGMENTS = 10
+#: Tokens within which a repeated token counts less.
+LOCAL = 100
 #: Largest evidence that the calibration tells apart.
 MAX_EVIDENCE = 300.0
 #: Least hashes of their pairs of words that near copies share.
@@ -90,27 +91,32 @@ class Model:
     def passages(self, found: list[str], memo: dict[str, float]) -> list[tuple[float, int, int]]:
         """All segments of a tokenised text. memo: scores of tokens seen before.
 
-        The k-th occurrence of a token counts a k-th, as a word's repetitions are no new evidence.
+        The k-th occurrence of a token within ``LOCAL`` tokens counts a k-th, as a word's
+        repetitions nearby are no new evidence. What is further off changes nothing, so a passage
+        scores alike wherever it is.
         """
         scores: list[tuple[int, float]] = []
-        times: dict[str, int] = {}
+        times: dict[str, deque[int]] = {}
         for i, t in enumerate(found):
             s = memo.get(t)
             if s is None:
                 s = memo[t] = self.odds(t)
             if s:
-                times[t] = times.get(t, 0) + 1
-                scores.append((i, s / times[t]))
+                near = times.setdefault(t, deque())
+                while near and near[0] <= i - LOCAL:
+                    near.popleft()
+                near.append(i)
+                scores.append((i, s / len(near)))
         return segments(scores, self.drift, len(found)) if scores else []
 
     def evidence(self, parts: list[tuple[float, int, int]], n: int) -> float:
         """-log of the probability of such segments in a clean text of n tokens.
 
         Of the r best, normalised by lambda and K n, the sum t has about the probability
-        exp(-t) t^(r-1) / (r! (r-1)!); the least over r counts.
+        exp(-t) t^(r-1) / (r! (r-1)!); the least over all r counts.
         """
         best, total = 0.0, 0.0
-        for r, score in enumerate(sorted((p[0] for p in parts), reverse=True)[:MAX_SEGMENTS], 1):
+        for r, score in enumerate(sorted((p[0] for p in parts), reverse=True), 1):
             total += self.rate * score - math.log(max(self.scale * n, 1e-300))
             if total > r:
                 p = total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r)
@@ -120,15 +126,18 @@ class Model:
     def probability(self, evidence: float) -> float:
         return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.level + self.slope * math.log1p(evidence)))))
 
-    def judge(self, text: str | None, memo: dict[str, float]) -> tuple[float, int, str | None]:
-        """(score, significant passages, the best passage) of a whole text."""
+    def judge(
+        self, text: str | None, memo: dict[str, float]
+    ) -> tuple[float, int, str | None, list[tuple[int, int, float]]]:
+        """(score, significant passages, the best passage, all of them) of a whole text."""
         found = tokens(text)
         parts = self.passages(found, memo)
         score = self.probability(self.evidence(parts, len(found)))
         chance = self.scale * max(1, len(found))
         good = [p for p in parts if chance * math.exp(-min(700.0, self.rate * p[0])) < E_VALUE]
         top = max(good, default=None)
-        return score, len(good), " ".join(found[top[1] : top[2] + 1]) if top else None
+        worst = " ".join(found[top[1] : top[2] + 1]) if top else None
+        return score, len(good), worst, [(first, last, float(s)) for s, first, last in good]
 
 
 #: Tokens whose scores a task remembers.
@@ -136,9 +145,9 @@ _REMEMBER = 200_000
 
 
 def judged(model: Model, text: Column) -> Column:
-    """struct(score, passages, worst) of a text column, by one Arrow UDF."""
+    """struct(score, passages, worst, spans) of a text column, by one Arrow UDF."""
 
-    @F.pandas_udf("score double, passages int, worst string")
+    @F.pandas_udf("score double, passages int, worst string, spans array<struct<first:int,last:int,score:double>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memo: dict[str, float] = {}
         for batch in batches:
@@ -147,7 +156,7 @@ def judged(model: Model, text: Column) -> Column:
                 if len(memo) > _REMEMBER:
                     memo.clear()
                 rows.append(model.judge(t, memo))
-            yield pd.DataFrame(rows, columns=["score", "passages", "worst"])
+            yield pd.DataFrame(rows, columns=["score", "passages", "worst", "spans"])
 
     return run(text)
 
@@ -331,13 +340,14 @@ def fit(
 def score(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, score, passages, worst) per row: its probability of being toxic, the number of
-    significant passages and the words of the best one.
+    """(id, score, passages, worst, spans) per row: its probability of being toxic, the number of
+    significant passages, the words of the best one, and for each its first and last token and
+    its score, in the order of the text.
 
     Null and empty texts have no evidence and the lowest score. Rows are scored one by one, so
     repeated rows score alike; other columns are not read.
     """
     return (
         docs.select(F.col(id_col).alias("id"), judged(model, F.col(text_col)).alias("j"))
-        .select("id", "j.score", "j.passages", "j.worst")
+        .select("id", "j.score", "j.passages", "j.worst", "j.spans")
     )

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import pytest
@@ -114,3 +115,20 @@ def test_only_copies_leave_the_sample(spark):
     got = sorted(r.text for r in t.labelled(docs, labels, "doc_id", "text", "toxic", 1000).collect())
     kept = {tuple(t.tokens(x)) for x in got}
     assert kept == {tuple(t.tokens(x)) for x in texts} and len(got) == len(kept)
+
+
+def test_a_passage_scores_alike_wherever_it_is(spark, fitted):
+    model = fitted[2]
+    passage, filler = "you idiot scum moron zzorken", "bame dono " * 1500
+    # Copies and stray words that lie before a passage take nothing from it.
+    text = ("idiot " + filler + "scum " + filler) + (passage + " " + filler) * 12
+    docs = spark.createDataFrame([(1, passage), (2, text)], "doc_id long, text string")
+    got = {r.id: r for r in t.score(docs, model).collect()}
+    assert got[2].passages == 12 and len(got[2].spans) == 12 and len(got[1].spans) == 1
+    words = t.tokens(text)
+    best = got[1].spans[0].score
+    for s in got[2].spans:
+        assert abs(s.score - best) < 1e-9 and words[s.first : s.last + 1] == t.tokens(got[1].worst)
+    # The evidence is that of all segments, not of some of the best.
+    weak = [(1.0 / model.rate + math.log(model.scale * 1000) / model.rate, i, i) for i in range(40)]
+    assert model.evidence(weak, 1000) > model.evidence(weak[:10], 1000) + 1
