@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from poilake.llm import decontaminate, linededup, packing, queries, simhash, toxicity
 from poilake.llm.scratch import Scratch
@@ -12,12 +13,30 @@ from poilake.llm.scratch import Scratch
 TOXIC = 0.3
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of the row's id and text, never null, and its name.
+
+    Keys sort like ids, a null id last. Only rows that repeat an id and a text share a key.
+    """
+    name, doc_id = _free(docs, "_key"), F.col("doc_id")
+    shown = doc_id.cast("string")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        shown = F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    front = F.when(doc_id.isNull(), "1").otherwise(F.concat(F.lit("0"), shown, F.lit("\0")))
+    mark = F.concat(F.hex(F.xxhash64("text")), F.lit("-"), F.hex(F.xxhash64(F.lit(1), "text")))
+    return docs.withColumn(name, F.concat(front, mark)), name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``; labels are only used to learn the model."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    name = "_judged"
-    while name in docs.columns:
-        name += "_"
+    name = _free(docs, "_judged")
     kept = docs.withColumn(name, toxicity.judged(model, F.col("text")))
     return kept.where(F.col(name)["score"] < TOXIC).select(*docs.columns)
 
@@ -30,17 +49,24 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least doc_id of each near-copy group."""
-    found = simhash.near_duplicates(docs)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(Scratch(spark, "copies").store(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    """The document of the least doc_id of each near-copy group; of repeated rows one."""
+    scratch = Scratch(spark, "copies")
+    keyed, key = _keyed(docs)
+    found = simhash.near_duplicates(keyed, id_col=key)
+    marked = found.groupBy("id").agg(F.max(F.col("id") != F.col("component")).alias("copy"), F.count("*").alias("n"))
+    marked = scratch.store(marked.where("copy or n > 1").select(F.col("id").alias(key), "copy"), "marked")
+    kept = keyed.join(marked, key, "left_anti").select(*docs.columns)
+    repeated = keyed.join(marked.where("not copy"), key, "left_semi")
+    one = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("one")
+    return kept.unionByName(repeated.groupBy(key).agg(one).select("one.*"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.select(F.col("doc").alias("doc_id")).distinct()
-    return docs.join(Scratch(spark, "leaked").store(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    keyed, key = _keyed(docs)
+    found = decontaminate.leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key)
+    gone = found.select(F.col("doc").alias(key)).distinct()
+    return keyed.join(Scratch(spark, "leaked").store(gone, "gone"), key, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,3 +67,25 @@ def test_extra_columns_and_empty_tables(spark, folder):
         if name != "packing":
             assert out.columns == docs.columns
     assert linededup.SALTS and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_null_and_repeated_ids(spark, folder):
+    rng = random.Random(9)
+    words = [f"{a}{b}{c}" for a in ("ba", "do", "ki", "lu") for b in ("ra", "so", "ti", "vu") for c in ("m", "n", "p")]
+    a, b, c, leak = (" ".join(rng.choices(words, k=60)) for _ in range(4))
+    item = " ".join(rng.choices(words, k=30))
+    rows = [(9, a), (10, a), (None, a), (None, b), (None, b), (-3, c), (-3, c), (5, "x " + leak), (5, leak + " y " + item)]
+    docs = spark.createDataFrame([(*r, "en", "src", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, docs, folder)
+    assert got.columns == docs.columns
+    want = [(9, a), (None, b), (-3, c), (5, "x " + leak), (5, leak + " y " + item)]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, want))
+
+    # A null id that holds an item goes, also an item of a null id; other rows of the id stay.
+    spark.createDataFrame([(None, item), (1, b)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(None, a), (None, b), (None, a + " " + item), (5, c), (5, c), (5, c + " " + item)]
+    docs = spark.createDataFrame([(*r, "en", "src", 0) for r in rows], docs.schema)
+    got = corpus_pipeline.drop_leaks(spark, docs, folder)
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [(None, a), (5, c), (5, c)]))
+    found = decontaminate.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet")).collect()
+    assert {(r.doc, r.item) for r in found} == {(None, None), (None, 1), (5, None)}
