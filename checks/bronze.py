@@ -551,7 +551,7 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_path(spark, "bronze")
     _landed(spark, sf, root)
-    B.land_bronze(V.poi(spark, sf).coalesce(1), root, SOURCE, "20240601", "run_1")
+    B.land_bronze(V.poi(spark, sf), root, SOURCE, "20240601", "run_1")
     folder = F.regexp_extract("path", "(snapshot_date=[^/]+)", 1).alias("folder")
     return Q.bad_paths(spark, root).groupBy(folder).agg((F.count("*") > 0).alias("found"))
 

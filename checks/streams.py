@@ -66,7 +66,7 @@ def _(spark, sf):
     later = events.withColumn("event_type", F.concat("event_type", F.lit("-late")))
     kept = None
     for batch in (events, later):
-        batch.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        batch.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
         deduped = I.dedup_stream(stream, ["user_id", "event_type"], "ts", "2 hours")
         kept = I.run_to_files(deduped, f"{root}/out", f"{root}/state")
