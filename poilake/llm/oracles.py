@@ -73,3 +73,33 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d JOIN f USING (payload_digest, payload_bytes)
 """
+
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(unnest(pieces), '[ \t]+'), lambda w: w <> '') AS w FROM d),
+g AS (
+  SELECT lang, size, array_to_string(w[i + 1 : i + size], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(len(w) - size + 1)) AS i FROM p, (VALUES (1), (2), (3)) AS s(size) WHERE len(w) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY lang, size, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND a >= 10),
+k AS (SELECT *, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+      FROM (SELECT *, unnest(range(1, size)) AS cut FROM c)),
+s AS (
+  SELECT k.lang, k.size, k.phrase, k.a, k.cut, x.a AS l, y.a AS r,
+    CAST((1000000::HUGEINT * k.a * k.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.first AND x.size = k.cut
+         JOIN f y ON y.lang = k.lang AND y.phrase = k.rest AND y.size = k.size - k.cut),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM c WHERE size = 3
+      UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE size = 3),
+m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY lang, phrase),
+o AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN m ON m.lang = b.lang AND m.phrase = b.phrase AND b.size = 2
+  WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""

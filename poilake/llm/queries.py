@@ -1,4 +1,4 @@
-"""The ten operators on the given tables, and their SQL where SQL can say the same."""
+"""The operators on the given tables, and their SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poilake.llm import blob_ledger, chat, decontaminate, linededup, oracles, packing, simhash, spotsigs, toxicity, urls, warc
+from poilake.llm import blob_ledger, chat, collocations, decontaminate, linededup, oracles, packing, simhash, spotsigs, toxicity, urls, warc
 from poilake.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,8 @@ def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(blob_ledger.listed(F.col("spans"), base), 256).alias("base_sha256"),
         blob_ledger.listed(F.col("spans"), [r.kind for r in blob_ledger.RULES]).alias("spans"),
     )
+
+
+@query("op11_collocations", oracles.COLLOCATIONS)
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
