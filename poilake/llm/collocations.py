@@ -57,13 +57,13 @@ def _phrase_bits(lang: str, words: list[np.ndarray]) -> np.ndarray:
 def _words(data: bytes) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
     """(words, piece of each word, first byte of each word) of lower-cased, marked text."""
     raw = np.frombuffer(data, dtype=np.uint8)
-    broken = raw == _BREAK
-    inside = ~(broken | (raw == ord(" ")))
-    start = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
-    piece = np.cumsum(broken, dtype=np.int32)[start]
+    inside = (raw != _BREAK) & (raw != ord(" "))
+    turns = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    start, end = turns[::2], turns[1::2]
+    piece = np.searchsorted(np.flatnonzero(raw == _BREAK), start).astype(np.int32)
     # The words' bytes back to back are an Arrow array without a copy per word.
     kept = raw[inside]
-    offsets = np.append(np.cumsum(inside, dtype=np.int32)[start] - 1, len(kept)).astype(np.int32)
+    offsets = np.append(0, np.cumsum(end - start)).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     return pc.dictionary_encode(words), piece, start
 

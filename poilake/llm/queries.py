@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poilake.llm import blob_ledger, chat, collocations, decontaminate, linededup, oracles, packing, simhash, spotsigs, toxicity, urls, warc
+from poilake.llm import blob_ledger, bpe, chat, collocations, decontaminate, linededup, oracles, packing, simhash, spotsigs, toxicity, urls, warc
 from poilake.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +210,22 @@ def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
 @query("op11_collocations", oracles.COLLOCATIONS)
 def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"))
+
+
+def byte_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op12_bpe")
+def op12_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = byte_tokenizer_path()
+    encoded = bpe.encode(table(spark, sf, "documents"), path)
+    decoded = encoded.withColumn("decoded", bpe.decode(encoded, F.col("ids"), path))
+    return decoded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
