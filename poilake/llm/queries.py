@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poilake.llm import blob_ledger, bpe, chat, collocations, decontaminate, linededup, oracles, packing, simhash, spotsigs, toxicity, urls, warc
+from poilake.llm import blob_ledger, bpe, chat, collocations, decontaminate, linededup, negatives, oracles, packing, simhash, spotsigs, toxicity, urls, warc
 from poilake.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -229,3 +229,15 @@ def op12_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op13_hard_negatives", oracles.NEGATIVES)
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows, number = table(spark, sf, "embeddings"), F.col("vec_id")
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    ready = rows.where(finite).select(
+        "vec_id",
+        F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("embedding"),
+    )
+    return negatives.mine(ready, F.col("vec_id") % 50 == 0)
