@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from poilake.llm.cover_tree import Best, CoverTree, Searcher, build
+from poilake.llm.cover_tree import Ask, CoverTree, build, search
 from poilake.llm.scratch import Scratch
 from poilake.operators.order import global_index
 
@@ -76,22 +76,27 @@ def _positives(dim: int, k: int):
     """The ``k`` best other rows of an anchor's label in the trees of a group."""
 
     def run(trees: pa.Table, anchors: pa.Table) -> pa.Table:
-        rows: dict[str, list[np.ndarray]] = {n: [] for n in ("anchor", "id", "score")}
-        planted = list(_trees(trees)) if anchors.num_rows else []
         queries = _vectors(anchors.column("vec"), dim)
-        columns = [_longs(anchors.column(n)) for n in ("anchor", "id", "label")]
-        for query, anchor, own, label in zip(queries, *columns):
-            best = Best(k)
-            for tree, vectors, ids, labels in planted:
-                allowed = labels == label
-                if allowed.any():
-                    at = np.flatnonzero(allowed & (ids == own))  # itself, not another row of its id
-                    allowed[at[(vectors[at] == query).all(axis=1)]] = False
-                    Searcher(tree, vectors, ids, query).search(best, allowed)
-            rows["anchor"].append(np.full(len(best.ids), anchor))
-            rows["id"].append(best.ids)
-            rows["score"].append(best.scores)
-        return _found(rows)
+        anchor, own, label = (_longs(anchors.column(n)) for n in ("anchor", "id", "label"))
+        asks = [Ask(k, [(-np.inf, np.inf)]) for _ in anchor]
+        for tree, vectors, ids, labels in _trees(trees) if len(asks) else ():
+
+            def allowed(q: int, rows: np.ndarray) -> np.ndarray:
+                out = labels[rows] == label[q]
+                at = np.flatnonzero(out & (ids[rows] == own[q]))  # itself, not another row of its id
+                out[at[(vectors[rows[at]] == queries[q]).all(axis=1)]] = False
+                return out
+
+            some = np.flatnonzero(np.isin(label, labels))
+            search(tree, vectors, ids, queries[some], [asks[q] for q in some], lambda q, rows: allowed(some[q], rows))
+        best = [ask.best[0] for ask in asks]
+        return _found(
+            {
+                "anchor": [np.full(len(b.ids), a) for a, b in zip(anchor, best)],
+                "id": [b.ids for b in best],
+                "score": [b.scores for b in best],
+            }
+        )
 
     return run
 
@@ -100,27 +105,21 @@ def _negatives(dim: int, k: int, low: int, high: int):
     """The ``k`` best rows of other labels for each positive of an anchor, in the trees of a group."""
 
     def run(trees: pa.Table, anchors: pa.Table) -> pa.Table:
-        rows: dict[str, list[np.ndarray]] = {n: [] for n in ("anchor", "place", "id", "score")}
-        planted = list(_trees(trees)) if anchors.num_rows else []
         queries = _vectors(anchors.column("vec"), dim)
-        wanted = anchors.column("scores").to_pylist()
-        for query, anchor, label, scores in zip(queries, *[_longs(anchors.column(n)) for n in ("anchor", "label")], wanted):
-            # 100 * n >= low * p and 100 * n <= high * p, in integers
-            windows = [(-(-low * p // 100), high * p // 100) for p in scores]
-            best = [Best(k) for _ in windows]
-            for tree, vectors, ids, labels in planted:
-                allowed = labels != label
-                if allowed.any():
-                    searcher = Searcher(tree, vectors, ids, query)
-                    for (least, most), found in zip(windows, best):
-                        if least <= most:
-                            searcher.search(found, allowed, least, most)
-            for place, found in enumerate(best):
-                rows["anchor"].append(np.full(len(found.ids), anchor))
-                rows["place"].append(np.full(len(found.ids), place))
-                rows["id"].append(found.ids)
-                rows["score"].append(found.scores)
-        return _found(rows)
+        anchor, label = (_longs(anchors.column(n)) for n in ("anchor", "label"))
+        # 100 * n >= low * p and 100 * n <= high * p, in integers
+        asks = [Ask(k, [(-(-low * p // 100), high * p // 100) for p in scores]) for scores in anchors.column("scores").to_pylist()]
+        for tree, vectors, ids, labels in _trees(trees) if len(asks) else ():
+            search(tree, vectors, ids, queries, asks, lambda q, rows: labels[rows] != label[q])
+        found = [(a, place, b) for a, ask in zip(anchor, asks) for place, b in enumerate(ask.best)]
+        return _found(
+            {
+                "anchor": [np.full(len(b.ids), a) for a, _, b in found],
+                "place": [np.full(len(b.ids), place) for _, place, b in found],
+                "id": [b.ids for _, _, b in found],
+                "score": [b.scores for _, _, b in found],
+            }
+        )
 
     return run
 
