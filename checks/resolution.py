@@ -116,18 +116,67 @@ def _(spark, sf):
     return _shown(R.merge_sources(V.places(spark, sf), ["google", "osm"]))
 
 
+# Places are called by name, category and brand; candidates by the same words in another order,
+# one letter short where their number is odd. A key has each word once; grams are those of the key between two spaces.
+ASKED = "concat(split_part(name, ' ', 2), ' ', split_part(name, ' ', 1), ' ', brand, ' ', category)"
+MISSPELT = f"""CASE WHEN osm_id % 2 = 1 THEN concat(left({ASKED}, CAST(1 + osm_id % 9 AS INT)), substr({ASKED}, CAST(3 + osm_id % 9 AS INT))) ELSE {ASKED} END"""
+WORDS_SQL = "array_to_string(list_sort(list_distinct(string_split(trim(lower(regexp_replace({name}, '[^a-zA-Z0-9_]+', ' ', 'g'))), ' '))), ' ')"
+GRAMS_SQL = "list_distinct(list_transform(range(1, len(k) + 1), lambda i: substr(concat(' ', k, ' '), i, 3)))"
+LOOKUP = f"""asked AS (SELECT osm_id, lat, lon, {WORDS_SQL.format(name=MISSPELT)} AS k
+  FROM (SELECT osm_id + 1000000 AS osm_id, name, category, brand, lat + CAST(osm_id % 5 AS DOUBLE) / 2000 AS lat, lon FROM poi)),
+places AS (SELECT osm_id, lat, lon, review_count, concat(name, ' ', category, ' ', brand) AS place_name,
+  {WORDS_SQL.format(name="concat(name, ' ', category, ' ', brand)")} AS k FROM poi),
+ga AS (SELECT k, unnest({GRAMS_SQL}) AS g, len({GRAMS_SQL}) AS n FROM (SELECT DISTINCT k FROM asked)),
+gp AS (SELECT k, unnest({GRAMS_SQL}) AS g, len({GRAMS_SQL}) AS n FROM (SELECT DISTINCT k FROM places)),
+alike AS (SELECT a, p, CAST(c AS DOUBLE) / (na + np - c) AS similarity FROM (
+  SELECT ga.k AS a, gp.k AS p, any_value(ga.n) AS na, any_value(gp.n) AS np, count(*) AS c FROM ga JOIN gp USING (g) GROUP BY ga.k, gp.k)
+  WHERE CAST(c AS DOUBLE) / (na + np - c) >= 0.6)"""
+
+
+def _lookup(spark, sf):
+    """(candidates, places) with the names of ``LOOKUP``."""
+    own = V.poi(spark, sf)
+    key = F.col("osm_id") + 1000000
+    asked = F.concat_ws(" ", F.split_part("name", F.lit(" "), F.lit(2)), F.split_part("name", F.lit(" "), F.lit(1)), "brand", "category")
+    cut = (key % 9).cast("int")
+    short = F.concat(F.substr(asked, F.lit(1), 1 + cut), F.substr(asked, 3 + cut))
+    candidates = own.select(
+        key.alias("osm_id"),
+        F.concat(F.when(key % 2 == 1, short).otherwise(asked), F.lit(", Hà Nội")).alias("name"),
+        (F.col("lat") + (F.col("osm_id") % 5).cast("double") / 2000).alias("lat"),
+        "lon",
+    )
+    return candidates, own.select("osm_id", F.concat_ws(" ", "name", "category", "brand").alias("name"), "review_count", "lat", "lon")
+
+
 @query(
     "enrich",
-    W("poi", "poi_b") + f"""SELECT b.osm_id, p.osm_id AS place_id, p.name AS place_name, p.review_count FROM poi_b b JOIN (
- SELECT *, {KEY_SQL.format(name="name")} AS k, row_number() OVER (PARTITION BY {KEY_SQL.format(name="name")} ORDER BY review_count DESC, osm_id) AS rn
- FROM poi) p ON p.rn = 1 AND p.k = {KEY_SQL.format(name="b.name")}""",
+    W("poi", extra=LOOKUP) + """SELECT a.osm_id, b.osm_id AS place_id, b.place_name, b.review_count, round(l.similarity, 9) AS similarity
+FROM asked a JOIN alike l ON l.a = a.k JOIN (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY review_count DESC, osm_id) AS rn FROM places) b ON b.k = l.p AND b.rn = 1
+QUALIFY row_number() OVER (PARTITION BY a.osm_id ORDER BY l.similarity DESC, b.review_count DESC, b.osm_id, b.k) = 1""",
+)
+def _(spark, sf):
+    candidates, places = _lookup(spark, sf)
+    found = R.enrich(candidates, places, "Hà Nội", [-F.col("review_count"), F.col("osm_id")])
+    data = F.col("google_data")
+    return found.select(
+        "osm_id", data["osm_id"].alias("place_id"), data["name"].alias("place_name"), data["review_count"].alias("review_count"),
+        F.round("similarity", 9).alias("similarity"),
+    )
+
+
+@query(
+    "enrich_nearby",
+    W("poi", extra=LOOKUP) + f"""SELECT a.osm_id, b.osm_id AS place_id, round(l.similarity, 9) AS similarity, round({distance_sql('a', 'b')}, 3) AS meters
+FROM asked a JOIN alike l ON l.a = a.k JOIN places b ON b.k = l.p AND abs(a.lat - b.lat) < 0.05 AND abs(a.lon - b.lon) < 0.05
+WHERE {distance_sql('a', 'b')} <= 3000
+QUALIFY row_number() OVER (PARTITION BY a.osm_id ORDER BY l.similarity DESC, {distance_sql('a', 'b')}, b.review_count DESC, b.osm_id) = 1""",
 )
 def _(spark, sf):
-    places = V.poi(spark, sf).select("osm_id", "name", "review_count")
-    candidates = V.poi_b(spark, sf).select("osm_id", F.concat("name", F.lit(", Hà Nội")).alias("name"))
-    best = [-F.col("review_count"), F.col("osm_id")]
-    found = R.enrich(candidates, places, "Hà Nội", best)
+    candidates, places = _lookup(spark, sf)
+    found = R.enrich(candidates, places, "Hà Nội", [-F.col("review_count"), F.col("osm_id")], within=3000.0)
     return found.select(
-        "osm_id", F.col("google_data.osm_id").alias("place_id"), F.col("google_data.name").alias("place_name"),
-        F.col("google_data.review_count").alias("review_count"),
+        "osm_id", F.col("google_data.osm_id").alias("place_id"), F.round("similarity", 9).alias("similarity"),
+        F.round("distance_m", 3).alias("meters"),
     )

@@ -46,7 +46,7 @@ def poi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def poi_b(spark: SparkSession, sf: str) -> DataFrame:
-    p = poi(spark, sf).where(F.col("osm_id") % 3 == 0)
+    p = poi(spark, sf)
     return p.select(
         (F.col("osm_id") + 1000000).alias("osm_id"),
         F.concat(F.split_part("name", F.lit(" "), F.lit(2)), F.lit(" "), F.split_part("name", F.lit(" "), F.lit(1))).alias("name"),
@@ -280,7 +280,7 @@ FROM part p LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_
     "poi_b": """SELECT osm_id + 1000000 AS osm_id,
  concat(split_part(name,' ',2), ' ', split_part(name,' ',1)) AS name, category, brand,
  lat + CAST(osm_id % 5 AS DOUBLE)/CAST(2000 AS DOUBLE) AS lat, lon, rating, review_count
-FROM poi WHERE osm_id % 3 = 0""",
+FROM poi""",
     "districts": """SELECT n_name AS district_name,
  CAST(20.65 AS DOUBLE) + CAST((n_nationkey*7)%25 AS DOUBLE)*CAST(0.03 AS DOUBLE) AS center_lat,
  CAST(105.35 AS DOUBLE) + CAST((n_nationkey*11)%25 AS DOUBLE)*CAST(0.025 AS DOUBLE) AS center_lon

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,6 +20,12 @@ from poilake.session import materialize
 
 # A cell with more candidates than this is divided into sixteen, to this depth at most.
 _ENOUGH, _DEPTH = 32, 14
+# Candidates of a cell that one task divides further in memory.
+_ONE_TASK = 50_000
+# A cell is left as it is if its parts have on average more than this share of its candidates.
+_NO_GAIN = 0.5
+# Parts of a cell for each of its candidates, at most: beyond it crowded parts stay as they are.
+_PARTS = 64
 # Rows whose coordinates are not below this have no place.
 _FARTHEST = 1e6
 # Copies of a cell's candidates, so that a cell with a third of all rows is spread over tasks.
@@ -23,12 +33,16 @@ _SALTS = 8
 
 
 class _Grid(NamedTuple):
-    """The square that all cells divide, and the levels of which there are cells."""
+    """The square that all cells divide, and the levels of which there are cells.
+
+    ``only`` holds the few candidates of the one cell that is not divided.
+    """
 
     south: float
     west: float
     side: float
     levels: list[int]
+    only: list[Row] | None = None
 
 
 def _placed(lat: str, lon: str) -> Column:
@@ -54,57 +68,100 @@ def _divided(cells: DataFrame) -> DataFrame:
     )
 
 
+def _refined(level: int, square: tuple[float, float, float], enough: int, lister: Callable):
+    """Divides the cell of a group in memory: (level, row, col, items) of its parts with few candidates."""
+    south, west, width = square
+
+    def run(table: pa.Table) -> pa.Table:
+        items = table.drop_columns(["row", "col"])
+        prune = lister(items)
+        todo = deque([(level, table["row"][0].as_py(), table["col"][0].as_py(), np.arange(table.num_rows))])
+        cells, kept = [], []
+        while todo:
+            at, row, col, own = todo.popleft()
+            parts = []
+            if len(own) > enough and at < _DEPTH and len(cells) + len(todo) < _PARTS * table.num_rows:
+                side = width / 4 ** (at + 1)
+                for i in range(4 * row, 4 * row + 4):
+                    for j in range(4 * col, 4 * col + 4):
+                        parts.append((at + 1, i, j, prune(own, i * side + south, j * side + west, side)))
+                if sum(len(p[3]) for p in parts) > _NO_GAIN * 16 * len(own):
+                    parts = []
+            if parts:
+                todo += [p for p in parts if len(p[3])]
+            else:
+                cells.append((at, row, col))
+                kept.append(own)
+        ends = pa.array(np.cumsum([0, *map(len, kept)]), pa.int32())
+        chosen = items.take(pa.array(np.concatenate(kept))).to_struct_array().combine_chunks()
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*cells), (pa.int32(), pa.int64(), pa.int64()))]
+        return pa.table([*columns, pa.ListArray.from_arrays(ends, chosen)], names=["level", "row", "col", "items"])
+
+    return run
+
+
 def _cells(
-    items: DataFrame, poi: DataFrame, lat: str, lon: str, prune: Callable[[DataFrame, Column, Column, Column], DataFrame]
-) -> tuple[DataFrame, _Grid]:
+    items: DataFrame,
+    poi: DataFrame,
+    lat: str,
+    lon: str,
+    prune: Callable[[DataFrame, Column, Column, Column], DataFrame],
+    lister: Callable,
+    enough: int = _ENOUGH,
+) -> tuple[DataFrame | None, _Grid]:
     """Disjoint cells (level, row, col) around the rows with their candidate ``items``.
 
-    A cell is divided into sixteen until few candidates are left. ``prune`` keeps the items
-    that can be an answer somewhere in their cell; it gets (row, col, item) with the south and
-    west edges and the side of the cell. The steps' tables are in the shared folder; their
-    number is bounded by the depth. Cells without candidates are left out. Where one cell is
-    enough, the rows are not looked at.
+    A cell is divided into sixteen until few candidates are left, or until that does not lower
+    their number any more. ``prune`` keeps the items that can be an answer somewhere in their
+    cell; it gets (row, col, item) with the south and west edges and the side of the cell.
+    Cells of up to ``_ONE_TASK`` candidates are divided further in memory, one task each, by
+    ``lister``, which does the same for a table of items: it returns a function of (places in
+    the table, south, west, side). Cells without candidates are left out. Where one cell is
+    enough, its items are read here, nothing is stored and the rows are not looked at.
     """
+    few = items.limit(enough + 1).collect()
+    if len(few) <= enough:
+        return None, _Grid(0.0, 0.0, 1.0, [0] if few else [], few)
+    square = south, west, width = _square(poi, lat, lon)
     root = F.lit(0).cast("long")
-    still = items.select(root.alias("row"), root.alias("col"), F.struct("*").alias("item"))
-    sizes, levels, parts = [still.limit(_ENOUGH + 1).count()], [], []
-    south, west, width = _square(poi, lat, lon) if sizes[0] > _ENOUGH else (0.0, 0.0, 1.0)
-    for level in range(_DEPTH + 1):
-        if level:
-            side = F.lit(width / 4**level)
-            kept = prune(_divided(still), F.col("row") * side + F.lit(south), F.col("col") * side + F.lit(west), side)
-            kept = materialize(kept.select("row", "col", "item"), "cells")
-            counts = kept.groupBy("row", "col").agg(F.count("*").alias("n"))
-            still = materialize(kept.join(counts, ["row", "col"]), "sized")
-            sizes = [still.agg(F.min("n"), F.max("n")).first()[i] or 0 for i in range(2)]
-        many = max(sizes) > _ENOUGH and level < _DEPTH
-        if 0 < min(sizes) <= _ENOUGH or level == _DEPTH:
-            done = still.where(F.col("n") <= _ENOUGH) if many else still
-            done = done.groupBy("row", "col").agg(F.collect_list("item").alias("items"))
-            parts.append(done.select(F.lit(level).alias("level"), "row", "col", "items"))
-            levels.append(level)
-        if not many:
+    still, level, most = items.select(root.alias("row"), root.alias("col"), F.struct("*").alias("item")), 0, items.count()
+    while most > _ONE_TASK and level < _DEPTH:
+        level, before = level + 1, most
+        side = F.lit(width / 4**level)
+        kept = prune(_divided(still), F.col("row") * side + F.lit(south), F.col("col") * side + F.lit(west), side)
+        still = materialize(kept.select("row", "col", "item"), "cells")
+        most = still.groupBy("row", "col").count().agg(F.max("count")).first()[0] or 0
+        if most >= before:
             break
-        still = still.where(F.col("n") > _ENOUGH).select("row", "col", "item") if level else still
-    leaves = parts[0] if parts else still.select(F.lit(0).alias("level"), "row", "col", F.array("item").alias("items"))
-    for part in parts[1:]:
-        leaves = leaves.unionByName(part)
-    return materialize(leaves, "leaves"), _Grid(south, west, width, levels)
+    kinds = f"level int, row long, col long, items array<{items.schema.simpleString()}>"
+    leaves = still.select("row", "col", "item.*").groupBy("row", "col").applyInArrow(_refined(level, square, enough, lister), kinds)
+    leaves = materialize(leaves, "leaves")
+    levels = sorted(row["level"] for row in leaves.select("level").distinct().collect())
+    return leaves, _Grid(*square, levels)
 
 
-def _with_candidates(poi: DataFrame, leaves: DataFrame, grid: _Grid, lat: str, lon: str) -> DataFrame:
+def _literal(value) -> Column:
+    """A row, or a value of one, as a column."""
+    if isinstance(value, Row):
+        return F.struct(*[_literal(v).alias(n) for n, v in value.asDict().items()])
+    return F.lit(value)
+
+
+def _with_candidates(poi: DataFrame, leaves: DataFrame | None, grid: _Grid, lat: str, lon: str) -> DataFrame:
     """``poi`` with ``_items``, the candidates of each row's cell; null where it has no place.
 
     Every row lies in one cell of one level. The stored cells' size lets Spark send them to all
-    tasks while they are small; else rows and cells meet by salted keys.
+    tasks while they are small; else rows and cells meet by salted keys. The candidates of one
+    cell for all are part of the plan.
     """
+    if grid.only is not None:
+        return poi.withColumn("_items", F.when(_placed(lat, lon), F.array(*[_literal(item) for item in grid.only])))
     tries = F.array(*[F.lit(n) for n in grid.levels])
-    one_cell = grid.levels == [0]
     side = F.lit(grid.side) / F.pow(F.lit(4.0), F.col("_level").cast("double"))
     last = F.pow(F.lit(4.0), F.col("_level").cast("double")) - 1
 
     def cell(at: str, edge: float) -> Column:
-        found = F.lit(0.0) if one_cell else F.least(F.greatest(F.floor((F.col(at) - edge) / side), F.lit(0)), last)
+        found = F.least(F.greatest(F.floor((F.col(at) - edge) / side), F.lit(0)), last)
         nowhere = F.monotonically_increasing_id()  # spreads rows without a place
         return F.when(F.col("_level") >= 0, found.cast("long")).otherwise(nowhere)
 
@@ -126,19 +183,45 @@ def _with_candidates(poi: DataFrame, leaves: DataFrame, grid: _Grid, lat: str, l
     return met.where(F.col("_items").isNotNull() | (F.col("_level") < 0)).select(*poi.columns, "_items")
 
 
-def _nearest_cells(centers: DataFrame, k: int, poi: DataFrame, lat: str, lon: str) -> tuple[DataFrame, _Grid]:
+def _nearest_lister(k: int):
+    """The pruning of ``_nearest_cells`` for a table of centres."""
+
+    def lister(items: pa.Table):
+        y, x = (items[c].to_numpy() for c in ("center_lat", "center_lon"))
+
+        def prune(own: np.ndarray, south: float, west: float, side: float) -> np.ndarray:
+            points = [(south + up, west + to) for up in (0.0, side) for to in (0.0, side)]
+            away = np.array([(p - y[own]) ** 2 + (q - x[own]) ** 2 for p, q in [*points, (south + side / 2, west + side / 2)]])
+            n = min(k, len(own))
+            rivals = np.unique(np.argpartition(away, n - 1, axis=1)[:, :n])
+            beaten = np.zeros(len(own), dtype=np.int64)
+            for r in rivals:
+                other = away[:4, r : r + 1]
+                beaten += (away[:4] > other + (away[:4] + other) * 1e-9).all(axis=0)
+            return own[beaten < k]
+
+        return prune
+
+    return lister
+
+
+def _nearest_cells(centers: DataFrame, k: int, poi: DataFrame, lat: str, lon: str) -> tuple[DataFrame | None, _Grid]:
     """Cells with the centres that are among the ``k`` nearest of some point of the cell.
 
     Where a centre is nearer than another is a half plane. So if it is nearer at all corners of
-    a cell, it is nearer everywhere in it. A centre that each of some ``k`` others beats at all
-    corners is left out; these others are the nearest of the cell's middle (for ``k`` = 1 also
-    the nearest of each corner, one by one).
+    a cell, it is nearer everywhere in it. A centre that ``k`` others beat at all corners is
+    left out; these others are the nearest ones of the cell's middle (and of its corners). Of
+    centres on one spot only the first ``k`` names can be an answer.
     """
     spots = centers.where(F.col("center_lat").isNotNull() & F.col("center_lon").isNotNull()).select(
         "district_name", "center_lat", "center_lon"
     )
-    if k == 1:  # of centres on one spot the first name is the answer
-        spots = spots.groupBy("center_lat", "center_lon").agg(F.min("district_name").alias("district_name"))
+    if k == 1:
+        spots = spots.groupBy("center_lat", "center_lon").agg(F.min(F.struct("district_name")).alias("first"))
+        spots = spots.select("first.district_name", "center_lat", "center_lon")
+    else:
+        same = Window.partitionBy("center_lat", "center_lon").orderBy("district_name")
+        spots = spots.withColumn("_nth", F.row_number().over(same)).where(F.col("_nth") <= k).drop("_nth")
 
     def prune(still: DataFrame, south: Column, west: Column, side: Column) -> DataFrame:
         corners = [(south + up, west + to) for up in (F.lit(0.0), side) for to in (F.lit(0.0), side)]
@@ -148,14 +231,9 @@ def _nearest_cells(centers: DataFrame, k: int, poi: DataFrame, lat: str, lon: st
         def away(point, c: Column) -> Column:
             return distance_sq(*point, c["center_lat"], c["center_lon"])
 
-        if k == 1:
-            rivals = still.groupBy("row", "col").agg(
-                F.array(*[F.min_by(spot, away(p, spot)) for p in (middle, *corners)]).alias("rivals")
-            )
-        else:
-            nth = F.row_number().over(Window.partitionBy("row", "col").orderBy(away(middle, spot)))
-            first = still.withColumn("nth", nth).where(F.col("nth") <= k)
-            rivals = first.groupBy("row", "col").agg(F.collect_list(spot).alias("rivals"))
+        nth = F.row_number().over(Window.partitionBy("row", "col").orderBy(away(middle, spot)))
+        first = still.withColumn("nth", nth).where(F.col("nth") <= k)
+        rivals = first.groupBy("row", "col").agg(F.collect_list(spot).alias("rivals"))
         item = F.col("item")
 
         def loses(r: Column) -> Column:
@@ -165,10 +243,10 @@ def _nearest_cells(centers: DataFrame, k: int, poi: DataFrame, lat: str, lon: st
                 out = out & (mine > other + (mine + other) * F.lit(1e-9))
             return out
 
-        lost = F.exists("rivals", loses) if k == 1 else F.forall("rivals", loses) & (F.size("rivals") >= k)
+        lost = F.forall("rivals", loses) & (F.size("rivals") >= k)
         return still.join(rivals, ["row", "col"]).where(~lost)
 
-    return _cells(spots, poi, lat, lon, prune)
+    return _cells(spots, poi, lat, lon, prune, _nearest_lister(k), max(_ENOUGH, 3 * k))
 
 
 def _by_distance(lat: str, lon: str) -> Column:
@@ -231,7 +309,9 @@ def assign_bbox(
     """
     edges = ["lat_min", "lat_max", "lon_min", "lon_max"]
     area = (F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min"))
-    whole = boxes.dropna(subset=edges).select(area.alias("area"), "district_name", *edges)
+    # Of equal boxes the first name is the answer, a missing one before all others.
+    whole = boxes.dropna(subset=edges).groupBy(*edges).agg(F.min(F.struct("district_name")).alias("first"))
+    whole = whole.select(area.alias("area"), "first.district_name", *edges)
 
     def prune(still: DataFrame, south: Column, west: Column, side: Column) -> DataFrame:
         b = {e: F.col(f"item.{e}") for e in edges}
@@ -248,8 +328,30 @@ def assign_bbox(
         best = met.groupBy("row", "col").agg(F.min(F.when(covers, F.col("rank"))).alias("best"))
         return met.join(best, ["row", "col"]).where(F.col("best").isNull() | (F.col("rank") <= F.col("best")))
 
+    def lister(items: pa.Table):
+        bounds = np.stack([items[e].to_numpy() for e in edges], axis=1)
+        by = [("area", "ascending"), ("district_name", "ascending")]
+        rank = np.empty(items.num_rows, dtype=np.int64)
+        rank[pc.sort_indices(items, by, null_placement="at_start").to_numpy()] = np.arange(items.num_rows)
+
+        def prune(own: np.ndarray, south: float, west: float, side: float) -> np.ndarray:
+            slack = side * 1e-6
+            low, high = np.array([south, west]) - slack, np.array([south, west]) + side + slack
+            own = own[np.argsort(rank[own])]
+            down, up = bounds[own][:, [0, 2]], bounds[own][:, [1, 3]]
+            met = ((down <= high) & (up >= low)).all(axis=1)
+            own, down, up = own[met], down[met], up[met]
+            covers = np.flatnonzero(((down <= low) & (up >= high)).all(axis=1))
+            if len(covers):
+                own, down, up = own[: covers[0] + 1], down[: covers[0] + 1], up[: covers[0] + 1]
+            # Of boxes that are the same inside the cell only the first can be the answer there.
+            inside = np.concatenate([np.maximum(down, low), np.minimum(up, high)], axis=1)
+            return own[np.sort(np.unique(inside, axis=0, return_index=True)[1])] if len(own) else own
+
+        return prune
+
     rest = poi.drop("district_name")
-    leaves, grid = _cells(whole, rest, lat, lon, prune)
+    leaves, grid = _cells(whole, rest, lat, lon, prune, lister)
     if not grid.levels:
         return rest.withColumn("district_name", F.lit(default))
     y, x = F.col(lat), F.col(lon)
@@ -264,13 +366,13 @@ def assign_bbox(
     )
 
 
-def _padded(leaves: DataFrame, grid: _Grid) -> tuple[DataFrame, _Grid]:
+def _padded(leaves: DataFrame | None, grid: _Grid) -> tuple[DataFrame | None, _Grid]:
     """``leaves`` and, without candidates, the cells that they leave uncovered, with all levels.
 
     Each leaf's ancestors were divided, so the uncovered cells are their children that are
     neither leaves nor ancestors.
     """
-    if grid.levels == [0]:
+    if grid.only is not None:
         return leaves, grid
     cell = leaves.select("level", "row", "col")
     above = cell.where("level > 0").withColumn("up", F.explode(F.sequence(F.lit(1), F.col("level"))))

@@ -27,6 +27,7 @@ from poilake import constants as K
 from poilake.functions.geodesy import distance_m, reach_cell, reach_cells, tight_cell
 from poilake.functions.text import blank_to_null, key_similarity, may_exceed, token_sort_key
 from poilake.operators.dedup import union_sources
+from poilake.operators.names import similar_keys
 from poilake.operators.order import global_index
 from poilake.session import materialize, scratch_path, store
 from poilake.sources.files import delete_folder
@@ -230,21 +231,57 @@ def search_key(name: Column, city: str | None = None, fold: str = "unaccent") ->
 
 
 def enrich(
-    candidates: DataFrame, places: DataFrame, city: str, rank: Sequence[Column], fold: str = "unaccent"
+    candidates: DataFrame,
+    places: DataFrame,
+    city: str,
+    rank: Sequence[Column],
+    fold: str = "unaccent",
+    least: float = 0.6,
+    within: float | None = None,
 ) -> DataFrame:
     """Each candidate with the best place found for "name, city"; candidates without one are dropped.
 
-    The remote search becomes a join on the search key. Only the best place of a key, by
-    ``rank`` (ascending), can be the answer, so places are reduced to one row per key
-    before the join and the result has at most one row per candidate. The place comes
-    back as the struct column ``google_data``.
+    The remote search becomes a similarity join of the distinct search keys: word order does not
+    matter, misspelt names match if their grams are ``least`` alike. The most similar name
+    wins, then ``rank`` (ascending) among its places. Only the best place of a key can be the
+    answer, so places are reduced to one row per key before they are joined.
+
+    ``within`` metres makes it a search around the candidate: both sides need ``lat`` and
+    ``lon``, places farther away are no hit, and among equally similar names the nearest place
+    wins, then ``rank``. Places with one key on one spot are one row of that search, so are
+    candidates.
+
+    The place comes back as the struct column ``google_data``, with ``similarity`` and, for a
+    search around the candidate, ``distance_m``. Names without letters or digits, and null
+    ones, find nothing; without coordinates there is no place around. Candidates that repeat
+    stay repeated.
     """
     record = F.struct(*[F.col(c) for c in places.columns])
-    best = (
-        places.withColumn("_query", search_key(F.col("name"), city, fold))
-        .where(F.col("_query").isNotNull())
-        .groupBy("_query")
-        .agg(F.min_by(record, F.struct(*rank)).alias("google_data"))
-    )
+    spot = ["lat", "lon"] if within else []
+    found = places.withColumn("_query", search_key(F.col("name"), city, fold)).where(F.col("_query").isNotNull())
     asked = candidates.withColumn("_query", search_key(F.col("name"), city, fold))
-    return asked.join(best, "_query").drop("_query")
+    for c in spot:
+        found, asked = found.withColumn(f"_{c}", F.col(c)), asked.withColumn(f"_{c}", F.col(c))
+    own = [f"_{c}" for c in spot]
+    order = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank)])
+    best = (found.dropna(subset=own) if own else found).groupBy("_query", *own).agg(
+        F.min_by(record, order).alias("google_data"), F.min(order).alias("_rank")
+    )
+    alike = similar_keys(
+        asked.select(F.col("_query").alias("key")), best.select(F.col("_query").alias("key")), least
+    ).select(F.col("left_key").alias("_query"), F.col("right_key").alias("_key"), "similarity")
+    hits = best.withColumnRenamed("_query", "_key")
+    if not within:
+        answer = F.min_by(F.struct("google_data", "similarity"), F.struct(-F.col("similarity"), "_rank", "_key"))
+        answers = alike.join(hits, "_key").groupBy("_query").agg(answer.alias("_answer"))
+        return asked.join(answers, "_query").select(*candidates.columns, "_answer.google_data", "_answer.similarity")
+    lat, lon = F.col("_lat"), F.col("_lon")
+    hits = hits.withColumn("_cell", reach_cell(lat, lon, within)).withColumnsRenamed({"_lat": "_plat", "_lon": "_plon"})
+    nodes = asked.select("_query", *own).dropna().distinct().withColumn("_cell", F.explode(reach_cells(lat, lon, within)))
+    met = nodes.join(alike, "_query").join(hits, ["_key", "_cell"])
+    met = met.withColumn("distance_m", distance_m(lat, lon, F.col("_plat"), F.col("_plon"))).where(F.col("distance_m") <= within)
+    answer = F.min_by(
+        F.struct("google_data", "similarity", "distance_m"), F.struct(-F.col("similarity"), "distance_m", "_rank", "_key")
+    )
+    answers = met.groupBy("_query", *own).agg(answer.alias("_answer"))
+    return asked.join(answers, ["_query", *own]).select(*candidates.columns, "_answer.*")

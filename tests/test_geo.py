@@ -109,3 +109,53 @@ def test_heat_grid(spark):
     df = spark.createDataFrame([(1.0, 1.0, 2.0), (1.4, 1.2, 3.0), (-0.1, 1.0, 1.0), (None, 1.0, 9.0)], "lat double, lon double, w double")
     got = {(r["cell_lat"], r["cell_lon"]): (r["weight"], r["points"]) for r in geo.heat_grid(df, 0.5, "w").collect()}
     assert got == {(2, 2): (5.0, 2), (-1, 2): (1.0, 1)}
+
+
+def test_centres_on_one_spot_and_nearly_one_spot_stop_dividing(spark):
+    """Cells with many equal or nearly equal candidates are not divided for ever."""
+    same = [(f"s{i:02d}", 21.0, 105.0) for i in range(40)]
+    near = [(f"n{i:02d}", 22.0 + i * 1e-13, 105.0) for i in range(40)]
+    centers = spark.createDataFrame(same + near, "district_name string, center_lat double, center_lon double")
+    rng = random.Random(3)
+    rows = [(i, 20.5 + 2 * rng.random(), 104.5 + rng.random()) for i in range(200)] + [(900, 21.0, 105.0), (901, None, 1.0)]
+    poi = spark.createDataFrame(rows, "id int, lat double, lon double")
+    for k in (1, 10):
+        got = {(r["id"], r["rank_nearest"]): r["district_name"] for r in geo.rank_centers(poi, centers, k).collect()}
+        for i, lat, lon in rows[:-1]:
+            order = sorted(((lat - y) ** 2 + (lon - x) ** 2, name) for name, y, x in same + near)
+            assert [got[i, n + 1] for n in range(k)] == [name for _, name in order[:k]]
+        assert len(got) == 201 * k
+
+
+def test_equal_boxes_and_boxes_with_a_common_edge(spark):
+    equal = [(f"e{i:02d}", 21.0, 21.5, 105.0, 105.5) for i in range(40)]
+    edge = [(f"c{i:02d}", 22.0, 22.1 + i / 100, 105.0, 105.1 + i / 100) for i in range(60)]
+    boxes = spark.createDataFrame(equal + edge + [(None, 21.0, 21.5, 105.0, 105.5)], "district_name string, lat_min double, lat_max double, lon_min double, lon_max double")
+    rng = random.Random(4)
+    rows = [(i, 20.9 + 2 * rng.random(), 104.9 + rng.random()) for i in range(300)] + [(900, 22.0, 105.0), (901, 21.0, 105.5), (902, None, None)]
+    poi = spark.createDataFrame(rows, "id int, lat double, lon double")
+    got = {r["id"]: r["district_name"] for r in geo.assign_bbox(poi, boxes, "none").collect()}
+
+    cells = boxes.collect()
+
+    def answer(lat, lon):
+        hits = [((b[2] - b[1]) * (b[4] - b[3]), b[0] or "") for b in cells if lat is not None and b[1] <= lat <= b[2] and b[3] <= lon <= b[4]]
+        return (min(hits)[1] or "none") if hits else "none"
+
+    assert got == {i: answer(lat, lon) for i, lat, lon in rows}
+
+
+def test_more_candidates_than_one_task_takes(spark, monkeypatch):
+    """Crowded cells are divided by Spark first; the answers are the same."""
+    rng = random.Random(5)
+    centers = [(f"d{i}", 20 + rng.random(), 105 + rng.random()) for i in range(300)]
+    table = spark.createDataFrame(centers, "district_name string, center_lat double, center_lon double")
+    rows = [(i, 20 + rng.random(), 105 + rng.random()) for i in range(150)]
+    poi = spark.createDataFrame(rows, "id int, lat double, lon double")
+    monkeypatch.setattr(geo, "_ONE_TASK", 100)
+    got = {r["id"]: r["district_name"] for r in geo.assign_nearest(poi, table).collect()}
+    assert got == {i: min(((lat - y) ** 2 + (lon - x) ** 2, n) for n, y, x in centers)[1] for i, lat, lon in rows}
+    half = table.selectExpr("district_name", "center_lat - 0.05 lat_min", "center_lat + 0.05 lat_max", "center_lon - 0.05 lon_min", "center_lon + 0.05 lon_max")
+    split = {r["id"]: r["district_name"] for r in geo.assign_bbox(poi, half).collect()}
+    monkeypatch.undo()
+    assert split == {r["id"]: r["district_name"] for r in geo.assign_bbox(poi, half).collect()}
