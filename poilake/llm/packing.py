@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from poilake.llm.memory import give_back
 from poilake.llm.scratch import Scratch
 
 WINDOW = 2048
@@ -22,10 +24,10 @@ WINDOW = 2048
 BINS = 256
 #: Pieces of one sequence that a planned combination has at most.
 DEPTH = 3
-#: Words whose ids a task remembers, about; beyond that it forgets those not in the last texts.
-_REMEMBER = 200_000
+#: Bytes of the words, and of their ids, that a task remembers in each of two generations.
+_REMEMBER = 24 << 20
 #: New words that are encoded together.
-_TOGETHER = 256
+_TOGETHER = 512
 #: Bytes of texts that are split into words at once.
 _BYTES = 4 << 20
 #: Pieces of one bin that are numbered in one task, about.
@@ -34,68 +36,168 @@ _GROUP = 1_000
 _MARK = "\x01"
 
 
+# The shape of tokenizers whose words can be encoded one by one.
+_NORMAL = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: Letters that are a character each in all normal forms; words of these alone are one piece.
+_LETTERS = "a-z\u00e0-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de"
+_SIMPLE = re.compile(f"[{_LETTERS}]+").fullmatch
+_SIGNS = r"!-/:-@\[-`{-~"
+#: Where a space changes no ids: around digits, and between letters and signs, but for
+#: contractions, which begin with an apostrophe.
+_SPACED = (
+    (r"([0-9])", r" \1 "),
+    (f"([{_LETTERS}])([{_SIGNS}])", r"\1 \2"),
+    (f"([{_SIGNS.replace('!-/', '!-&(-/')}])([{_LETTERS}])", r"\1 \2"),
+)
+
+
+def _by_words(file: dict) -> bool:
+    """Whether a tokenizer lower-cases, drops white space and cuts texts as ``_CUT`` says."""
+    parts = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+    model = file["model"]
+    odd = [k for k, v in model.items() if v and k not in ("type", "vocab", "merges", "end_of_word_suffix")]
+    return bool(
+        model["type"] == "BPE"
+        and not odd
+        and model["end_of_word_suffix"]
+        and (file["normalizer"] or {}).get("normalizers") == _NORMAL
+        and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+        and parts[0]["pattern"] == {"Regex": _CUT}
+        and (parts[0]["behavior"], parts[0]["invert"]) == ("Removed", True)
+        and not (parts[1]["add_prefix_space"] or parts[1].get("use_regex", True))
+        and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in file["added_tokens"])
+    )
+
+
+def _byte_chars() -> dict[int, str]:
+    """Latin-1 character of a byte to the one that stands for it in byte-level vocabularies."""
+    hidden = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0xAD or 0xAE <= b)]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class _Encoder:
-    """Token ids of texts, little-endian unsigned 32-bit, by a tokenizer that drops white space.
+    """Token ids of texts, unsigned 32-bit, by the tokenizer at a path.
 
-    Pieces of text between white space don't influence each other in such a tokenizer, and it
-    ignores case; so every word is encoded once and remembered. Texts that may hold the
-    tokenizer's special strings go through it whole.
+    Where the file says that it lower-cases and drops white space, parts of a text between
+    white space don't influence each other: every word is encoded once and remembered, in two
+    generations of bounded size. Texts that hold the tokenizer's special strings, and all texts
+    of other tokenizers, go through it whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = _REMEMBER):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
-        self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            content = file.read()
+        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        read = json.loads(content)
+        self.special = [t["content"] for t in read["added_tokens"]]
+        self.words = _by_words(read)
+        self.remember, self.size = remember, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        if self.words:
+            self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
+            self.chars = _byte_chars()
+            vocab, suffix = read["model"]["vocab"], read["model"]["end_of_word_suffix"]
+            self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)  # whether a token ends a word
+            self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+            # For words that are lower-cased and cut already.
+            self.plain = Tokenizer.from_str(content)
+            self.plain.normalizer = self.plain.pre_tokenizer = None
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if _MARK not in w]
-        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+    def _simple(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of ``_LETTERS``."""
+        mapped = [w if w.isascii() else w.lower().encode().decode("latin-1").translate(self.chars) for w in words]
+        groups = [mapped[i : i + _TOGETHER] for i in range(0, len(mapped), _TOGETHER)]
+        for group, got in zip(groups, self.plain.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)):
+            ids = np.array(got.ids, dtype="<u4")
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+            if len(ends) != len(group):
+                raise ValueError("a word of letters has no last token")
+            yield from (raw[a:b] for a, b in zip([0, *ends], ends))
+
+    def _other(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words without ``_MARK``."""
+        groups = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
         texts = [f" {_MARK} ".join(g) for g in groups]
-        for group, got in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.array(got.ids, dtype="<u4")
-            cuts = (4 * np.flatnonzero(ids == self.mark)).tolist()
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(group, [*cuts, len(raw)]):
-                self.known[w] = raw[start:end]
-                start = end + 4
-        for w in new:
-            if _MARK in w:
-                self.known[w] = self.whole(w).tobytes()
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+            cuts, raw = (4 * np.flatnonzero(ids == self.mark)).tolist(), ids.tobytes()
+            yield from (raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)]))
+
+    def _learn(self, words: list[str], again: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not in the newer generation, which get those in ``again``."""
+        out = {w: self.old[w] for w in words if w in self.old}
+        simple, other = [], []
+        for w in words:
+            if w not in out:
+                if _SIMPLE(w):
+                    simple.append(w)
+                elif _MARK in w:
+                    out[w] = self.whole(w).tobytes()
+                else:
+                    other.append(w)
+        out.update(zip(simple, self._simple(simple)))
+        out.update(zip(other, self._other(other)))
+        for w in again:
+            ids = out[w]
+            cost = 2 * len(w) + len(ids) + 200  # about what the two objects and their place take
+            if self.size + cost > self.remember:
+                self.old, self.new, self.size = self.new, {}, 0
+            if 2 * cost < self.remember:
+                self.new[w] = ids
+                self.size += cost
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all texts one after the other, and where each text's end."""
+        if not self.words:
+            ids = [self.whole(t) for t in texts.to_pylist()]
+            return np.concatenate([*ids, np.empty(0, "<u4")]), np.cumsum([0, *map(len, ids)])
+        spaced = pc.ascii_lower(texts)
+        for pattern, by in _SPACED:
+            spaced = pc.replace_substring_regex(spaced, pattern, by)
+        lists = pc.ascii_split_whitespace(spaced)
         flat = pc.dictionary_encode(lists.flatten())
         names = flat.dictionary.to_pylist()
-        if len(self.known) + len(names) > _REMEMBER:  # the words of these texts are the likeliest to come again
-            self.known = {w: self.known[w] for w in names if w in self.known}
-        known = self.known
-        new = [w for w in names if w not in known]
-        # A full stop or comma after a letter is a piece of its own.
-        stems = {w: w[:-1] for w in new if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
-        ends = {".", ","} if stems else set()
-        self._learn([w for w in {*(w for w in new if w not in stems), *stems.values(), *ends} if w not in known])
-        for w, stem in stems.items():
-            known[w] = known[stem] + known[w[-1]]
-        raw = [known[w] for w in names]
+        raw = list(map(self.new.get, names))
+        if None in raw:
+            # A word that these texts have once is not likely to come again soon.
+            often = (np.bincount(flat.indices.to_numpy(zero_copy_only=False)) > 1).tolist()
+            new = [w for w, ids in zip(names, raw) if ids is None]
+            learnt = self._learn(new, {w for w, ids, more in zip(names, raw, often) if more and ids is None})
+            raw = [learnt[w] if ids is None else ids for w, ids in zip(names, raw)]
         size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
         pool = np.frombuffer(b"".join(raw), dtype="<u4")
         begin = np.cumsum(size) - size
-        bounds = np.asarray(lists.offsets, dtype=np.int64)
-        bounds = bounds - bounds[0]
         at = flat.indices.to_numpy(zero_copy_only=False)
-        out = []
-        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            words = at[first:last]
-            n = size[words]
-            shift = np.repeat(begin[words] - (np.cumsum(n) - n), n)
-            out.append(pool[shift + np.arange(len(shift))])
-        return out
+        n = size[at]
+        ends = np.append(0, np.cumsum(n))
+        ids = pool[np.repeat(begin[at] - ends[:-1], n) + np.arange(ends[-1])]
+        bounds = np.asarray(lists.offsets, dtype=np.int64)
+        ends = ends[bounds - bounds[0]]
+        special = np.zeros(len(texts), dtype=bool)
+        for string in self.special:
+            special |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
+        if special.any():
+            parts = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+            for i in np.flatnonzero(special):
+                parts[i] = self.whole(texts[i].as_py())
+            ids, ends = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        return ids, ends
 
 
 def _pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: int, end_id: int) -> DataFrame:
@@ -107,17 +209,14 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window:
         tail = np.array([end_id], dtype="<u4")
         for batch in batches:
             texts = pc.coalesce(batch.column(1), pa.scalar("", batch.column(1).type))
-            special = pc.match_substring(texts, "<|").to_pylist()
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-            share = np.cumsum(sizes) // _BYTES
+            share = np.cumsum(sizes, dtype=np.int64) // _BYTES
             cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
             for low, high in zip(cuts, cuts[1:]):
-                part = texts.take(pa.array(range(low, high), pa.int64()))
                 rows = defaultdict(list)
-                for i, ids in enumerate(encoder.encode(part)):
-                    if special[low + i]:
-                        ids = encoder.whole(part[i].as_py())
-                    ids = np.concatenate([ids, tail])
+                flat, ends = encoder.encode(texts.slice(low, high - low))
+                for i, (first, last) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                    ids = np.concatenate([flat[first:last], tail])
                     for start in range(0, len(ids), window):
                         raw = ids[start : start + window].tobytes()
                         rows["at"].append(low + i)
@@ -131,7 +230,7 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window:
                 columns = [pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()]
                 yield pa.RecordBatch.from_arrays([whose, *columns], names=["doc", *rows])
         del encoder  # the worker is kept for other tasks
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc {kind.simpleString()}, start long, length int, ids binary, ids_crc32 long, doc_tokens long"
