@@ -6,12 +6,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poilake.llm.components import components
+from poilake.llm.memory import give_back
 from poilake.llm.scratch import Scratch
 
 BITS = 64
@@ -28,6 +28,8 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     A-Z count as a-z, words are runs without ASCII white space, shingles count as often as they
     occur. Fewer words than ``shingle`` make one shingle; null and blank texts give 0.
     """
+    import xxhash
+
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
@@ -47,13 +49,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp) of every row; fp holds the 64 bits as a long. Other columns are not read."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bits = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": batch["id"], "fp": bits.view(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # ids are passed on as they are
+            bits = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], names=["id", "fp"])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
 
 
 def _long(mask: int) -> int:
