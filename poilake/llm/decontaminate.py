@@ -8,9 +8,12 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from poilake.llm.memory import give_back
 from poilake.llm.scratch import Scratch
 
 #: Words of a seed.
@@ -25,8 +28,13 @@ SALTS = 8
 #: Words around a hit's diagonal that an alignment may drift to by insertions or deletions.
 DRIFT = 16
 #: Words to both sides of a hit that are compared with an item before an alignment, at most;
-#: where items are longer, every hit is aligned.
+#: every hit of an item that needs more is aligned.
 REACH = 512
+#: Seeds have at most so many times the hits of their item's rarest quarter; of so many places
+#: in a row so many are seeds in any case.
+RARE, STRETCH, FEWEST = 4, 8, 2
+#: Hits that are emitted at once.
+_EMIT = 4_096
 
 _SPACES = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # any odd number
@@ -71,37 +79,65 @@ def align(passage: list[bytes], item: list[bytes]) -> tuple[int, int]:
     return best, end
 
 
-def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """(item, place, gram) for every n-gram of every item."""
+def _reach(words: int, least: float) -> int:
+    """How far from a hit an alignment of ``least`` can go, for items of so many words.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A power of two, so that few differ; 0 beyond ``REACH``, where words around a hit are not compared.
+    """
+    reach = math.ceil(words * (1 + 2 * max(0.0, 1 - least))) + 2 * DRIFT
+    reach = 1 << (reach - 1).bit_length()
+    return reach if reach <= REACH else 0
+
+
+def _items(benchmark: DataFrame, item_col: str, text_col: str, least: float) -> DataFrame:
+    """(item, place, gram, reach) for every n-gram of every item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item, text in zip(batch["item"], batch["text"]):
-                found = grams(words(text), N)
-                if len(found):
-                    yield pd.DataFrame({"item": item, "place": np.arange(len(found)), "gram": found.view(np.int64)})
+            for i, text in enumerate(batch.column(1)):
+                body = words(text.as_py())
+                found = grams(body, N)
+                if n := len(found):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(np.full(n, i))),
+                            pa.array(np.arange(n), pa.int32()),
+                            pa.array(found.view(np.int64)),
+                            pa.array(np.full(n, _reach(len(body), least)), pa.int32()),
+                        ],
+                        names=["item", "place", "gram", "reach"],
+                    )
 
     kind = benchmark.schema[item_col].dataType.simpleString()
-    return benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"item {kind}, place int, gram long"
+    return benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"item {kind}, place int, gram long, reach int"
     )
 
 
-def _filter(items: DataFrame) -> bytes:
-    """A bit for each n-gram of the benchmark; tasks merge what they have, so its size is fixed."""
+def _filters(items: DataFrame) -> dict[int, bytes]:
+    """For each reach a bit for each of its n-grams; tasks merge what they have, so its size is fixed."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(FILTER_BITS, dtype=bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits: dict[int, np.ndarray] = {}
         for batch in batches:
-            bits[batch["gram"].to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)] = True
-        at = np.flatnonzero(np.packbits(bits).view("<u8"))
-        yield pd.DataFrame({"at": at, "word": np.packbits(bits).view("<i8")[at]})
-
-    rows = items.select("gram").mapInPandas(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
-    whole = np.zeros(FILTER_BITS // 64, dtype="<i8")
-    found = rows.toPandas()  # at most FILTER_BITS / 64 rows
-    whole[found["at"].to_numpy(dtype=np.int64)] = found["word"].to_numpy(dtype=np.int64)
-    return whole.tobytes()
+            reach, gram = (batch.column(i).to_numpy() for i in (0, 1))
+            for r in np.unique(reach).tolist():
+                bits.setdefault(r, np.zeros(FILTER_BITS, dtype=bool))[gram[reach == r].view(np.uint64) % np.uint64(FILTER_BITS)] = True
+        for r, some in bits.items():
+            packed = np.packbits(some).view("<i8")
+            at = np.flatnonzero(packed)
+            columns = [pa.array(np.full(len(at), r), pa.int32()), pa.array(at), pa.array(packed[at].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["reach", "at", "word"])
+
+    rows = items.select("reach", "gram").mapInArrow(run, "reach int, at long, word long")
+    found = rows.groupBy("reach", "at").agg(F.bit_or("word").alias("word")).toArrow()  # FILTER_BITS / 64 rows a reach at most
+    reach, at, word = (found.column(i).to_numpy() for i in range(3))
+    out = {}
+    for r in np.unique(reach).tolist():
+        whole = np.zeros(FILTER_BITS // 64, dtype="<i8")
+        whole[at[reach == r]] = word[reach == r]
+        out[r] = whole.tobytes()
+    return out
 
 
 def _vocabulary(benchmark: DataFrame, text_col: str) -> np.ndarray:
@@ -118,47 +154,67 @@ def _vocabulary(benchmark: DataFrame, text_col: str) -> np.ndarray:
     return known
 
 
-def _hits(docs: DataFrame, id_col: str, text_col: str, held, known: np.ndarray, reach: int) -> DataFrame:
-    """(doc, pos, gram, near) for the n-grams of whole texts that pass the filter.
+def _hits(docs: DataFrame, id_col: str, text_col: str, held, known: np.ndarray) -> DataFrame:
+    """(doc, pos, gram, reach, near) for the n-grams of whole texts that pass a filter.
 
-    ``near`` holds the codes of the benchmark's words within ``reach`` words; null beyond ``REACH``.
+    ``near`` holds the codes of the benchmark's words within ``reach`` words; null for reach 0.
+    Ids are passed on as they are.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.unpackbits(np.frombuffer(held.value, dtype=np.uint8)).astype(bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = {r: np.frombuffer(bits, dtype=np.uint8) for r, bits in held.value.items()}
         for batch in batches:
-            ids, places, found, near = [], [], [], []
-            for doc, text in zip(batch["doc"], batch["text"]):
-                body = words(text)
+            rows: list[tuple[int, int, int, int, bytes | None]] = []
+
+            def out() -> pa.RecordBatch:
+                whose, pos, gram, reach, near = zip(*rows)
+                columns = [batch.column(0).take(pa.array(whose, pa.int64()))]
+                columns += [pa.array(v, k) for v, k in zip((pos, gram, reach, near), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))]
+                rows.clear()
+                return pa.RecordBatch.from_arrays(columns, names=["doc", "pos", "gram", "reach", "near"])
+
+            for i, text in enumerate(batch.column(1)):
+                body = words(text.as_py())
                 hashes = grams(body, N)
-                at = np.flatnonzero(bits[hashes % np.uint64(FILTER_BITS)])
-                if len(at):
-                    ids.append(pd.Series([doc]).repeat(len(at)))
-                    places.append(at)
-                    found.append(hashes[at].view(np.int64))
-                    if reach > REACH:
-                        near += [None] * len(at)
-                        continue
-                    code = codes(body)
-                    for p in at:
-                        around = code[max(0, p - reach) : p + reach + 1]
-                        near.append(np.unique(around[known[around]]).tobytes())
-            if ids:
-                yield pd.DataFrame(
-                    {
-                        "doc": pd.concat(ids).to_numpy(),
-                        "pos": np.concatenate(places),
-                        "gram": np.concatenate(found),
-                        "near": near,
-                    }
-                )
+                bit = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
+                byte, shift, code = bit >> 3, (bit & 7).astype(np.uint8), None
+                for reach, bits in filters.items():
+                    for p in np.flatnonzero((bits[byte] << shift) & 128).tolist():
+                        near = None
+                        if reach:
+                            code = codes(body) if code is None else code
+                            around = code[max(0, p - reach) : p + reach + 1]
+                            near = np.unique(around[known[around]]).tobytes()
+                        rows.append((i, p, int(hashes[p].view(np.int64)), reach, near))
+                        if len(rows) >= _EMIT:
+                            yield out()
+            if rows:
+                yield out()
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc {kind}, pos int, gram long, near binary"
+    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc {kind}, pos int, gram long, reach int, near binary"
     )
 
 
+def _rare(items: DataFrame, hits: DataFrame) -> DataFrame:
+    """The n-grams of ``items`` that are seeds: those rare among the ones of their item that occur.
+
+    An n-gram is rare if it has at most ``RARE`` times the hits of the item's rarest quarter, so
+    a passage that is copied often has its own n-grams as seeds, but not the common words in it.
+    Of each ``STRETCH`` places the ``FEWEST`` rarest are seeds in any case. N-grams that no
+    document has do not compete.
+    """
+    seen = hits.groupBy("gram").agg(F.count("*").alias("df"))
+    known = items.join(seen, "gram")
+    usual = known.groupBy("item").agg(F.percentile("df", F.lit(0.25)).alias("usual"))
+    stretch = Window.partitionBy("item", F.floor(F.col("place") / STRETCH)).orderBy("df", "place")
+    known = known.withColumn("nth", F.row_number().over(stretch)).withColumnRenamed("item", "_item")
+    rare = (F.col("df") <= RARE * F.col("usual")) | (F.col("nth") <= FEWEST)
+    return known.join(usual, F.col("_item").eqNullSafe(F.col("item"))).where(rare).select("item", "place", "gram", "reach")
+
+
 def _may(near: Column, item_text: Column, least: float) -> Column:
     """Whether so many of an item's words are near a hit that its score can reach ``least``."""
 
@@ -180,38 +236,42 @@ def _may(near: Column, item_text: Column, least: float) -> Column:
     return run(near, item_text)
 
 
+def _spans(starts: list[int], body: int, item: int) -> Iterator[tuple[int, int]]:
+    """The parts of a text, merged where they overlap, that alignments from ``starts`` can reach."""
+    low = high = None
+    for start in sorted(starts):
+        a, b = max(0, start - DRIFT), min(body, start + item + 2 * DRIFT)
+        if high is not None and a <= high:
+            high = max(high, b)
+        else:
+            if high is not None:
+                yield low, high
+            low, high = a, b
+    if high is not None:
+        yield low, high
+
+
 def _score(least: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, item, text, item_text, starts in zip(
-                batch["doc"], batch["item"], batch["text"], batch["item_text"], batch["starts"]
-            ):
-                body, want = words(text), words(item_text)
+            for i, (text, item_text, starts) in enumerate(zip(*[batch.column(c) for c in (2, 3, 4)])):
+                body, want = words(text.as_py()), words(item_text.as_py())
                 best, at = 0, (0, 0)
-                lo = hi = None
-                spans = []
-                for start in sorted(int(s) for s in starts):
-                    a, b = max(0, start - DRIFT), min(len(body), start + len(want) + 2 * DRIFT)
-                    if hi is not None and a <= hi:
-                        hi = max(hi, b)
-                    else:
-                        if hi is not None:
-                            spans.append((lo, hi))
-                        lo, hi = a, b
-                if hi is not None:
-                    spans.append((lo, hi))
-                for a, b in spans:
+                for a, b in _spans(starts.as_py(), len(body), len(want)):
                     score, end = align(body[a:b], want)
                     if score > best:
                         best, at = score, (a, a + end)
                 share = best / (MATCH * len(want)) if want else 0.0
                 if share >= least:
                     first = max(0, at[1] - len(want))
-                    passage = b" ".join(body[first : at[1]]).decode("utf-8", "replace")
-                    out.append((doc, item, float(share), at[1], passage))
+                    out.append((i, share, at[1], b" ".join(body[first : at[1]]).decode("utf-8", "replace")))
             if out:
-                yield pd.DataFrame(out, columns=["doc", "item", "score", "end_word", "passage"])
+                whose, share, end, passage = zip(*out)
+                ids = [batch.column(c).take(pa.array(whose, pa.int64())) for c in (0, 1)]
+                found = [pa.array(share, pa.float64()), pa.array(end, pa.int32()), pa.array(passage, pa.string())]
+                yield pa.RecordBatch.from_arrays([*ids, *found], names=["doc", "item", "score", "end_word", "passage"])
+        give_back()
 
     return run
 
@@ -229,22 +289,18 @@ def leaks(
 
     The score is the best local alignment of the item's words in the document over that of an
     exact copy; ``least`` and above are returned, once per document and item, with the words
-    that end at ``end_word``. Every n-gram of an item is a seed, so an edited copy is aligned if
-    any ``N`` words in a row are left of it; one without such words is not found.
+    that end at ``end_word``. The rare n-grams of an item are seeds (see ``_rare``): an edited
+    copy is aligned if one of them is left of it; one without ``N`` equal words in a row is not
+    found. Whatever the length of other items, an item's hits are judged by its own reach.
     Null and empty texts, and items of fewer than ``N`` words, match nothing. Rows that repeat
     a document or item are one. A null id is an id like any other. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "leaks")
-    items = scratch.store(_items(benchmark, item_col, item_text_col).distinct(), "items")
-    held = spark.sparkContext.broadcast(_filter(items))
-    longest = (items.agg(F.max("place")).first()[0] or 0) + N
-    # An alignment of ``least`` has no more words between its own than this allows.
-    reach = math.ceil(longest * (1 + 2 * max(0.0, 1 - least))) + 2 * DRIFT
-    known = _vocabulary(benchmark, item_text_col)
-    hits = scratch.store(_hits(docs, id_col, text_col, held, known, reach), "hits")
-    # Every n-gram is a seed: an edit destroys N of them at most, and the others still meet.
-    seeds = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    items = scratch.store(_items(benchmark, item_col, item_text_col, least).distinct(), "items")
+    held = spark.sparkContext.broadcast(_filters(items))
+    hits = scratch.store(_hits(docs, id_col, text_col, held, _vocabulary(benchmark, item_text_col)), "hits")
+    seeds = _rare(items, hits).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     seeds = scratch.store(seeds, "seeds")
     item_text = (
         benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
@@ -253,7 +309,7 @@ def leaks(
     )
     met = (
         hits.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
-        .join(seeds, ["gram", "salt"])
+        .join(seeds, ["gram", "reach", "salt"])
         # An alignment drifts by some words: nearby diagonals are one start.
         .select(
             "doc", "item", (F.floor((F.col("pos") - F.col("place")) / DRIFT) * DRIFT).cast("int").alias("start"), "near"
@@ -274,7 +330,7 @@ def leaks(
     pairs = found.join(item_text, found["item"].eqNullSafe(item_text["item"])).drop(item_text["item"])
     pairs = pairs.join(hit_docs, pairs["doc"].eqNullSafe(hit_docs["doc"])).drop(hit_docs["doc"])
     kinds = f"doc {docs.schema[id_col].dataType.simpleString()}, item {benchmark.schema[item_col].dataType.simpleString()}"
-    scored = pairs.select("doc", "item", "text", "item_text", "starts").mapInPandas(
+    scored = pairs.select("doc", "item", "text", "item_text", "starts").mapInArrow(
         _score(least), f"{kinds}, score double, end_word int, passage string"
     )
     return (
