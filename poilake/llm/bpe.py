@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poilake.llm.memory import give_back
+
 #: Bytes of the words, and of their ids, that a task remembers in each of two generations.
 REMEMBER = 24 << 20
 #: Bytes of text that a task encodes at once, if no single text has more.
@@ -295,7 +297,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists], names=["id", "ids"])
         del encoder  # the worker is kept for other tasks
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {kind.simpleString()}, ids array<int>")
@@ -333,7 +335,7 @@ def decoder(docs: DataFrame, tokenizer: str):
                 out.append(pa.array([t if v else None for t, v in zip(texts, valid[low:high])], pa.string()))
                 low = high
             yield pa.concat_arrays(out) if out else pa.array([], pa.string())
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return run
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from poilake.llm.memory import give_back
 from poilake.llm.scratch import Scratch
 
 #: Bytes of text whose stripes a task merges before it emits them.
@@ -175,7 +176,7 @@ def stripes(docs: DataFrame, k: int, held=None, block: int = BLOCK) -> DataFrame
             if (out := flush(lang, True)) is not None:
                 yield out
             del waiting[lang]
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return docs.select("lang", "text").mapInArrow(run, _KIND)
 

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poilake.llm.memory import give_back
 from poilake.llm.scratch import Scratch
 
 #: Labelled rows that a model is fitted on at most; more are sampled by a hash of their id.
@@ -157,6 +158,8 @@ def judged(model: Model, text: Column) -> Column:
                     memo.clear()
                 rows.append(model.judge(t, memo))
             yield pd.DataFrame(rows, columns=["score", "passages", "worst", "spans"])
+        del memo
+        give_back()
 
     return run(text)
 
