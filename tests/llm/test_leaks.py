@@ -81,3 +81,35 @@ def test_single_edited_copies_are_found_down_to_the_threshold(spark):
             want[i, i] = score
     assert got == want and {(i, i) for i in range(8)} <= set(want) and 10 < len(want) < 40
     assert min(want.values()) < 0.6
+
+
+def test_large_ids_beside_null_are_kept(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([((1 << 60) + 1, text), ((1 << 60) + 3, text), (None, text)], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([((1 << 60) + 5, text), (None, "x y z " * 9)], "item_id long, text string").coalesce(1)
+    found = {(r.doc, r.item) for r in d.leaks(docs, bench).collect()}
+    assert found == {(i, (1 << 60) + 5) for i in ((1 << 60) + 1, (1 << 60) + 3, None)}
+
+
+def test_a_long_item_leaves_the_reach_of_others(spark):
+    short, long = " ".join(f"s{i}" for i in range(30)), " ".join(f"l{i}" for i in range(600))
+    docs = spark.createDataFrame([(1, "a b " * 90 + short), (2, long + " c d" * 90)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    assert {(r.doc, r.item, r.score) for r in d.leaks(docs, bench).collect()} == {(1, 1, 1.0), (2, 2, 1.0)}
+    items = {r["item"]: r["reach"] for r in d._items(bench, "item_id", "text", 0.5).collect()}
+    assert items == {1: 128, 2: 0}
+
+
+def test_common_words_of_an_item_are_no_seeds(spark):
+    """Of an item's n-grams those far more common than its rarest quarter are left out, a copied passage's are not."""
+    copied = " ".join(f"p{i}" for i in range(24))
+    docs = [(i, "so it is that it was so " * 3 + (copied if i % 3 == 0 else f"q{i} r{i} t{i}")) for i in range(150)]
+    mixed = "m0 m1 m2 m3 m4 m5 m6 m7 so it is that it was so m8 m9 m10 m11 m12"
+    docs.append((999, mixed))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, copied), (2, mixed)], "item_id long, text string")
+    assert {(r.doc, r.item) for r in d.leaks(frame, bench).collect()} == {(i, 1) for i in range(0, 150, 3)} | {(999, 2)}
+    items = d._items(bench, "item_id", "text", 0.5)
+    hits = d._hits(frame, "doc_id", "text", spark.sparkContext.broadcast(d._filters(items)), d._vocabulary(bench, "text"))
+    seeds = {(r["item"], r["place"]) for r in d._rare(items, hits).collect()}
+    assert {p for i, p in seeds if i == 1} == set(range(22)) and not {10, 11, 12} & {p for i, p in seeds if i == 2}

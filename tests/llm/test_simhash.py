@@ -94,3 +94,8 @@ def test_rows_of_every_kind(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).collect() == []
+
+
+def test_large_ids_beside_null_are_kept(spark):
+    docs = spark.createDataFrame([((1 << 60) + 1, "a b c d"), ((1 << 60) + 3, "e f g h"), (None, "i j k l")], "doc_id long, text string").coalesce(1)
+    assert {r.id for r in simhash.near_duplicates(docs).collect()} == {(1 << 60) + 1, (1 << 60) + 3, None}
