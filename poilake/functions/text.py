@@ -117,6 +117,23 @@ def indel_ratio(a: str, b: str) -> int:
     return int(indel_ratios([a], [b])[0])
 
 
+def similarity_above(a: str, b: str, minimum: int) -> bool:
+    """Whether ``indel_ratio`` of one pair is above ``minimum``, for loops over short keys."""
+    if a == b or not a or not b:
+        return (100 if a == b else 0) > minimum
+    size = len(a) + len(b)
+    if round(200 * min(len(a), len(b)) / size) <= minimum:
+        return False
+    masks: dict[str, int] = {}
+    for i, letter in enumerate(a):
+        masks[letter] = masks.get(letter, 0) | 1 << i
+    full = still = (1 << len(a)) - 1
+    for letter in b:
+        both = still & masks.get(letter, 0)
+        still = (still + both) | (still - both)
+    return round(200 * (len(a) - (still & full).bit_count()) / size) > minimum
+
+
 @F.pandas_udf(IntegerType())
 def _key_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     asked = pd.DataFrame({"a": a, "b": b}).dropna()

@@ -12,20 +12,34 @@ be quadratic in the number of places on one spot, so they are never listed. Inst
 * places of one tight cell always match, so only the earliest open node of each tight
   cell can be the next seed there;
 * such candidates that no earlier candidate matches are pairwise non-matching, hence at
-  least ``near`` metres apart, and a node has only a bounded number of them in reach.
+  least ``near`` metres apart, and a node has only a bounded number of them in reach;
+* an ordered chain of places would need a round per link that way, so tiles of bounded size
+  are walked in order by one task each, as far as what lies beyond their borders allows.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poilake import constants as K
-from poilake.functions.geodesy import distance_m, reach_cell, reach_cells, tight_cell
-from poilake.functions.text import blank_to_null, key_similarity, may_exceed, token_sort_key
+from poilake.functions.geodesy import (
+    ECCENTRICITY_SQ,
+    EQUATOR_RADIUS,
+    SHORTEST_DEGREE,
+    SHORTEST_EQUATOR_DEGREE,
+    distance_m,
+    reach_cell,
+    reach_cells,
+    tight_cell,
+)
+from poilake.functions.text import blank_to_null, key_similarity, may_exceed, similarity_above, token_sort_key
 from poilake.operators.dedup import union_sources
 from poilake.operators.names import similar_keys
 from poilake.operators.order import global_index
@@ -33,6 +47,8 @@ from poilake.session import materialize, scratch_path, store
 from poilake.sources.files import delete_folder
 
 _SPOT = ["lat", "lon", "name_key"]
+#: Nodes that one task walks in order, and the sizes of tiles as powers of two of the smallest.
+TILE_NODES, LEVELS = 8192, (0, 2, 4, 6)
 
 
 @dataclass(frozen=True)
@@ -94,50 +110,164 @@ def place_nodes(places: DataFrame, order: Sequence[str], rule: MatchRule = Match
     return global_index(celled, ["_first", *_SPOT]).drop("_first")
 
 
-def _seed_rounds(nodes: DataFrame, rule: MatchRule) -> list[tuple[DataFrame, DataFrame]]:
-    """Seeds and their matches, round by round.
+def _tiled(nodes: DataFrame, rule: MatchRule, turn: int) -> DataFrame:
+    """The nodes with a square tile (``level, row, col``) of at most ``TILE_NODES`` of them, and
+    whether they lie within reach of its ``border``.
 
-    Each round decides every open node that is earlier than all open nodes it matches, and
-    removes the nodes those seeds match. The earliest open node always qualifies, so every
-    round makes progress and no round limit is needed. State is written to the shared
-    folder, so a lost executor costs part of one round at most.
+    Each node is in the largest such tile of a nested grid; nodes of a crowded smallest tile are
+    left out. The grid moves from turn to turn, so what lies on a border does not stay there.
     """
-    spark, rounds = nodes.sparkSession, []
-    open_nodes, open_path = nodes, None
-    row = F.struct("idx", *_SPOT, "reach", "around")
-    while True:
-        first = open_nodes.groupBy("tight").agg(F.min_by(row, "idx").alias("c")).select("c.*")
-        beaten = _reached(first, first).where((F.col("idx") < F.col("p_idx")) & (F.col("distance_m") < rule.near))
-        leading_path = scratch_path(spark, "leading")
-        leading = store(first.join(beaten.select(F.col("p_idx").alias("idx")), "idx", "left_anti"), leading_path)
-        pairs = materialize(_matches(leading, open_nodes, rule), "pairs")
-        late = pairs.where(F.col("idx") < F.col("p_idx")).select(F.col("p_idx").alias("idx"))
-        seeds = materialize(leading.join(late, "idx", "left_anti"), "seeds")
-        matches = pairs.join(seeds.select(F.col("idx").alias("p_idx")), "p_idx", "left_semi")
-        rounds.append((seeds, matches))
-        done = matches.select("idx").unionByName(seeds.select("idx"))
-        next_path = scratch_path(spark, "open")
-        open_nodes = store(open_nodes.join(done, "idx", "left_anti"), next_path)
-        # The result reads seeds and pairs only; the round's other tables can go.
-        for path in (leading_path, open_path):
-            if path:
-                delete_folder(spark, path)
-        open_path = next_path
-        if open_nodes.isEmpty():
-            return rounds
+    side = 4 * rule.far / SHORTEST_DEGREE
+    shift = F.lit(side * (1 << LEVELS[-1]) * (turn * 0.618 % 1))
+    y, x = F.col("lat") + 90 + shift, F.pmod(F.col("lon"), F.lit(360.0))
+    celled = nodes.withColumns({"_r": F.floor(y / side), "_c": F.floor((x + shift) / side)})
+    counts = celled.groupBy("_r", "_c").agg(F.count("*").alias("n"))
+    spread = counts.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct("_r", "_c", "n", F.lit(j).alias("level"), F.shiftright("_r", j).alias("row"), F.shiftright("_c", j).alias("col"))
+                    for j in LEVELS
+                ]
+            )
+        )
+    )
+    fits = spread.groupBy("level", "row", "col").agg(F.sum("n").alias("all")).where(F.col("all") <= TILE_NODES)
+    widest = spread.join(fits, ["level", "row", "col"]).groupBy("_r", "_c").agg(
+        F.max(F.struct("level", "row", "col")).alias("tile")
+    )
+    wide = F.lit(side) * F.pow(F.lit(2.0), F.col("level"))
+    edge_y = F.lit(1.001 * rule.far / SHORTEST_DEGREE)
+    highest = F.least(F.abs(F.col("lat")) + edge_y, F.lit(89.99))
+    edge_x = F.lit(1.001 * rule.far / SHORTEST_EQUATOR_DEGREE) / F.cos(F.radians(highest))
+
+    def at_edge(value: Column, width: Column, edge: Column) -> Column:
+        inside = F.pmod(value, width)
+        return (inside < edge) | (inside > width - edge)
+
+    border = at_edge(y, wide, edge_y) | at_edge(x + shift, wide, edge_x) | at_edge(x, F.lit(360.0), edge_x)
+    placed = celled.join(widest, ["_r", "_c"]).select("tile.*", *nodes.columns)
+    return placed.withColumn("border", border)
+
+
+def _meters(a: tuple, b: tuple) -> float:
+    """``distance_m`` of two (lat, lon, ...)."""
+    middle = math.radians((a[0] + b[0]) / 2)
+    bend = 1 - ECCENTRICITY_SQ * math.sin(middle) ** 2
+    north = EQUATOR_RADIUS * (1 - ECCENTRICITY_SQ) / (bend * math.sqrt(bend)) * math.radians(a[0] - b[0])
+    turn = (a[1] - b[1] + 540) % 360 - 180
+    east = EQUATOR_RADIUS / math.sqrt(bend) * math.cos(middle) * math.radians(turn)
+    return math.sqrt(north * north + east * east)
+
+
+def _settler(rule: MatchRule):
+    """The sequential rule inside one tile: which of its nodes are seeds or belong to one for sure."""
+
+    def match(a: tuple, b: tuple) -> bool | None:
+        """None where rounding could decide."""
+        meters = _meters(a, b)
+        if min(abs(meters - rule.near), abs(meters - rule.far)) < 1e-6:
+            return None
+        if meters < rule.near or meters >= rule.far:
+            return meters < rule.near
+        if a[2] is None or b[2] is None:
+            return False
+        return similarity_above(a[2], b[2], rule.min_sim)
+
+    def settle(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("idx")
+        seeds, unsure, unsure_tight, out = defaultdict(list), defaultdict(list), set(), []
+        columns = ["idx", "lat", "lon", "name_key", "reach", "around", "tight", "border"]
+        for idx, lat, lon, key, reach, around, tight, border in zip(*(tile[c].tolist() for c in columns)):
+            node = (lat, lon, key if isinstance(key, str) else None)
+            taken = False
+            for seed in (s for cell in around for s in seeds[cell]):
+                answer = match(seed, node)
+                if answer:
+                    taken = True
+                    break
+                border = border or answer is None
+            if taken:
+                out.append((idx, False))
+                continue
+            # An earlier node that is not decided, or one beyond the border, may still take it.
+            if not border and tight not in unsure_tight:
+                border = any(match(u, node) is not False for cell in around for u in unsure[cell])
+            if border or tight in unsure_tight:
+                unsure[reach].append(node)
+                unsure_tight.add(tight)
+            else:
+                seeds[reach].append(node)
+                out.append((idx, True))
+        return pd.DataFrame(out, columns=["idx", "seed"]).astype({"idx": "int64", "seed": "bool"})
+
+    return settle
+
+
+def _tile_round(open_nodes: DataFrame, n: int, rule: MatchRule, turn: int) -> DataFrame:
+    """Decided nodes (idx, seed): whole chains at once, where they stay inside their tiles.
+
+    The last ``TILE_NODES`` open nodes are one tile without a border.
+    """
+    if n > TILE_NODES:
+        tiled = _tiled(open_nodes, rule, turn)
+    else:
+        tiled = open_nodes.withColumns({**{c: F.lit(0) for c in ("level", "row", "col")}, "border": F.lit(False)})
+    settled = tiled.groupBy("level", "row", "col").applyInPandas(_settler(rule), "idx long, seed boolean")
+    return materialize(settled, "settled")
 
 
-def _seed_matches(nodes: DataFrame, rounds: list[tuple[DataFrame, DataFrame]], rule: MatchRule) -> DataFrame:
-    """Every (seed_idx, idx) match of a seed with a later node.
+def _wide_round(open_nodes: DataFrame, rule: MatchRule) -> DataFrame:
+    """Decided nodes (idx, seed): those earlier than all open nodes they match, and what they take.
 
-    A round lists the matches with the nodes that were open; only the seeds of later
-    rounds can also match nodes that earlier rounds had removed.
+    The earliest open node is always among them. The probes, not the nodes, are copied, so a
+    spot of any size is settled without a task of its own.
+    """
+    spark = open_nodes.sparkSession
+    row = F.struct("idx", *_SPOT, "reach", "around")
+    first = open_nodes.groupBy("tight").agg(F.min_by(row, "idx").alias("c")).select("c.*")
+    beaten = _reached(first, first).where((F.col("idx") < F.col("p_idx")) & (F.col("distance_m") < rule.near))
+    paths = [scratch_path(spark, "leading"), scratch_path(spark, "pairs")]
+    leading = store(first.join(beaten.select(F.col("p_idx").alias("idx")), "idx", "left_anti"), paths[0])
+    pairs = store(_matches(leading, open_nodes, rule).select("p_idx", "idx"), paths[1])
+    late = pairs.where(F.col("idx") < F.col("p_idx")).select(F.col("p_idx").alias("idx"))
+    seeds = leading.join(late, "idx", "left_anti").select("idx", F.lit(True).alias("seed"))
+    # A node that a seed takes is no seed itself, as seeds are earlier than all they match.
+    taken = pairs.join(seeds.select(F.col("idx").alias("p_idx")), "p_idx", "left_semi").select("idx").distinct()
+    done = materialize(seeds.unionByName(taken.withColumn("seed", F.lit(False))), "settled")
+    for path in paths:
+        delete_folder(spark, path)
+    return done
+
+
+def _seeds(nodes: DataFrame, rule: MatchRule) -> DataFrame:
+    """All seeds (idx, spot and cells).
+
+    Tiles settle the ordered chains inside them at once; where they decide less than half of the
+    open nodes, as on borders and in crowded tiles, a wide round follows, which always decides
+    at least one node, so no round limit is needed. State is written to the shared folder, so a
+    lost executor costs part of one round at most.
     """
-    found = union_sources(*[matches for _, matches in rounds])
-    if len(rounds) > 1:
-        later = union_sources(*[seeds for seeds, _ in rounds[1:]])
-        again = _matches(later, nodes, rule).where(F.col("p_idx") < F.col("idx"))
-        found = found.unionByName(again).dropDuplicates(["p_idx", "idx"])
+    spark, open_nodes, open_path, found, turn = nodes.sparkSession, nodes, None, [], 0
+    n, in_tiles = nodes.count(), True
+    while n:
+        done = _tile_round(open_nodes, n, rule, turn) if in_tiles else _wide_round(open_nodes, rule)
+        found.append(done.where("seed").select("idx"))
+        next_path = scratch_path(spark, "open")
+        open_nodes = store(open_nodes.join(done.select("idx"), "idx", "left_anti"), next_path)
+        if open_path:
+            delete_folder(spark, open_path)
+        left = open_nodes.count()
+        open_path, n, in_tiles, turn = next_path, left, not in_tiles or 2 * left < n, turn + 1
+    if open_path:
+        delete_folder(spark, open_path)
+    chosen = union_sources(*found) if found else nodes.select("idx").limit(0)
+    return materialize(nodes.join(chosen, "idx", "left_semi").select("idx", *_SPOT, "around"), "seeds")
+
+
+def _seed_matches(nodes: DataFrame, seeds: DataFrame, rule: MatchRule) -> DataFrame:
+    """Every (seed_idx, idx) match of a seed with a later node."""
+    found = _matches(seeds, nodes, rule).where(F.col("p_idx") < F.col("idx"))
     return found.withColumnRenamed("p_idx", "seed_idx")
 
 
@@ -148,7 +278,7 @@ def match_pairs(places: DataFrame, order: Sequence[str], rule: MatchRule = Match
     do not matter); ``place_nodes`` of the same input says what the numbers stand for.
     """
     nodes = place_nodes(places, order, rule)
-    return _seed_matches(nodes, _seed_rounds(nodes, rule), rule)
+    return _seed_matches(nodes, _seeds(nodes, rule), rule)
 
 
 def greedy_clusters(places: DataFrame, order: Sequence[str], rule: MatchRule = MatchRule()) -> DataFrame:
@@ -159,9 +289,9 @@ def greedy_clusters(places: DataFrame, order: Sequence[str], rule: MatchRule = M
     a null cluster.
     """
     nodes = place_nodes(places, order, rule)
-    rounds = _seed_rounds(nodes, rule)
-    own = union_sources(*[seeds for seeds, _ in rounds]).select("idx", F.col("idx").alias("seed_idx"))
-    joined = _seed_matches(nodes, rounds, rule).select("idx", "seed_idx")
+    seeds = _seeds(nodes, rule)
+    own = seeds.select("idx", F.col("idx").alias("seed_idx"))
+    joined = _seed_matches(nodes, seeds, rule).select("idx", "seed_idx")
     membership = own.unionByName(joined).groupBy("idx").agg(F.min("seed_idx").alias("cluster"))
     spots = nodes.select("idx", *_SPOT).join(membership, "idx").select(*_SPOT, "cluster")
     keyed = places.withColumn("name_key", token_sort_key(F.col("name"), rule.fold))

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from poilake.functions.text import indel_ratio
+from poilake.functions.text import indel_ratio, similarity_above
 from poilake.operators import resolve as R
 from poilake.operators.order import daily_batch, global_index
 from tests.test_geodesy import vincenty
@@ -76,6 +76,31 @@ def test_chain_is_not_transitive(spark):
     assert max(len(g) for g in got) == 2
 
 
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    rows = [("osm", f"{i:03d}", f"name{i * 7919}", 21.0 + 90 * i * METER, 105.8, None, "x") for i in range(400)]
+    calls = []
+    for name in ("_tile_round", "_wide_round"):
+        plain = getattr(R, name)
+        monkeypatch.setattr(R, name, lambda *a, f=plain, n=name: (calls.append(n), f(*a))[1])
+    assert spark_clusters(spark, rows) == plain_clusters(rows)
+    assert calls == ["_tile_round"]  # a round per two places would be 200
+
+
+@pytest.mark.parametrize("limit", [12, 60])
+def test_small_and_crowded_tiles(spark, monkeypatch, limit):
+    monkeypatch.setattr(R, "TILE_NODES", limit)
+    rows = town(7, 70, 6000) + [("x" + r[0], *r[1:]) for r in town(8, 50, 400)]
+    assert spark_clusters(spark, rows) == plain_clusters(rows)
+
+
+def test_similarity_above_is_the_ratio():
+    rng = random.Random(5)
+    for _ in range(3000):
+        a, b = ("".join(rng.choice("abc é") for _ in range(rng.randrange(0, 12))) for _ in "ab")
+        least = rng.randrange(0, 100)
+        assert similarity_above(a, b, least) == (indel_ratio(a, b) > least)
+
+
 def test_edges_of_the_rule(spark):
     # About 99.5 m and 100.5 m with unlike names; 299 m and 301 m with like names.
     def row(i, name, meters):
@@ -103,15 +128,18 @@ def test_copies_and_a_hot_spot(spark):
     assert spark_clusters(spark, rows) == plain_clusters(rows)
 
 
-def test_rounds_do_not_list_all_pairs(spark):
+@pytest.mark.parametrize("limit", [0, 8192])
+def test_rounds_do_not_list_all_pairs(spark, monkeypatch, limit):
+    monkeypatch.setattr(R, "TILE_NODES", limit)
     rng = random.Random(11)
     rows = [
         ("osm", f"{i:05d}", f"name {i}", 21.0 + rng.uniform(0, 50) * METER, 105.8 + rng.uniform(0, 50) * METER, None, "x")
         for i in range(3000)
     ]
     nodes = R.place_nodes(spark.createDataFrame(rows, SCHEMA), ORDER)
-    rounds = R._seed_rounds(nodes, R.MatchRule())
-    assert sum(matches.count() for _, matches in rounds) < 4 * 3000
+    seeds = R._seeds(nodes, R.MatchRule())
+    assert seeds.count() < 9
+    assert R._seed_matches(nodes, seeds, R.MatchRule()).count() < 4 * 3000
 
 
 def test_rows_without_coordinates_or_name(spark):
