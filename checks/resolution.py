@@ -70,6 +70,34 @@ def _(spark, sf):
     return pairs.select("osm_id", F.round(meters, 3).alias("meters"))
 
 
+#: A point about 1,140 km from the places.
+FAR_POINT = (10.776, 106.701)
+
+
+def geodesic_sql(rounds: int = 8) -> str:
+    """The inverse geodesic of the places and ``FAR_POINT``, one subquery an iteration."""
+    f, a = "(1 / 298.257223563)", "6378137.0"
+    b = f"({a} * (1 - {f}))"
+    at = f"""SELECT osm_id, radians({FAR_POINT[1]} - lon) AS big, radians({FAR_POINT[1]} - lon) AS lam,
+ atan((1 - {f}) * tan(radians(lat))) AS u1, atan((1 - {f}) * tan(radians({FAR_POINT[0]}))) AS u2 FROM poi"""
+    arc = """SELECT osm_id, big, u1, u2, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+ sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs, atan2(ss, cs) AS sg, cos(u1) * cos(u2) * sin(lam) / ss AS sa,
+ 1 - sa * sa AS c2, cs - 2 * sin(u1) * sin(u2) / c2 AS cm FROM ({at})"""
+    for _ in range(rounds):
+        at = f"""SELECT osm_id, big, u1, u2, {f} / 16 * c2 * (4 + {f} * (4 - 3 * c2)) AS c,
+ big + (1 - c) * {f} * sa * (sg + c * ss * (cm + c * cs * (2 * cm * cm - 1))) AS lam FROM ({arc.format(at=at)})"""
+    return f"""SELECT osm_id, round(meters, 3) AS meters FROM (SELECT osm_id, c2 * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS k,
+ 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS big_a, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS big_b,
+ {b} * big_a * (sg - big_b * ss * (cm + big_b / 4 * (cs * (2 * cm * cm - 1)
+ - big_b / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))) AS meters FROM ({arc.format(at=at)}))"""
+
+
+@query("geodesic", W("poi") + geodesic_sql())
+def _(spark, sf):
+    meters = G.geodesic_m(F.col("lat"), F.col("lon"), F.lit(FAR_POINT[0]), F.lit(FAR_POINT[1]))
+    return V.poi(spark, sf).select("osm_id", F.round(meters, 3).alias("meters"))
+
+
 @query(
     "token_sort",
     W("poi") + f""", t AS (SELECT osm_id, {KEY_SQL.format(name="name")} AS a, {KEY_SQL.format(name="concat(category, ' ', name)")} AS b FROM poi)

@@ -47,9 +47,14 @@ def drop_no_coords(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFra
     return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
 
 
+def inside_box(lat: Column, lon: Column, box) -> Column:
+    """Whether a point lies in a (lat min, lat max, lon min, lon max) box, edges included; false for null."""
+    return F.coalesce(lat.between(box[0], box[1]) & lon.between(box[2], box[3]), F.lit(False))
+
+
 def in_bbox(df: DataFrame, lat: str = "lat", lon: str = "lon", box=K.CITY_BOX) -> DataFrame:
     """Rows inside a (lat min, lat max, lon min, lon max) box, edges included."""
-    return df.where(F.col(lat).between(box[0], box[1]) & F.col(lon).between(box[2], box[3]))
+    return df.where(inside_box(F.col(lat), F.col(lon), box))
 
 
 def rated_only(df: DataFrame, rating: str = "rating") -> DataFrame:

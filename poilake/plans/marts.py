@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poilake.functions.scores import attraction_key, first_category, health, popularity, reliability
@@ -94,6 +94,61 @@ def service_accessibility(gold: DataFrame) -> DataFrame:
     )
 
 
+#: What the partial aggregates are grouped by, the date aside.
+GROUPS = ["district_name", "category", "reliability_level"]
+
+
+def partials(gold: DataFrame) -> DataFrame:
+    """Sums and counts per snapshot, district, category and tier, which add up over any of these.
+
+    The key figures of D01 to D03 follow from them without the mart; distinct districts and
+    categories are exact, as both are part of the group.
+    """
+    return gold.groupBy("snapshot_date", *GROUPS).agg(
+        F.count("*").alias("locations"),
+        F.count("avg_rating").alias("rated"),
+        F.sum("avg_rating").alias("rating_sum"),
+        F.sum("source_count").alias("interactions"),
+        F.count("popularity_score").alias("scored"),
+        F.sum("popularity_score").alias("popularity_sum"),
+    )
+
+
+def _mean(total: str, count: str) -> Column:
+    return F.try_divide(F.sum(total), F.sum(count))
+
+
+def overview_of(parts: DataFrame, by: Sequence[str | Column] = ("snapshot_date",)) -> DataFrame:
+    """``executive_overview`` from partial aggregates, also over several snapshots at once."""
+    return parts.groupBy(*by).agg(
+        F.sum("locations").alias("total_pois"),
+        _mean("rating_sum", "rated").alias("city_avg_rating"),
+        F.sum("interactions").alias("total_interactions"),
+        F.count_distinct("district_name").alias("districts_covered"),
+    )
+
+
+def benchmarking_of(parts: DataFrame, by: Sequence[str | Column] = ("snapshot_date",)) -> DataFrame:
+    """``district_benchmarking`` from partial aggregates."""
+    ranked = parts.groupBy(*by, "district_name").agg(
+        F.sum("locations").alias("poi_count"),
+        _mean("rating_sum", "rated").alias("district_avg_rating"),
+        F.sum("popularity_sum").alias("total_district_popularity"),
+        F.count_distinct("category").alias("category_diversity"),
+    )
+    return ranked.orderBy(F.desc_nulls_last("total_district_popularity"))
+
+
+def accessibility_of(parts: DataFrame, by: Sequence[str | Column] = ("snapshot_date",)) -> DataFrame:
+    """``service_accessibility`` from partial aggregates."""
+    high = F.when(F.col("reliability_level") == "High", F.col("locations")).otherwise(0)
+    return parts.groupBy(*by, "category", "district_name", "reliability_level").agg(
+        F.sum("locations").alias("total_locations"),
+        F.sum(high).alias("verified_count"),
+        _mean("popularity_sum", "scored").alias("avg_popularity"),
+    )
+
+
 def district_stats(
     df: DataFrame, day: str = "report_date", district: str = "district", rating: str = "rating", reviews: str = "review_count"
 ) -> DataFrame:

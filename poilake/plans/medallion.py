@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from poilake import schemas
 from poilake.operators import quality as Q
-from poilake.operators.clean import in_bbox
+from poilake.operators.clean import in_bbox, inside_box
 from poilake.plans import marts
 from poilake.plans.silver import build_silver
+from poilake.session import materialize
 from poilake.sources.bronze import read_bronze
 from poilake.sources.tables import write_snapshot
 
@@ -75,16 +76,27 @@ def run_medallion(
 
     Each layer is written, checked as stored, and read back by the next, so a rerun of the
     same snapshot replaces its own partitions and nothing else. Records that are malformed or
-    have no coordinates are kept in ``quarantine``, so every record is there or in Silver or
-    was replaced by a later record of its key.
+    have no coordinates are kept in ``quarantine``, and so are places outside ``box``, as the
+    JSON of their Silver row. So every record is there or in Silver or was replaced by a later
+    record of its key.
     """
     corrupt = "_corrupt"
     landed = read_bronze(spark, paths.bronze, source, schemas.ENRICHED, corrupt)
     landed = landed.where(landed["snapshot_date"] == snapshot_date)
-    quarantine = write_snapshot(rejected(landed, corrupt), f"{paths.silver}/quarantine", snapshot_date)
+    refused = rejected(landed, corrupt)
     silver = build_silver(landed.where(F.col(corrupt).isNull()).drop(corrupt), processed_at)
     if box:
-        silver = in_bbox(silver, "latitude", "longitude", box)
+        every = materialize(silver, "silver")  # read twice
+        silver = in_bbox(every, "latitude", "longitude", box)
+        outside = every.where(~inside_box(F.col("latitude"), F.col("longitude"), box))
+        refused = refused.unionByName(
+            outside.select(
+                F.lit(source).alias("source"), "snapshot_date", "run_id", F.lit("outside_box").alias("reason"),
+                F.to_json(F.struct("*")).alias("record"),
+            ),
+            allowMissingColumns=True,
+        )
+    quarantine = write_snapshot(refused, f"{paths.silver}/quarantine", snapshot_date)
     stored = write_snapshot(silver, f"{paths.silver}/attractions_enriched", snapshot_date)
     gate(stored, SILVER_RULES, "silver")
 

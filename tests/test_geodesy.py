@@ -81,3 +81,26 @@ def test_points_of_one_tight_cell_are_near(spark):
     )
     assert same.count() > 200
     assert same.where(G.distance_m(*[F.col(c) for c in COLUMNS]) >= 100).count() == 0
+
+
+def test_geodesic_of_points_far_apart(spark):
+    rng = random.Random(4)
+    pairs = near_pairs(3, 200, 1_000_000)
+    pairs += [(i, rng.uniform(-90, 90), rng.uniform(-180, 180), rng.uniform(-60, 60), rng.uniform(-180, 180)) for i in range(200)]
+    pairs += [
+        (0, 0.0, 0.0, 0.0, 1.0), (1, 10.0, 20.0, 10.0, 20.0), (2, 0.0, 0.0, 90.0, 0.0), (3, 90.0, 0.0, -90.0, 0.0),
+        (4, 5.0, 179.5, 6.0, -179.5), (5, 0.0, 0.0, 0.5, 179.7), (6, 0.0, 0.0, 0.0, 180.0), (7, None, 1.0, 2.0, 3.0),
+    ]
+    df = spark.createDataFrame(pairs, SCHEMA)
+    at = [F.col(c) for c in COLUMNS]
+    got = df.select(*COLUMNS, G.geodesic_m(*at).alias("d"), G.haversine_m(*at).alias("sphere")).collect()
+    for r in got[:-3]:
+        if r["sphere"] < 19_000_000:
+            assert abs(r["d"] - vincenty(r["lat"], r["lon"], r["lat2"], r["lon2"])) < 1e-2
+        else:
+            assert abs(r["d"] / r["sphere"] - 1) < 0.006
+    # Nearly antipodal: the geodesic of (0, 0) and (0.5, 179.7) is 19,936.289 km.
+    assert abs(got[-3]["d"] / 19_936_289 - 1) < 0.006 and abs(got[-2]["d"] / 20_003_931 - 1) < 0.006
+    assert got[-1]["d"] is None
+    # Published values: a degree of the equator, a quarter of a meridian.
+    assert abs(got[400]["d"] - 111319.4908) < 1e-3 and got[401]["d"] == 0 and abs(got[402]["d"] - 10001965.729) < 1e-2

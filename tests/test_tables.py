@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from poilake import schemas
 from poilake.operators import quality as Q
+from poilake.plans import marts
 from poilake.plans.medallion import Paths, QualityError, run_medallion
 from poilake.plans.silver import build_silver
 from poilake.sources import bronze as B
@@ -156,6 +157,52 @@ def test_no_record_is_lost(spark, folder):
     assert {r["record"] for r in made["quarantine"].where("reason = 'malformed'").collect()} == {"{broken", '{"osm_data": [1'}
 
 
+def test_places_outside_the_box_are_quarantined(spark, folder):
+    paths = lake(folder)
+    B.land_bronze(records(spark, [record(i) for i in range(10)]), paths.bronze, "src", DAY, "r1")
+    made = run_medallion(spark, paths, T.districts_dim(spark), DAY, "src", box=(21.0, 21.0035, 105.0, 106.0))
+    assert made["attractions_enriched"].count() == 4
+    outside = made["quarantine"].where("reason = 'outside_box'").collect()
+    assert len(outside) == 6 and all('"latitude":21.00' in r["record"] and r["run_id"] == "r1" for r in outside)
+
+
+def test_gold_is_refreshed_for_the_touched_dates_only(spark, folder):
+    days, dim = [date(2024, 6, 1), date(2024, 6, 2)], T.districts_dim(spark)
+    stamp = datetime(2024, 6, 3)
+
+    def sync():
+        I.upsert_stream(
+            I.bronze_stream(spark, f"{folder}/bronze", "src", schemas.ENRICHED), f"{folder}/silver", f"{folder}/state",
+            lambda b: build_silver(b, stamp, scope=["snapshot_date"]),
+            refresh=lambda touched: I.refresh_gold(spark, f"{folder}/silver", f"{folder}/gold", dim, touched, stamp),
+        ).awaitTermination()
+
+    def files(day):
+        every = [f for n in ("gold_partials", "gold_attractions") for f in spark.read.parquet(f"{folder}/gold/{n}").inputFiles()]
+        return sorted(f for f in every if f"snapshot_date={day}" in f)
+
+    for day in days:
+        B.land_bronze(records(spark, [record(i, rating=None if i % 3 == 0 else 4.0) for i in range(30)]), f"{folder}/bronze", "src", day, "r1")
+    sync()
+    before = [files(d) for d in days]
+    B.land_bronze(records(spark, [record(i, rating=2.0, stamp="2024-06-02T00:00:00Z") for i in range(40)]), f"{folder}/bronze", "src", days[1], "r2")
+    sync()
+    assert files(days[0]) == before[0] and not set(files(days[1])) & set(before[1])
+    parts, gold = (T.read_table(spark, f"{folder}/gold/{n}") for n in ("gold_partials", "gold_attractions"))
+    assert gold.count() == 70
+    for small, full in (
+        (marts.overview_of, marts.executive_overview), (marts.benchmarking_of, marts.district_benchmarking),
+        (marts.accessibility_of, marts.service_accessibility),
+    ):
+        def shown(df):
+            rows = [{k: round(v, 9) if isinstance(v, float) else v for k, v in r.asDict().items()} for r in df.collect()]
+            return sorted(map(repr, rows))
+
+        assert shown(small(parts)) == shown(full(gold))
+    both = marts.overview_of(parts, by=()).first()
+    assert both["total_pois"] == 70 and abs(both["city_avg_rating"] - (20 * 4.0 + 40 * 2.0) / 60) < 1e-9
+
+
 def test_upsert_reads_only_the_batchs_dates(spark, folder, monkeypatch):
     days = [date(2024, 1, d) for d in range(1, 6)]
     kind = "k int, v string, at int, snapshot_date date"
