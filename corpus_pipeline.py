@@ -57,7 +57,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     marked = scratch.store(marked.where("copy or n > 1").select(F.col("id").alias(key), "copy"), "marked")
     kept = keyed.join(marked, key, "left_anti").select(*docs.columns)
     repeated = keyed.join(marked.where("not copy"), key, "left_semi")
-    one = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("one")
+    # The least by the row's JSON, as maps have no order.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = F.min_by(row, F.sha2(F.to_json(row), 256)).alias("one")
     return kept.unionByName(repeated.groupBy(key).agg(one).select("one.*"))
 
 
