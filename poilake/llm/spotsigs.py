@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from poilake.llm.scratch import Scratch
@@ -141,22 +142,36 @@ def matches(queries: DataFrame, rows: DataFrame, least: float = 0.8) -> DataFram
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Window]:
-    """(run, ghost, id, text, next_text) and the window in which neighbours are paired.
+    """(kind, run, ghost, pos, id, text, next_text) and the window in which neighbours are paired.
 
-    The next document is that of the next larger id, after the last one the first. Runs of
-    ``RUN`` consecutive ids share a window, and the first document of each run is copied to the
-    run before (``ghost`` 1), so no task sees more than one run of texts.
+    The next document is that of the next larger id, after the last one the first. Null ids come
+    before all others, by their texts; rows that repeat an id follow each other by their texts.
+    Ids of any type that can be ordered will do. Runs of ``RUN`` consecutive ids, or positions
+    where ids are null or no integers, share a window, and the first document of each run is
+    copied to the run before (``ghost`` 1), so no task sees more than one run of texts.
     """
     scratch = Scratch(docs.sparkSession, "next")
-    run = F.floor(F.col("id") / RUN).alias("run")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    firsts = rows.select("id", run).groupBy("run").agg(F.min("id").alias("id"))
-    firsts = global_index(firsts, ["id"], "idx")
+    kind = F.lit(1).alias("kind")
+    if isinstance(rows.schema["id"].dataType, IntegralType):
+        known = rows.where("id is not null").withColumns({"kind": kind, "pos": F.col("id").cast("long")})
+        lost = global_index(rows.where("id is null"), [F.xxhash64("text"), "text"], "pos").withColumn("kind", F.lit(0))
+        rows = known.unionByName(lost)
+    else:
+        rows = global_index(rows, ["id", F.xxhash64("text"), "text"], "pos").withColumn("kind", kind)
+    run = F.floor(F.col("pos") / RUN).alias("run")
+    firsts = rows.select("kind", "pos", run).groupBy("kind", "run").agg(F.min("pos").alias("pos"))
+    firsts = global_index(firsts, ["kind", "pos"], "idx")
     n = firsts.count()
-    before = firsts.select((F.pmod(F.col("idx") + 1, F.lit(max(n, 1)))).alias("idx"), F.col("run").alias("run"))
-    ghosts = scratch.store(firsts.select("id", "idx").join(before, "idx").select("id", "run"), "firsts")
-    both = rows.select(run, F.lit(0).alias("ghost"), "id", "text").unionByName(
-        rows.join(ghosts, "id").select("run", F.lit(1).alias("ghost"), "id", "text")
+    before = firsts.select(
+        F.pmod(F.col("idx") + 1, F.lit(max(n, 1))).alias("idx"), F.col("kind").alias("kind_before"), "run"
     )
-    window = Window.partitionBy("run").orderBy("ghost", "id")
+    ghosts = firsts.select("kind", "pos", "idx").join(before, "idx").select("kind", "pos", "kind_before", "run")
+    ghosts = scratch.store(ghosts, "firsts")
+    columns = ["kind", "run", "ghost", "pos", "id", "text"]
+    copied = rows.join(ghosts, ["kind", "pos"]).drop("kind").withColumnRenamed("kind_before", "kind")
+    both = rows.withColumns({"run": run, "ghost": F.lit(0)}).select(*columns).unionByName(
+        copied.withColumn("ghost", F.lit(1)).select(*columns)
+    )
+    window = Window.partitionBy("kind", "run").orderBy("ghost", "pos", F.xxhash64("text"), "text")
     return both.withColumn("next_text", F.lead("text").over(window)), window

@@ -89,3 +89,10 @@ def test_null_and_repeated_ids(spark, folder):
     assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [(None, a), (5, c), (5, c)]))
     found = decontaminate.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet")).collect()
     assert {(r.doc, r.item) for r in found} == {(None, None), (None, 1), (5, None)}
+
+
+def test_repeated_rows_with_columns_that_have_no_order(spark, folder):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, extra map<string,int>"
+    rows = [(1, "a b c d", "en", "s", 7, {"x": 1}), (1, "a b c d", "en", "s", 7, {"x": 2}), (2, "e f g h", "en", "s", 7, None)]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, kind), folder).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2]

@@ -63,6 +63,28 @@ def test_matches_equal_all_pairs(spark):
     assert got == want and len(want) > 30
 
 
+def test_neighbours_beside_null_repeated_and_text_ids(spark):
+    rng = random.Random(9)
+    ids = [None, None, 1 << 60, (1 << 60) + 1, -5, 3, 3, 700]
+    rows = [(i, f"text {n}") for n, i in enumerate(ids)]
+    for kind, shown in (("long", lambda i: i), ("string", lambda i: i if i is None else f"{i + (1 << 61):020d}")):
+        shuffled = [(shown(i), t) for i, t in rows]
+        rng.shuffle(shuffled)
+        paired, _ = s.with_next(spark.createDataFrame(shuffled, f"doc_id {kind}, text string"))
+        got = {r.text: (r.id, r.next_text) for r in paired.where("ghost = 0").collect()}
+        assert {t: i for t, (i, _) in got.items()} == {t: i for i, t in shuffled} and len(got) == len(rows)
+        # One circle through all documents, in the order of ids, null ids first.
+        at, walk = next(t for t, (i, _) in got.items() if i is not None and got[t][0] == shown(1 << 60)), []
+        for _ in rows:
+            at = got[at][1]
+            walk.append(got[at][0])
+        assert sorted(walk, key=repr) == sorted((shown(i) for i in ids), key=repr)
+        first = walk.index(None)
+        walk = walk[first:] + walk[:first]
+        walk = walk if walk[1] is None else walk[-1:] + walk[:-1]
+        assert walk == [shown(i) for i in (None, None, -5, 3, 3, 700, 1 << 60, (1 << 60) + 1)]
+
+
 def test_neighbours_across_runs(spark):
     ids = [5, 255, 256, 3000, 3001, 90_000, -7]
     df = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
