@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks import views as V
@@ -9,8 +11,9 @@ from checks.core import query
 from poilake.functions import geodesy as G
 from poilake.functions import scores as S
 from poilake.functions import text as T
-from poilake.operators import clean, geo, report
+from poilake.operators import clean, geo, profiles, report
 from poilake.plans import marts
+from poilake.session import scratch_path
 from poilake.sources import tables
 
 W = V.with_views
@@ -559,3 +562,40 @@ def _profile_sql(column, number):
 )
 def _(spark, sf):
     return report.profile(V.poi(spark, sf), ["name", "category", "lat", "rating", "review_count"])
+
+
+_MERGED = """SELECT '{c}' AS "column", count(*) AS rows, count({c}) AS present,
+ round((count(*) - count({c})) * 100.0 / count(*), 6) AS null_pct, {numbers}, true AS distinct_close, {close} AS quantiles_close FROM events"""
+_NUMBERS = "round(min({c}), 4) AS min_value, round(max({c}), 4) AS max_value, round(avg({c}), 4) AS mean_value"
+_NO_NUMBERS = "NULL::DOUBLE AS min_value, NULL::DOUBLE AS max_value, NULL::DOUBLE AS mean_value"
+
+
+@query(
+    "profile_merged",
+    " UNION ALL ".join(
+        _MERGED.format(c=c, numbers=(_NUMBERS if number else _NO_NUMBERS).format(c=c), close="true" if number else "NULL::BOOLEAN")
+        for c, number in [("event_id", True), ("user_id", True), ("event_type", False), ("value", True), ("props", False)]
+    ),
+)
+def _(spark, sf):
+    """Events profiled by day and merged; estimates are held against exact counts and ranks."""
+    names = ["event_id", "user_id", "event_type", "value", "props"]
+    events = V.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    path = scratch_path(spark, "profiles")
+    tables.write_partitions(profiles.partial_profiles(events, "day", names), path, "day")
+    merged = profiles.merged_profiles(spark.read.parquet(path))
+    exact = report.profile(events, names).select("column", F.col("distinct_values").alias("exact"))
+    # The share of rows up to each estimate, with the estimates, three per column, as literals.
+    found = {r["column"]: r for r in merged.where("q50 is not null").collect()}
+
+    def close(c: str):
+        shares = [(p, F.avg((F.col(c) <= found[c][f"q{p}"]).cast("double"))) for p in (25, 50, 75)]
+        # Equal values count up to the last of them.
+        return reduce(lambda a, b: a & b, [share.between(p / 100 - 0.02, p / 100 + 0.05) for p, share in shares])
+
+    ranks = events.agg(*[close(c).alias(c) for c in found])
+    ranks = ranks.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("quantiles_close")) for c in found])))
+    return merged.join(exact, "column").join(ranks, "column", "left").select(
+        "column", "rows", "present", "null_pct", "min_value", "max_value", "mean_value",
+        (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact")).alias("distinct_close"), "quantiles_close",
+    )

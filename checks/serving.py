@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.core import query
 from poilake.functions.scores import labels_union
-from poilake.operators import clean, dedup, runs, serve
+from poilake.operators import clean, dedup, fulltext, runs, serve
 from poilake.plans import marts
+from poilake.session import scratch_path
 from poilake.sources import tables
 
 W = V.with_views
@@ -170,6 +171,27 @@ def _(spark, sf):
     return best.select("doc_id", "lang", "matches")
 
 
+#: Okapi BM25 over all documents; the words' order and rounding as in the index.
+_RANKED = """WITH t AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '') AS words
+ FROM documents),
+ total AS (SELECT count(*) AS d, sum(len(words)) / count(*) AS mean FROM t),
+ p AS (SELECT doc_id, lang, len(words) AS l, q.w, len(list_filter(words, lambda x: x = q.w)) AS n
+  FROM t, (SELECT unnest(['the', 'und', 'de', 'license', 'version']) AS w) q),
+ f AS (SELECT w, count(*) AS df FROM p WHERE n > 0 GROUP BY w)
+ SELECT doc_id AS id, lang, CAST(count(*) AS INTEGER) AS matches,
+ round(sum(ln(1 + (d - df + 0.5) / (df + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS weight
+ FROM p JOIN f USING (w), total WHERE n > 0 GROUP BY doc_id, lang ORDER BY weight DESC, doc_id LIMIT 50"""
+
+
+@query("search_index", _RANKED)
+def _(spark, sf):
+    """Two segments; the second is given all documents and adds those that the first lacks."""
+    path, documents = scratch_path(spark, "index"), V.table(spark, sf, "documents")
+    fulltext.index_texts(documents.where("lang = 'en'"), path, "first", "doc_id", "text", ["lang"], buckets=8)
+    fulltext.index_texts(documents, path, "second", "doc_id", "text", ["lang"])
+    return fulltext.search_index(spark, path, "The und de; license VERSION", 50)
+
+
 # Keys
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from poilake import constants as K
@@ -129,6 +129,28 @@ def suite_passes(results: DataFrame) -> bool:
     return results.where(~F.col("success") & (F.col("total") > 0)).isEmpty()
 
 
+def store_observed(df: DataFrame, path: str, rules: Sequence[Rule]) -> tuple[DataFrame, list[str]]:
+    """Write ``df`` to a new ``path`` and judge it on the way: the stored rows, and the failures.
+
+    Row rules are counted by the tasks that write, so the stored table is not scanned for them.
+    Uniqueness reads the stored key columns alone, unless there are no rows. A missing column
+    fails its rule if there are rows.
+    """
+    spark, have = df.sparkSession, set(df.columns)
+    rows = [r for r in rules if not r.keys and set(r.columns) <= have]
+    seen = Observation()
+    counts = [F.count_if(r.violation()).alias(f"failed_{i}") for i, r in enumerate(rows)]
+    df.observe(seen, F.count("*").alias("total"), *counts).write.parquet(path)
+    stored, got = spark.read.schema(df.schema).parquet(path), seen.get
+    if not got["total"]:
+        return stored, []
+    failed = [(r, got[f"failed_{i}"]) for i, r in enumerate(rows)]
+    failed += [(r, got["total"]) for r in rules if not set(r.columns) <= have]
+    keys = [r for r in rules if r.keys and set(r.columns) <= have]
+    failed += [(r, run_suite(stored.select(*r.columns), [r]).first()["failed"]) for r in keys]
+    return stored, [f"{r.name}({','.join(r.columns)}): {n}" for r, n in failed if n]
+
+
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Rows that pass every row rule, and the others with their reasons."""
     reasons = F.array_compact(

@@ -1,4 +1,4 @@
-"""The whole run: Bronze to Silver to Gold, with a quality gate after each write."""
+"""The whole run: Bronze to Silver to Gold, with a quality gate before each layer is published."""
 
 from __future__ import annotations
 
@@ -13,8 +13,9 @@ from poilake.operators import quality as Q
 from poilake.operators.clean import in_bbox, inside_box
 from poilake.plans import marts
 from poilake.plans.silver import build_silver
-from poilake.session import materialize
+from poilake.session import materialize, scratch_path
 from poilake.sources.bronze import read_bronze
+from poilake.sources.files import delete_folder
 from poilake.sources.tables import write_snapshot
 
 SILVER_RULES = [
@@ -45,12 +46,20 @@ class Paths:
     gold: str
 
 
-def gate(df: DataFrame, rules: list[Q.Rule], layer: str) -> None:
-    """Raise unless the stored layer passes its rules."""
-    results = Q.run_suite(df, rules).collect()  # one row per rule
-    failed = [f"{r['rule']}({r['column']}): {r['failed']}" for r in results if not r["success"] and r["total"]]
+def publish(df: DataFrame, path: str, day: date, rules: list[Q.Rule], layer: str) -> DataFrame:
+    """Replace a date's partition if the rows pass their rules; else raise and leave it as it is.
+
+    The rows are written to the shared scratch folder, observed on the way, and published from
+    there, so nobody reads a layer that failed.
+    """
+    staged = scratch_path(df.sparkSession, layer)
+    rows, failed = Q.store_observed(df, staged, rules)
     if failed:
+        delete_folder(df.sparkSession, staged)
         raise QualityError(f"{layer}: " + "; ".join(failed))
+    stored = write_snapshot(rows, path, day)
+    delete_folder(df.sparkSession, staged)
+    return stored
 
 
 def rejected(bronze: DataFrame, corrupt: str) -> DataFrame:
@@ -74,8 +83,9 @@ def run_medallion(
 ) -> dict[str, DataFrame]:
     """Run every step for one snapshot and return the stored tables by name.
 
-    Each layer is written, checked as stored, and read back by the next, so a rerun of the
-    same snapshot replaces its own partitions and nothing else. Records that are malformed or
+    Each layer is checked while it is written, published if it passes, and read back by the
+    next, so a rerun of the same snapshot replaces its own partitions and nothing else, and a
+    failed one replaces none of its layer. Records that are malformed or
     have no coordinates are kept in ``quarantine``, and so are places outside ``box``, as the
     JSON of their Silver row. So every record is there or in Silver or was replaced by a later
     record of its key.
@@ -97,12 +107,10 @@ def run_medallion(
             allowMissingColumns=True,
         )
     quarantine = write_snapshot(refused, f"{paths.silver}/quarantine", snapshot_date)
-    stored = write_snapshot(silver, f"{paths.silver}/attractions_enriched", snapshot_date)
-    gate(stored, SILVER_RULES, "silver")
+    stored = publish(silver, f"{paths.silver}/attractions_enriched", snapshot_date, SILVER_RULES, "silver")
 
     attractions = marts.build_attractions(stored, districts, snapshot_date, processed_at)
-    gold = write_snapshot(attractions, f"{paths.gold}/gold_attractions", snapshot_date)
-    gate(gold, GOLD_RULES, "gold")
+    gold = publish(attractions, f"{paths.gold}/gold_attractions", snapshot_date, GOLD_RULES, "gold")
 
     builders = {
         "gold_executive_overview": marts.executive_overview,

@@ -251,10 +251,32 @@ def test_rerun_without_rows_leaves_nothing_behind(spark, folder):
 def test_medallion_stops_at_the_gate(spark, folder):
     paths = lake(folder)
     B.land_bronze(records(spark, [record(1, rating=9.0)]), paths.bronze, "src", DAY, "r1")
-    with pytest.raises(QualityError, match="accepted_range"):
+    with pytest.raises(QualityError, match=r"^silver: accepted_range\(rating\): 1$"):
         run_medallion(spark, paths, T.districts_dim(spark), DAY, "src")
 
 
+def test_a_failed_run_leaves_the_published_layers(spark, folder):
+    paths, dim = lake(folder), T.districts_dim(spark)
+    B.land_bronze(records(spark, [record(i) for i in range(5)]), paths.bronze, "src", DAY, "r1")
+    made = run_medallion(spark, paths, dim, DAY, "src")
+    before = sorted(made["attractions_enriched"].inputFiles())
+    B.land_bronze(records(spark, [record(1, rating=9.0, stamp="2024-06-02T00:00:00Z")]), paths.bronze, "src", DAY, "r2")
+    with pytest.raises(QualityError):
+        run_medallion(spark, paths, dim, DAY, "src")
+    left = spark.read.parquet(f"{paths.silver}/attractions_enriched")
+    assert sorted(left.inputFiles()) == before and left.count() == 5
+
+
+def test_rules_are_judged_while_rows_are_written(spark, folder):
+    rules = [Q.not_null("k"), Q.accepted_range("v", 0.0, 5.0), Q.unique("k"), Q.not_null("none")]
+    df = spark.createDataFrame([(1, 2.0), (1, 9.0), (None, None)], "k int, v double")
+    stored, failed = Q.store_observed(df, f"{folder}/a", rules)
+    assert stored.count() == 3
+    assert failed == ["not_null(k): 1", "accepted_range(v): 1", "not_null(none): 3", "unique(k): 1"]
+    assert Q.store_observed(df.where("k = 7"), f"{folder}/b", rules)[1] == []
+    assert Q.store_observed(df.where("v < 5"), f"{folder}/c", rules[:3])[1] == []
+
+
 def test_incremental_silver_equals_the_batch(spark, folder):
     paths = lake(folder)
 
