@@ -47,7 +47,7 @@ d2 AS (SELECT host, k + s * m AS x, n - k + s * (1 - m) AS y FROM d, (
   SELECT 1 / least(greatest(coalesce(round(sum((k - n * m) * (k - n * m) - n * m * (1 - m))
          / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 9), 0), 0.001), 0.999) - 1 AS s FROM d)),
 f AS (SELECT host, x / (x + y) AS mean, x + y AS w FROM d2),
-j AS (SELECT host, round(greatest(0, mean - 1.645 * sqrt(mean * (1 - mean) / (w + 1))), 6) AS bound FROM f),
+j AS (SELECT host, round(mean, 6) AS mean, round(greatest(0, mean - 1.645 * sqrt(mean * (1 - mean) / (w + 1))), 6) AS bound FROM f),
 r AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
                             ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS v(verdict, rule_host, rule_path)),
 m AS (
@@ -55,7 +55,7 @@ m AS (
     row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS nth
   FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
 SELECT p.page_id, p.host, p.path, m.rule,
-  coalesce(m.verdict, CASE WHEN j.bound >= 0.3 THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(m.verdict, CASE WHEN j.bound >= 0.3 THEN 'block' ELSE 'allow' END) AS verdict, j.mean, j.bound
 FROM p JOIN j ON j.host = p.host LEFT JOIN m ON m.page_id = p.page_id AND m.nth = 1
 """
 

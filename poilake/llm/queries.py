@@ -47,16 +47,19 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Lines on more than this share of a host's different pages are cut.
+BOILERPLATE = 0.01
+
+
 @query(
     "op2_line_dedup",
     """
     WITH lines AS (
-      SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+      SELECT doc_id, source, md5(text) AS page, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
-    seen AS (SELECT DISTINCT doc_id, source, trim(line) AS line FROM lines WHERE trim(line) <> ''),
-    counts AS (SELECT source, line, count(*) AS n FROM seen GROUP BY source, line),
-    pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-    cut AS (SELECT source, line FROM counts JOIN pages USING (source) WHERE n >= 5 AND n > 0.1 * pages),
+    counts AS (SELECT source, trim(line) AS line, count(DISTINCT page) AS n FROM lines WHERE trim(line) <> '' GROUP BY ALL),
+    pages AS (SELECT source, count(DISTINCT text) AS pages FROM documents GROUP BY source),
+    cut AS (SELECT source, line FROM counts JOIN pages USING (source) WHERE n >= 5 AND n > 0.01 * pages),
     marked AS (SELECT l.*, d.line IS NOT NULL AS gone
                FROM lines l LEFT JOIN cut d ON d.source = l.source AND d.line = trim(l.line))
     SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
@@ -66,7 +69,7 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    return linededup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+    return linededup.drop_boilerplate(docs, ratio=BOILERPLATE, once=True).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 @query("op4_decontamination")
@@ -143,7 +146,7 @@ def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
         pages.withColumn("doc_id", F.when(number != "", number.cast("long"))).join(labels, "doc_id").select("url", "bad")
     )
     found = urls.judge(pages, outcomes, RULES)
-    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "mean", "bound")
 
 
 @query("op7_warc", oracles.WARC)

@@ -18,6 +18,18 @@ def test_ratio_is_by_host(spark):
     assert cut(spark, rows, ratio=0.5, min_pages=3)[10].text == "Menu\nx"
 
 
+def test_copies_of_a_page_count_once(spark):
+    rows = [(i, "a", "shared text\nof a copied page") for i in range(30)]
+    rows += [(100 + i, "a", f"own {i}\nMenu\n") for i in range(6)] + [(200 + i, "a", f"line {i}") for i in range(40)]
+    rows += [(300, "a", None), (301, "a", ""), (302, None, "Menu")]
+    counted, once = (cut(spark, rows, ratio=0.1, once=o) for o in (False, True))
+    assert counted[0].text == "" and counted[100].text == "own 0\nMenu\n"
+    # 6 of 48 different pages: the copies neither hold boilerplate nor hide it.
+    assert once[0].text == rows[0][2] and once[100].text == "own 0\n" and once[200].text == "line 0"
+    assert once[300].text is None and once[301].text == "" and once[302].text == "Menu"
+    assert cut(spark, rows, ratio=6 / 48, once=True)[100].n_dropped == 0
+
+
 def test_rows_of_every_kind(spark):
     rows = [(1, "a", None), (2, "a", ""), (3, None, "Menu"), (4, "a", " Menu "), (4, "a", " Menu "), (5, "a", "Menu\n\nMenu"), (6, "a", "z " * 100_000)]
     got = cut(spark, rows, ratio=0.2, min_pages=2)
