@@ -43,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their source's boilerplate lines; ``n_chars`` follows the text."""
-    cut = linededup.drop_boilerplate(docs)
+    cut = linededup.drop_boilerplate(docs, ratio=queries.BOILERPLATE, once=True)
     kind = docs.schema["n_chars"].dataType
     return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind)).select(*docs.columns)
 
