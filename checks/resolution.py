@@ -10,6 +10,7 @@ from poilake.functions import geodesy as G
 from poilake.functions import text as T
 from poilake.operators import resolve as R
 from poilake.operators.dedup import union_sources
+from poilake.session import materialize
 
 W = V.with_views
 
@@ -163,7 +164,9 @@ alike AS (SELECT a, p, CAST(c AS DOUBLE) / (na + np - c) AS similarity FROM (
 
 def _lookup(spark, sf):
     """(candidates, places) with the names of ``LOOKUP``."""
-    own = V.poi(spark, sf)
+    # The parts are few small files: dealt out once, before names are made of them.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = materialize(V.poi(spark, sf).repartition(tasks, "osm_id"), "asked")
     key = F.col("osm_id") + 1000000
     asked = F.concat_ws(" ", F.split_part("name", F.lit(" "), F.lit(2)), F.split_part("name", F.lit(" "), F.lit(1)), "brand", "category")
     cut = (key % 9).cast("int")

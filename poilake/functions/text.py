@@ -57,7 +57,7 @@ def token_sort_key(name: Column, fold: str = "drop_latin1") -> Column:
     elif fold != "keep":
         raise ValueError(f"unknown fold {fold!r}")
     words = F.split(F.trim(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}_]", " "))), r"\s+")
-    return F.array_join(F.array_sort(words), " ")
+    return F.array_join(F.sort_array(words), " ")
 
 
 def _letters(texts: list[str], width: int, blank: int) -> np.ndarray:

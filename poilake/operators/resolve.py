@@ -374,7 +374,8 @@ def enrich(
     The remote search becomes a similarity join of the distinct search keys: word order does not
     matter, misspelt names match if their grams are ``least`` alike. The most similar name
     wins, then ``rank`` (ascending) among its places. Only the best place of a key can be the
-    answer, so places are reduced to one row per key before they are joined.
+    answer, so places are reduced to one row per key before they are joined. Runs the similarity
+    join when called.
 
     ``within`` metres makes it a search around the candidate: both sides need ``lat`` and
     ``lon``, places farther away are no hit, and among equally similar names the nearest place
@@ -387,31 +388,39 @@ def enrich(
     stay repeated.
     """
     record = F.struct(*[F.col(c) for c in places.columns])
-    spot = ["lat", "lon"] if within else []
-    found = places.withColumn("_query", search_key(F.col("name"), city, fold)).where(F.col("_query").isNotNull())
-    asked = candidates.withColumn("_query", search_key(F.col("name"), city, fold))
-    for c in spot:
-        found, asked = found.withColumn(f"_{c}", F.col(c)), asked.withColumn(f"_{c}", F.col(c))
-    own = [f"_{c}" for c in spot]
+    own = ["_lat", "_lon"] if within else []
+    found, asked = (
+        rows.withColumns({"_query": search_key(F.col("name"), city, fold), **{c: F.col(c[1:]) for c in own}})
+        for rows in (places, candidates)
+    )
     order = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(rank)])
-    best = (found.dropna(subset=own) if own else found).groupBy("_query", *own).agg(
+    best = found.dropna(subset=["_query", *own]).groupBy("_query", *own).agg(
         F.min_by(record, order).alias("google_data"), F.min(order).alias("_rank")
     )
-    alike = similar_keys(
-        asked.select(F.col("_query").alias("key")), best.select(F.col("_query").alias("key")), least
-    ).select(F.col("left_key").alias("_query"), F.col("right_key").alias("_key"), "similarity")
-    hits = best.withColumnRenamed("_query", "_key")
+    best = best.withColumnsRenamed({"_query": "_key", "_lat": "_plat", "_lon": "_plon"})
+    nodes = materialize(asked.select("_query", *own).dropna().distinct(), "asked")
+    spots = best.select(*[c for c in best.columns if c != "google_data"])
+    alike = similar_keys(nodes.select(F.col("_query").alias("key")), spots.select(F.col("_key").alias("key")), least)
+    alike = materialize(alike.select(F.col("left_key").alias("_query"), F.col("right_key").alias("_key"), "similarity"), "alike")
+    # The tables are of compressed names, whose broadcast could fill the driver: all joins merge.
     if not within:
-        answer = F.min_by(F.struct("google_data", "similarity"), F.struct(-F.col("similarity"), "_rank", "_key"))
-        answers = alike.join(hits, "_key").groupBy("_query").agg(answer.alias("_answer"))
-        return asked.join(answers, "_query").select(*candidates.columns, "_answer.google_data", "_answer.similarity")
-    lat, lon = F.col("_lat"), F.col("_lon")
-    hits = hits.withColumn("_cell", reach_cell(lat, lon, within)).withColumnsRenamed({"_lat": "_plat", "_lon": "_plon"})
-    nodes = asked.select("_query", *own).dropna().distinct().withColumn("_cell", F.explode(reach_cells(lat, lon, within)))
-    met = nodes.join(alike, "_query").join(hits, ["_key", "_cell"])
-    met = met.withColumn("distance_m", distance_m(lat, lon, F.col("_plat"), F.col("_plon"))).where(F.col("distance_m") <= within)
+        closest = alike.groupBy("_query").agg(F.max("similarity").alias("_most"))
+        closest = alike.join(closest.hint("merge"), "_query").where("similarity = _most")
+        answer = F.min_by(F.struct("google_data", "similarity"), F.struct("_rank", "_key"))
+        answers = closest.join(best.hint("merge"), "_key").groupBy("_query").agg(answer.alias("_answer"))
+        found = asked.join(answers.hint("merge"), "_query")
+        return found.select(*candidates.columns, "_answer.google_data", "_answer.similarity")
+    lat, lon, plat, plon = (F.col(c) for c in ("_lat", "_lon", "_plat", "_plon"))
+    nodes = nodes.withColumn("_cell", reach_cell(lat, lon, within))
+    spots = spots.withColumn("_cell", F.explode(reach_cells(plat, plon, within)))
+    # Names and cells first, so that places of a name out of reach meet no candidate.
+    near = nodes.select("_query", "_cell").distinct().join(alike.hint("merge"), "_query").join(spots.hint("merge"), ["_key", "_cell"])
+    met = nodes.join(near.hint("merge"), ["_query", "_cell"])
+    met = met.withColumn("distance_m", distance_m(lat, lon, plat, plon)).where(F.col("distance_m") <= within)
     answer = F.min_by(
-        F.struct("google_data", "similarity", "distance_m"), F.struct(-F.col("similarity"), "distance_m", "_rank", "_key")
+        F.struct("_key", "_plat", "_plon", "similarity", "distance_m"), F.struct(-F.col("similarity"), "distance_m", "_rank", "_key")
     )
-    answers = met.groupBy("_query", *own).agg(answer.alias("_answer"))
-    return asked.join(answers, ["_query", *own]).select(*candidates.columns, "_answer.*")
+    answers = met.groupBy("_query", "_cell", *own).agg(answer.alias("_answer")).select("_query", *own, "_answer.*")
+    answers = answers.join(best.drop("_rank").hint("merge"), ["_key", "_plat", "_plon"])
+    found = asked.join(answers.hint("merge"), ["_query", *own])
+    return found.select(*candidates.columns, "google_data", "similarity", "distance_m")

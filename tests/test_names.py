@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from poilake.operators import names as N
 from poilake.operators import resolve as R
+from tests.conftest import plan_of
 from tests.test_geodesy import vincenty
 
 
@@ -79,3 +80,20 @@ def test_lookup_equals_all_pairs(spark):
         got = sorted((r["id"], r["google_data"]["pid"]) for r in R.enrich(c, p, "Hà Nội", order, within=within).collect())
         assert got == sorted((r[0], best(r, within)) for r in asked if best(r, within) is not None)
     assert R.enrich(c.where("false"), p, "Hà Nội", order).count() == 0 == R.enrich(c, p.where("false"), "Hà Nội", order, within=5.0).count()
+
+
+def test_frequent_grams_are_split(spark, monkeypatch):
+    """Keys that share a gram are compared in several parts, and no pair is lost or repeated."""
+    monkeypatch.setattr(N, "GROUP", 3)
+    keys = [f"cafe {a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    rows = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = sorted((r.left_key, r.right_key, r.similarity) for r in N.similar_keys(rows, rows, 0.4).collect())
+    assert got == sorted((a, b, jaccard(a, b)) for a in keys for b in keys if jaccard(a, b) >= 0.4)
+
+
+def test_lookup_joins_no_broadcast_table(spark):
+    """Stored tables of names are compressed, so their size says little of what a broadcast takes."""
+    p = spark.range(50).select(F.col("id").alias("pid"), F.concat(F.lit("cafe "), F.col("id") % 3).alias("name"), F.lit(21.0).alias("lat"), F.lit(105.0).alias("lon"))
+    for within in (None, 500.0):
+        plan = plan_of(R.enrich(p.drop("pid"), p, "Hà Nội", [F.col("pid")], within=within))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
