@@ -437,10 +437,21 @@ def _(spark, sf):
 # Storage
 
 
-def _many_files(spark, sf, files):
-    path = scratch_path(spark, "table")
+def _file_a_year(spark, sf):
+    """The history in one file a year, each written as its rows come, without a sort.
+
+    Each file has a task, or few share one, which keeps them open side by side.
+    """
+    path, writers = scratch_path(spark, "table"), "spark.sql.maxConcurrentOutputFileWriters"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     history = V.poi_snap(spark, sf).withColumn("snapshot_date", F.trunc("snapshot_date", "year"))
-    history.repartition(files).write.partitionBy("snapshot_date").parquet(path)
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "16")
+    try:
+        dealt = history.repartition(tasks, "snapshot_date").write.option("parquet.block.size", 16 << 20)
+        dealt.partitionBy("snapshot_date").parquet(path)
+    finally:
+        spark.conf.set(writers, before)
     return path
 
 
@@ -450,7 +461,7 @@ def _many_files(spark, sf, files):
  UNION ALL SELECT 'gold', 0, false""",
 )
 def _(spark, sf):
-    path = _many_files(spark, sf, 1)
+    path = _file_a_year(spark, sf)
     stats = T.storage_stats(spark, {"silver": path, "gold": path + "-none"})
     return stats.select("layer", "object_count", (F.col("total_size_mb") > 0).alias("has_size"))
 

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import bronze
 from poilake import schemas
 from poilake.operators import quality as Q
 from poilake.plans import marts
@@ -303,3 +304,16 @@ def test_incremental_silver_equals_the_batch(spark, folder):
     batch = build_silver(raw, datetime(2024, 6, 1), scope=["snapshot_date"])
     assert silver.count() == 20
     assert Q.content_hash(silver.select(*batch.columns)).first() == Q.content_hash(batch).first()
+
+
+def test_history_has_one_file_a_year_by_many_tasks(spark, folder):
+    """As input of ``storage_stats``: no task writes all years."""
+    rows = [(k, 1, 1, 1, 5.0, datetime(year, 1 + k % 12, 1)) for year in range(1992, 2000) for k in range(40)]
+    shape = "l_partkey long, l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp"
+    spark.createDataFrame(rows, shape).write.parquet(f"{folder}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    stored = spark.read.parquet(bronze._file_a_year(spark, folder))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = stored.select("snapshot_date", F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == len({r["snapshot_date"] for r in files}) == 8 and stored.count() == 8 * 40
+    assert len({r["f"].split("part-")[1][:5] for r in files}) > 1
