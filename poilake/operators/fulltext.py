@@ -17,7 +17,26 @@ K1, B = 1.2, 0.75
 
 def terms_of(text: Column) -> Column:
     """A text's words in lower case: runs of letters, digits and underscores."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+"), "")
+
+
+def _counted(words: Column) -> Column:
+    """Each different word with its count, as structs (term, n): the runs of the sorted words."""
+
+    def runs(w: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(w) - 1)  # of no words 0 and -1, which begin no run
+        starts = F.filter(places, lambda i: ~F.get(w, i).eqNullSafe(F.get(w, i - 1)))
+        return F.transform(F.array(starts), lambda s: spans(w, s))[0]
+
+    def spans(w: Column, starts: Column) -> Column:
+        end = F.size(w)
+        return F.transform(
+            starts,
+            lambda s, j: F.struct(F.get(w, s).alias("term"), (F.coalesce(F.get(starts, j + 1), end) - s).cast("long").alias("n")),
+        )
+
+    # One-element arrays, so that the words are sorted and the runs found once.
+    return F.transform(F.array(F.sort_array(words)), runs)[0]
 
 
 def _bucket(term: Column, buckets: int) -> Column:
@@ -32,7 +51,7 @@ def index_texts(
     ``postings`` hold a row per term and document with its count and length and the ``stored``
     columns, ``terms`` the document frequencies, ``documents`` ids and lengths, ``totals`` their
     sums. Postings are sorted by term within ``buckets`` folders by the term's hash, so a search
-    reads the row groups of its terms; all segments have as many as the first. The words of a document are counted before they are shuffled, and
+    reads the row groups of its terms; all segments have as many as the first. The words of a document are counted in its row, and
     a term of most documents is split over several files.
 
     Ids are unique in ``docs``. Documents that another segment has are left out, so segments
@@ -48,8 +67,9 @@ def index_texts(
         known = known.where(F.col("segment") != segment).select(F.col("id").alias("known"))
         rows = rows.join(known, F.col("id").eqNullSafe(F.col("known")), "left_anti")
     rows = rows.withColumn("words", terms_of(F.col("text"))).withColumn("length", F.size("words").cast("long"))
-    words = rows.select("id", *stored, "length", F.explode("words").alias("term"))
-    postings = words.groupBy("id", *stored, "length", "term").agg(F.count("*").alias("n"))
+    # Texts are shuffled, not their words; rows of one id and length are one document.
+    whole = rows.groupBy("id", *stored, "length").agg(F.array_join(F.collect_list("text"), " ").alias("text"))
+    postings = whole.select("id", *stored, "length", F.inline(_counted(terms_of(F.col("text")))))
     postings = postings.withColumn("bucket", _bucket(F.col("term"), buckets))
     target = f"{path}/postings/segment={segment}"
     _write(postings, target)

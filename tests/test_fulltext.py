@@ -111,3 +111,21 @@ def test_merged_profiles_keep_counts_and_their_error(spark, folder):
 def test_profiles_of_an_empty_table(spark):
     partials = profiles.partial_profiles(profile_table(spark).where("false"), "day")
     assert profiles.merged_profiles(partials).collect() == []
+
+
+def test_words_are_counted_in_their_row(spark):
+    """No shuffle of words: equal ones are runs of the sorted row."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, "b a b", " , "])], "id long, text string")
+    counted = df.select("id", F.inline(fulltext._counted(fulltext.terms_of(F.col("text")))))
+    assert "Exchange" not in plan_of(counted)
+    got = {(r["id"], r["term"], r["n"]) for r in counted.collect()}
+    want = {(r["id"], w, n) for r in df.collect() for w, n in Counter(re.findall(r"\w+", (r["text"] or "").lower())).items()}
+    assert got == want
+
+
+def test_rows_of_one_id_and_length_are_one_document(spark, folder):
+    df = spark.createDataFrame([(1, "a b"), (1, "a c"), (1, "a"), (None, "b"), (None, "b"), (None, None)], "id long, text string")
+    fulltext.index_texts(df, folder, "s", "id", "text", buckets=2)
+    got = sorted((r["id"] or 0, r["length"], r["term"], r["n"]) for r in spark.read.parquet(f"{folder}/postings").collect())
+    assert got == [(0, 1, "b", 2), (1, 1, "a", 1), (1, 2, "a", 2), (1, 2, "b", 1), (1, 2, "c", 1)]
+    assert spark.read.parquet(f"{folder}/documents").count() == 6
