@@ -585,13 +585,14 @@ def _(spark, sf):
     tables.write_partitions(profiles.partial_profiles(events, "day", names), path, "day")
     merged = profiles.merged_profiles(spark.read.parquet(path))
     exact = report.profile(events, names).select("column", F.col("distinct_values").alias("exact"))
-    # The share of rows up to each estimate, with the estimates, three per column, as literals.
+    # The shares of rows below and up to each estimate, with the estimates, three per column, as literals.
     found = {r["column"]: r for r in merged.where("q50 is not null").collect()}
 
     def close(c: str):
-        shares = [(p, F.avg((F.col(c) <= found[c][f"q{p}"]).cast("double"))) for p in (25, 50, 75)]
-        # Equal values count up to the last of them.
-        return reduce(lambda a, b: a & b, [share.between(p / 100 - 0.02, p / 100 + 0.05) for p, share in shares])
+        # Equal values hold all ranks from the first to the last of them.
+        ends = [(p / 100, F.col(c) < found[c][f"q{p}"], F.col(c) <= found[c][f"q{p}"]) for p in (25, 50, 75)]
+        shares = [(p, F.avg(below.cast("double")), F.avg(upto.cast("double"))) for p, below, upto in ends]
+        return reduce(lambda a, b: a & b, [(first <= p + 0.02) & (last >= p - 0.02) for p, first, last in shares])
 
     ranks = events.agg(*[close(c).alias(c) for c in found])
     ranks = ranks.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("quantiles_close")) for c in found])))
