@@ -28,8 +28,8 @@ DEPTH = 3
 _REMEMBER = 24 << 20
 #: New words that are encoded together.
 _TOGETHER = 512
-#: Bytes of texts that are split into words at once.
-_BYTES = 4 << 20
+#: Bytes of texts that are split into words at once; a task takes about 50 times as much for them.
+_BYTES = 1 << 20
 #: Pieces of one bin that are numbered in one task, about.
 _GROUP = 1_000
 #: A word of its own between words that are encoded together.
@@ -96,9 +96,6 @@ class _Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         with open(path, encoding="utf-8") as file:
             content = file.read()
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
         read = json.loads(content)
         self.special = [t["content"] for t in read["added_tokens"]]
         self.words = _by_words(read)
@@ -106,14 +103,19 @@ class _Encoder:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         if self.words:
-            self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
             self.chars = _byte_chars()
             vocab, suffix = read["model"]["vocab"], read["model"]["end_of_word_suffix"]
             self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)  # whether a token ends a word
             self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-            # For words that are lower-cased and cut already.
-            self.plain = Tokenizer.from_str(content)
-            self.plain.normalizer = self.plain.pre_tokenizer = None
+            del vocab
+        del read  # before the tokenizer takes as much
+        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        if self.words:
+            self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
+            # For words that are lower-cased and cut already; both share the model.
+            self.plain = Tokenizer(self.tokenizer.model)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -181,14 +183,12 @@ class _Encoder:
             learnt = self._learn(new, {w for w, ids, more in zip(names, raw, often) if more and ids is None})
             raw = [learnt[w] if ids is None else ids for w, ids in zip(names, raw)]
         size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
-        pool = np.frombuffer(b"".join(raw), dtype="<u4")
-        begin = np.cumsum(size) - size
-        at = flat.indices.to_numpy(zero_copy_only=False)
-        n = size[at]
-        ends = np.append(0, np.cumsum(n))
-        ids = pool[np.repeat(begin[at] - ends[:-1], n) + np.arange(ends[-1])]
+        pool = pa.array(np.frombuffer(b"".join(raw), dtype="<u4"))
+        begin = pa.array(np.append(0, np.cumsum(size)))
+        got = pa.LargeListArray.from_arrays(begin, pool).take(flat.indices)  # the ids of every word
+        ids = got.values.to_numpy()
         bounds = np.asarray(lists.offsets, dtype=np.int64)
-        ends = ends[bounds - bounds[0]]
+        ends = got.offsets.to_numpy()[bounds - bounds[0]]
         special = np.zeros(len(texts), dtype=bool)
         for string in self.special:
             special |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)

@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -56,3 +58,30 @@ def test_round_trip(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs, queries.tokenizer_path()).collect() == []
+
+
+def test_a_task_takes_little_memory_beside_its_texts(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60_000)]
+    texts = pa.array([" ".join(rng.choices(words, k=500)) for _ in range(3_000)])  # 10 MB
+    taken, largest, rows = {}, 0, 0
+
+    class Docs:
+        schema = {"doc_id": type("Field", (), {"dataType": type("Kind", (), {"simpleString": lambda _: "bigint"})()})()}
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            taken["run"] = run
+
+    packing._pieces(Docs(), "doc_id", "text", queries.tokenizer_path(), packing.WINDOW, 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], names=["doc", "text"])
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for got in taken["run"](iter([batch])):
+        rows += got.num_rows
+        largest = max(largest, pa.total_allocated_bytes() - before)
+    python = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows >= len(texts) and largest < 12 << 20 and python < 60 << 20, (rows, largest, python)
