@@ -55,8 +55,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = simhash.near_duplicates(keyed, id_col=key)
     marked = found.groupBy("id").agg(F.max(F.col("id") != F.col("component")).alias("copy"), F.count("*").alias("n"))
     marked = scratch.store(marked.where("copy or n > 1").select(F.col("id").alias(key), "copy"), "marked")
+    # Texts are shuffled once: repeated rows are few, and a table of their own shows it to the optimizer.
+    many = scratch.store(marked.where("not copy").select(key), "repeated")
     kept = keyed.join(marked, key, "left_anti").select(*docs.columns)
-    repeated = keyed.join(marked.where("not copy"), key, "left_semi")
+    repeated = keyed.join(many, key, "left_semi")
     # The least by the row's JSON, as maps have no order.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     one = F.min_by(row, F.sha2(F.to_json(row), 256)).alias("one")

@@ -96,3 +96,20 @@ def test_repeated_rows_with_columns_that_have_no_order(spark, folder):
     rows = [(1, "a b c d", "en", "s", 7, {"x": 1}), (1, "a b c d", "en", "s", 7, {"x": 2}), (2, "e f g h", "en", "s", 7, None)]
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, kind), folder).collect()
     assert sorted(r.doc_id for r in got) == [1, 2]
+
+
+def test_texts_are_shuffled_once_for_near_copies(spark, folder):
+    rng = random.Random(11)
+    words = [f"{a}{b}{c}" for a in ("ba", "do", "ki", "lu") for b in ("ra", "so", "ti", "vu") for c in ("m", "n", "p")]
+    rows = [(i, " ".join(rng.choices(words, k=40))) for i in range(600)]
+    rows += [(1000 + i, text) for i, text in rows] + [(7, rows[7][1])]
+    docs = spark.createDataFrame([(*r, "en", "src", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "12k")  # below the keys of 600 copies
+    try:
+        got = corpus_pipeline.drop_near_copies(spark, docs, folder)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r.doc_id for r in got.collect()) == list(range(600))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1, plan
