@@ -84,4 +84,4 @@ def test_a_task_takes_little_memory_beside_its_texts(spark):
         largest = max(largest, pa.total_allocated_bytes() - before)
     python = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert rows >= len(texts) and largest < 12 << 20 and python < 60 << 20, (rows, largest, python)
+    assert rows >= len(texts) and largest < 6 << 20 and python < 32 << 20, (rows, largest, python)
