@@ -148,6 +148,14 @@ def reach_cells(lat: Column, lon: Column, meters: float) -> Column:
     return F.array_distinct(F.array(*cells))
 
 
+def touched_cells(lat: Column, lon: Column, meters: float, side: float) -> Column:
+    """The (at most nine) cells ``reach_cell(.., side)`` of all points within ``meters``, of which ``side`` is twice or more."""
+    up = F.lit(meters / SHORTEST_DEGREE)
+    along = F.lit(meters / SHORTEST_EQUATOR_DEGREE) / _cosine_at(F.abs(lat) + up)
+    cells = [reach_cell(lat + up * i, lon + along * j, side) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    return F.array_distinct(F.array(*cells))
+
+
 def tight_cell(lat: Column, lon: Column, meters: float) -> Column:
     """Cell so small that any two points inside it are less than ``meters`` apart."""
     side = 0.99 * meters / math.sqrt(2)

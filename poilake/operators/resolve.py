@@ -42,6 +42,7 @@ from poilake.functions.geodesy import (
 from poilake.functions.text import blank_to_null, key_similarity, may_exceed, similarity_above, token_sort_key
 from poilake.operators.dedup import union_sources
 from poilake.operators.names import similar_keys
+from poilake.operators.nearby import key_lists, nearest_alike
 from poilake.operators.order import global_index
 from poilake.session import materialize, scratch_path, store
 from poilake.sources.files import delete_folder
@@ -399,8 +400,8 @@ def enrich(
     )
     best = best.withColumnsRenamed({"_query": "_key", "_lat": "_plat", "_lon": "_plon"})
     nodes = materialize(asked.select("_query", *own).dropna().distinct(), "asked")
-    spots = best.select(*[c for c in best.columns if c != "google_data"])
-    alike = similar_keys(nodes.select(F.col("_query").alias("key")), spots.select(F.col("_key").alias("key")), least)
+    known = found.dropna(subset=["_query", *own]).select(F.col("_query").alias("key"))
+    alike = similar_keys(nodes.select(F.col("_query").alias("key")), known, least)
     alike = materialize(alike.select(F.col("left_key").alias("_query"), F.col("right_key").alias("_key"), "similarity"), "alike")
     # The tables are of compressed names, whose broadcast could fill the driver: all joins merge.
     if not within:
@@ -410,17 +411,17 @@ def enrich(
         answers = closest.join(best.hint("merge"), "_key").groupBy("_query").agg(answer.alias("_answer"))
         found = asked.join(answers.hint("merge"), "_query")
         return found.select(*candidates.columns, "_answer.google_data", "_answer.similarity")
-    lat, lon, plat, plon = (F.col(c) for c in ("_lat", "_lon", "_plat", "_plon"))
-    nodes = nodes.withColumn("_cell", reach_cell(lat, lon, within))
-    spots = spots.withColumn("_cell", F.explode(reach_cells(plat, plon, within)))
-    # Names and cells first, so that places of a name out of reach meet no candidate.
-    near = nodes.select("_query", "_cell").distinct().join(alike.hint("merge"), "_query").join(spots.hint("merge"), ["_key", "_cell"])
-    met = nodes.join(near.hint("merge"), ["_query", "_cell"])
-    met = met.withColumn("distance_m", distance_m(lat, lon, plat, plon)).where(F.col("distance_m") <= within)
-    answer = F.min_by(
-        F.struct("_key", "_plat", "_plon", "similarity", "distance_m"), F.struct(-F.col("similarity"), "distance_m", "_rank", "_key")
-    )
-    answers = met.groupBy("_query", "_cell", *own).agg(answer.alias("_answer")).select("_query", *own, "_answer.*")
-    answers = answers.join(best.drop("_rank").hint("merge"), ["_key", "_plat", "_plon"])
+    keys = global_index(alike.select("_key").distinct(), ["_key"], "key_id")
+    # Only places whose name is alike to one asked for; numbered once stored.
+    spots = best.join(keys.hint("merge"), "_key").drop("_key").withColumn("spot", F.monotonically_increasing_id())
+    spots = materialize(spots, "spots")
+    found = nearest_alike(nodes, spots.select("spot", "key_id", "_plat", "_plon"), key_lists(alike, keys), within)
+    met = found.join(spots.hint("merge"), "spot")
+    meters = distance_m(*(F.col(c) for c in ("_lat", "_lon", "_plat", "_plon")))
+    met = met.withColumn("distance_m", meters).where(F.col("distance_m") <= within)
+    # Keys are numbered in their order.
+    order = F.struct(-F.col("similarity"), "distance_m", "_rank", "key_id")
+    answer = F.min_by(F.struct("google_data", "similarity", "distance_m"), order)
+    answers = met.groupBy("_query", *own).agg(answer.alias("_answer")).select("_query", *own, "_answer.*")
     found = asked.join(answers.hint("merge"), ["_query", *own])
     return found.select(*candidates.columns, "google_data", "similarity", "distance_m")
